@@ -29,14 +29,14 @@ def scratch_folder(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="deedflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="deedflow-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(rows: DataFrame, label: str) -> DataFrame:
