@@ -68,10 +68,16 @@ class SnapshotStore:
         folders = self.version.folders.get(name, [])
         if not folders:
             return self.spark.createDataFrame([], spec.schema)
-        stored = T.StructType([*spec.schema.fields, T.StructField("accepted", T.BooleanType())])
-        rows = self.spark.read.schema(stored).parquet(*folders)
+        rows = self._read(name, spec.schema, folders)
         return rows.filter("accepted").select(*spec.columns)
 
+    def _read(self, name: str, schema: T.StructType, folders: list[str]) -> DataFrame:
+        for column, kind in (("accepted", T.BooleanType()), ("batch", T.StringType())):
+            if column not in schema.names:
+                schema = T.StructType([*schema.fields, T.StructField(column, kind)])
+        base = f"{self.root}/{name}"
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*folders)
+
     def rejected(self, name: str) -> DataFrame:
         """The rows that quarantined batches of a table left out, with their reasons."""
         folders = self.version.judged.get(name, [])
@@ -81,14 +87,15 @@ class SnapshotStore:
         return self.read_judged(name, *folders).filter(~F.col("accepted")).drop("accepted")
 
     def read_judged(self, name: str, *folders: str) -> DataFrame:
-        return self.spark.read.schema(judged_schema(TABLES[name])).parquet(*folders)
+        schema = judged_schema(TABLES[name])
+        return self._read(name, schema, list(folders)).select(*schema.names)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
 
     def write(self, name: str, rows: DataFrame) -> str:
         """Write rows to a new folder of the table, not yet part of any version."""
-        folder = f"{self.root}/{name}/{uuid.uuid4().hex}"
+        folder = f"{self.root}/{name}/batch={uuid.uuid4().hex}"
         if "accepted" not in rows.columns:
             rows = rows.withColumn("accepted", F.lit(True))
         rows.write.partitionBy("accepted").parquet(folder)
