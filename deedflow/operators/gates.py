@@ -78,15 +78,10 @@ def sold_gate_with_contracts(
     always leaves its property sold, so a sale passes exactly if the event before it
     is such a contract, or if it is the first event and the property was not sold.
     """
-    known = properties.select(key, F.col(status).alias("_status"), F.col(kind).alias("_kind"))
-    events = (
-        sales.withColumn("_event", F.lit("sale"))
-        .unionByName(
-            contracts.select(key, seq).withColumn("_event", F.lit("contract")),
-            allowMissingColumns=True,
-        )
-        .join(known, key, "left")
-        .filter((F.col("_event") == "sale") | (F.col("_kind") == reopening))
+    houses = properties.filter(F.col(kind) == reopening).select(key)
+    openings = contracts.select(key, seq).join(houses, key, "left_semi")
+    events = sales.withColumn("_event", F.lit("sale")).unionByName(
+        openings.withColumn("_event", F.lit("contract")), allowMissingColumns=True
     )
     chained = with_previous(events, key, seq, "_event", "_previous", hot_rows)
     rejected = F.col("_status").isNotNull() & F.when(
@@ -94,8 +89,9 @@ def sold_gate_with_contracts(
     ).otherwise(F.col("_previous") == "sale")
     return (
         chained.filter(F.col("_event") == "sale")
+        .join(properties.select(key, F.col(status).alias("_status")), key, "left")
         .withColumn("reject", F.when(_true(rejected), ALREADY_SOLD))
-        .drop("_event", "_status", "_kind", "_previous")
+        .drop("_event", "_status", "_previous")
     )
 
 

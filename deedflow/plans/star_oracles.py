@@ -253,6 +253,67 @@ ORACLES: dict[str, str] = {
       CASE WHEN stored THEN 'duplicate:transaction_ID' END) AS reasons,
     reasons = '' AS accepted
   FROM local l LEFT JOIN first f ON l.property_ID = f.property_ID
+""",
+    "s6_bulk_load": """
+  WITH held AS (
+    SELECT p_partkey AS id FROM part
+    WHERE p_type <> 'PROMO' AND p_partkey < 1000000
+      AND p_size IN (SELECT s_suppkey FROM supplier WHERE s_suppkey < 1000000)),
+  contract AS (
+    SELECT *, first_value(exclusivity IGNORE NULLS) OVER (
+             PARTITION BY day ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
+    FROM (SELECT o_orderkey AS id, o_custkey AS property, o_orderdate AS day,
+                 CASE o_orderpriority WHEN '1-URGENT' THEN 'Yes' WHEN '4-NOT SPECIFIED' THEN NULL
+                      ELSE 'No' END AS exclusivity
+          FROM orders JOIN held ON held.id = o_custkey
+          WHERE o_orderstatus = 'P' AND o_orderkey < 1000000)),
+  contracts AS (
+    SELECT id, property, day FROM contract
+    WHERE coalesce(earlier, '') <> 'Yes'
+      AND NOT (coalesce(earlier, '') = 'No' AND coalesce(exclusivity, '') = 'Yes')),
+  signed AS (SELECT property, min(day) AS day FROM contracts GROUP BY property),
+  visited AS (
+    SELECT o_orderkey AS id, o_custkey AS property, o_orderdate AS day
+    FROM orders JOIN held ON held.id = o_custkey JOIN customer ON c_custkey = o_custkey
+    WHERE o_orderstatus = 'O' AND o_orderkey < 1000000 AND c_custkey < 1000000),
+  appointments AS (
+    SELECT v.id FROM visited v LEFT JOIN signed USING (property)
+    WHERE signed.day IS NULL OR v.day > signed.day),
+  sale AS (
+    SELECT o_custkey AS property, min(o_orderkey) AS id, arg_min(o_orderdate, o_orderkey) AS day
+    FROM orders JOIN held ON held.id = o_custkey JOIN customer ON c_custkey = o_custkey
+    WHERE o_orderstatus = 'F' AND o_orderkey < 1000000 AND c_custkey < 1000000
+    GROUP BY o_custkey),
+  reviews AS (
+    SELECT v.id FROM visited v LEFT JOIN sale USING (property)
+    WHERE v.id < 100000 AND (sale.day IS NULL OR v.day > sale.day)),
+  kept AS (
+    SELECT 'companies' AS name, n_nationkey AS id FROM nation
+    UNION ALL SELECT 'owners', s_suppkey FROM supplier WHERE s_suppkey < 1000000
+    UNION ALL SELECT 'properties', id FROM held
+    UNION ALL SELECT 'contracts_owner', id FROM contracts
+    UNION ALL SELECT 'agents', s_suppkey FROM supplier WHERE s_suppkey < 1000000
+    UNION ALL SELECT 'clients', c_custkey FROM customer WHERE c_custkey < 1000000
+    UNION ALL SELECT 'appointments', id FROM appointments
+    UNION ALL SELECT 'transactions', id FROM sale
+    UNION ALL SELECT 'visits', id FROM appointments
+    UNION ALL SELECT 'reviews', id FROM reviews
+    UNION ALL SELECT 'log_transactions', id FROM sale
+    UNION ALL SELECT 'sold properties', property FROM sale),
+  given AS (
+    SELECT 'companies' AS name, count(*) AS n FROM nation
+    UNION ALL SELECT 'owners', count(*) FROM supplier
+    UNION ALL SELECT 'properties', count(*) FROM part
+    UNION ALL SELECT 'contracts_owner', count(*) FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 'agents', count(*) FROM supplier
+    UNION ALL SELECT 'clients', count(*) FROM customer
+    UNION ALL SELECT 'appointments', count(*) FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT 'transactions', count(*) FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 'visits', count(*) FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT 'reviews', count(*) FROM orders WHERE o_orderstatus = 'O')
+  SELECT name AS table_name, count(*) AS stored, CAST(sum(id) AS BIGINT) AS key_sum,
+         coalesce(any_value(n) - count(*), 0) AS rejected
+  FROM kept LEFT JOIN given USING (name) GROUP BY name
 """,
     "k1_pk_duplicates": """
   SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem

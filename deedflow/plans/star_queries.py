@@ -14,6 +14,7 @@ from deedflow.functions.text import full_name, invoice_number, joined
 from deedflow.operators import effects, gates, integrity, ordering, quality
 from deedflow.plans import invoice, reports
 from deedflow.plans.judge import judge
+from deedflow.plans.star_load import bulk_load
 from deedflow.sources import star
 from deedflow.sources.literals import append_rows
 from deedflow.sources.schema import TABLES, Field
@@ -246,6 +247,11 @@ def g9_judge_sales(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("transaction_ID", "accepted", F.array_join("reasons", ",").alias("reasons"))
 
 
+@_query
+def s6_bulk_load(spark: SparkSession, folder: str) -> DataFrame:
+    return bulk_load(spark, folder)
+
+
 # Declared constraints
 
 

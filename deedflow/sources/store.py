@@ -34,6 +34,12 @@ def judged_schema(table: Table) -> T.StructType:
     )
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, which the optimizer knows, so that joins with them cost nothing."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*nothing).filter(F.lit(False))
+
+
 @dataclass(frozen=True)
 class Version:
     number: int = 0
@@ -67,7 +73,7 @@ class SnapshotStore:
         spec = TABLES[name]
         folders = self.version.folders.get(name, [])
         if not folders:
-            return self.spark.createDataFrame([], spec.schema)
+            return empty(self.spark, spec.schema)
         rows = self._read(name, spec.schema, folders)
         return rows.filter("accepted").select(*spec.columns)
 
@@ -83,7 +89,7 @@ class SnapshotStore:
         folders = self.version.judged.get(name, [])
         schema = judged_schema(TABLES[name])
         if not folders:
-            return self.spark.createDataFrame([], schema).drop("accepted")
+            return empty(self.spark, schema).drop("accepted")
         return self.read_judged(name, *folders).filter(~F.col("accepted")).drop("accepted")
 
     def read_judged(self, name: str, *folders: str) -> DataFrame:
@@ -129,10 +135,10 @@ class SnapshotStore:
             old.last_log_id if last_log_id is None else last_log_id,
             batches,
         )
-        content = [(new.number, json.dumps(new.__dict__))]
-        self.spark.createDataFrame(content, "number int, content string").coalesce(1).write.json(
-            f"{self.root}/versions/{new.number:09d}"
+        content = self.spark.range(1, numPartitions=1).select(
+            F.lit(new.number).alias("number"), F.lit(json.dumps(new.__dict__)).alias("content")
         )
+        content.write.json(f"{self.root}/versions/{new.number:09d}")
         self.version = new
         return new
 
