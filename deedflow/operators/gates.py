@@ -80,18 +80,17 @@ def sold_gate_with_contracts(
     """
     houses = properties.filter(F.col(kind) == reopening).select(key)
     openings = contracts.select(key, seq).join(houses, key, "left_semi")
-    events = sales.withColumn("_event", F.lit("sale")).unionByName(
-        openings.withColumn("_event", F.lit("contract")), allowMissingColumns=True
+    events = sales.withColumn("_sale", F.lit(True)).unionByName(
+        openings.withColumn("_sale", F.lit(False)), allowMissingColumns=True
     )
-    chained = with_previous(events, key, seq, "_event", "_previous", hot_rows)
-    rejected = F.col("_status").isNotNull() & F.when(
-        F.col("_previous").isNull(), F.col("_status") == sold
-    ).otherwise(F.col("_previous") == "sale")
+    chained = with_previous(events, key, seq, "_sale", "_after_sale", hot_rows)
+    sold_before = F.coalesce("_after_sale", F.col("_status") == sold)
+    rejected = F.col("_status").isNotNull() & sold_before
     return (
-        chained.filter(F.col("_event") == "sale")
+        chained.filter("_sale")
         .join(properties.select(key, F.col(status).alias("_status")), key, "left")
         .withColumn("reject", F.when(_true(rejected), ALREADY_SOLD))
-        .drop("_event", "_status", "_previous")
+        .drop("_sale", "_status", "_after_sale")
     )
 
 
@@ -164,7 +163,8 @@ def exclusivity_gate(
     known = _counted(seq, counts)
     known = F.when(F.col(exclusivity).isNotNull(), known)
     arriving = batch.groupBy(*scope).agg(
-        F.min(known).alias("_first"), F.min_by(exclusivity, known).alias("_first_value")
+        F.min(known).alias("_first"),
+        F.min_by(F.col(exclusivity) == "Yes", known).alias("_first_yes"),
     )
     stored = contracts.groupBy(*scope).agg(
         F.count_if(F.col(exclusivity) == "Yes").alias("_yes"),
@@ -176,13 +176,13 @@ def exclusivity_gate(
     rejected = (
         _true(F.col("_yes") > 0)
         | _true((F.col("_no") > 0) & wanted)
-        | _true((F.col("_no") == 0) & (F.col("_first_value") == "Yes") & later)
-        | _true((F.col("_first_value") == "No") & wanted & later)
+        | _true((F.col("_no") == 0) & F.col("_first_yes") & later)
+        | _true(~F.col("_first_yes") & wanted & later)
     )
     return (
         spread_join(batch, state, scope, seq, hot_rows=hot_rows)
         .withColumn("reject", F.when(rejected, EXCLUSIVITY_CLASH))
-        .drop("_first", "_first_value", "_yes", "_no")
+        .drop("_first", "_first_yes", "_yes", "_no")
     )
 
 

@@ -93,7 +93,7 @@ def _lines(company: str) -> str:
          split_part(a.s_name, '#', 1) || ' ' || split_part(a.s_name, '#', 2) AS "Agent"
   FROM sales s JOIN properties p ON s.property_ID = p.property_ID
   JOIN supplier a ON s.agent_ID = a.s_suppkey
-  JOIN (SELECT l_partkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) co
+  JOIN (SELECT DISTINCT l_partkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) co
     ON s.property_ID = co.l_partkey
   WHERE s.client_ID = 86
     AND co.s_nationkey = (SELECT n_nationkey FROM nation WHERE n_name = '{company}')
@@ -150,7 +150,7 @@ ORACLES: dict[str, str] = {
          split_part(c_name, '#', 1) || ' ' || split_part(c_name, '#', 2) AS "Customer Name",
          CAST(coalesce(sum(listing_price), 0) AS DOUBLE) AS "Total Sales"
   FROM nation
-  JOIN (SELECT l_partkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) co
+  JOIN (SELECT DISTINCT l_partkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) co
     ON n_nationkey = co.s_nationkey
   JOIN marked p ON co.l_partkey = p.property_ID
   LEFT JOIN sales s ON p.property_ID = s.property_ID
