@@ -3,6 +3,7 @@
 Each gate returns the batch with a ``reject`` column: a reason code, or NULL for a
 row that passes.  ``seq`` is the arrival number.  ``counts`` names a boolean column
 marking the rows that may be stored at all: only those are seen by later rows.
+``counted`` may name a cheaper frame with the batch's keys, to find overfull keys in.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ def sold_gate(
     seq: str = "seq",
     sold: str = "Sold",
     counts: str | None = None,
+    counted: DataFrame | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Reject sales of a property that is sold already, or by an earlier row.
@@ -49,12 +51,17 @@ def sold_gate(
     first = (
         batch.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.min(_counted(seq, counts)).alias("_first"))
+        .agg(F.min(_counted(seq, counts)).alias("_first"), F.max(seq).alias("_last"))
+    )
+    # Properties with nothing to reject are left out of the join.
+    state = (
+        first.join(properties.select(key, F.col(status).alias("_status")), key, "inner")
+        .filter((F.col("_status") == sold) | (F.col("_last") > F.col("_first")))
+        .select(key, "_first", "_status")
     )
-    state = first.join(properties.select(key, F.col(status).alias("_status")), key, "inner")
     rejected = _true(F.col("_status") == sold) | _true(F.col(seq) > F.col("_first"))
     return (
-        spread_join(batch, state, [key], seq, hot_rows=hot_rows)
+        spread_join(batch, state, [key], seq, counted, hot_rows)
         .withColumn("reject", F.when(rejected, ALREADY_SOLD))
         .drop("_first", "_status")
     )
@@ -101,6 +108,7 @@ def appointment_gate(
     day: str = "date_appointment",
     contract_day: str = "date_contract",
     seq: str = "seq",
+    counted: DataFrame | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Reject appointments not after the property's first contract day.
@@ -109,7 +117,7 @@ def appointment_gate(
     """
     first = contracts.groupBy(key).agg(F.min(contract_day).alias("_first"))
     return (
-        spread_join(batch, first, [key], seq, hot_rows=hot_rows)
+        spread_join(batch, first, [key], seq, counted, hot_rows)
         .withColumn("reject", F.when(_true(F.col(day) <= F.col("_first")), BEFORE_CONTRACT))
         .drop("_first")
     )
@@ -122,6 +130,7 @@ def review_gate(
     day: str = "date_review",
     sale_day: str = "date_transaction",
     seq: str = "seq",
+    counted: DataFrame | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Reject reviews not after the sale of the property.
@@ -132,7 +141,7 @@ def review_gate(
         F.count(F.lit(1)).alias("_sales"), F.min(sale_day).alias("_sold_on")
     )
     return (
-        spread_join(batch, state, [key], seq, hot_rows=hot_rows)
+        spread_join(batch, state, [key], seq, counted, hot_rows)
         .withColumn(
             "reject",
             F.when(F.col("_sales") > 1, AMBIGUOUS_SALE).when(
@@ -150,6 +159,7 @@ def exclusivity_gate(
     exclusivity: str = "exclusivity",
     seq: str = "seq",
     counts: str | None = None,
+    counted: DataFrame | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Reject contracts that clash over exclusivity with stored or earlier ones.
@@ -180,7 +190,7 @@ def exclusivity_gate(
         | _true(~F.col("_first_yes") & wanted & later)
     )
     return (
-        spread_join(batch, state, scope, seq, hot_rows=hot_rows)
+        spread_join(batch, state, scope, seq, counted, hot_rows)
         .withColumn("reject", F.when(rejected, EXCLUSIVITY_CLASH))
         .drop("_first", "_first_yes", "_yes", "_no")
     )

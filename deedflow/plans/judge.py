@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedflow.operators import gates
 from deedflow.operators.quality import row_reasons
-from deedflow.operators.skew import spread_join
 from deedflow.plans.reports import Tables
 from deedflow.session import cut_lineage
 from deedflow.sources.literals import fill_columns
@@ -33,94 +33,121 @@ def judge(
     candidate: the later ones are rejected even if a gate rejects that first one.
     """
     table = TABLES[name]
-    rows = _check_rows(table, batch)
-    rows = _check_references(table, rows, tables)
+    typed = _check_rows(table, batch)
+    exceptions = _exceptions(table, typed, tables)
+    rows = _mark(typed, table, exceptions)
     for key in (table.key, *table.unique):
-        rows = _check_stored(key, rows, tables[name])
-    # From here on rows are judged by the rows before them, so the batch is read
-    # several times.
-    rows = cut_lineage(rows, f"judge-{name}")
-    for key in (table.key, *table.unique):
-        rows = _check_repeats(key, rows, hot_rows)
+        rows = _check_repeats(key, rows, exceptions)
     rows = rows.withColumn("_counts", F.size("reasons") == 0)
-    rows = _gate(name, rows, tables, scope, hot_rows)
+    rows = _gate(name, rows, tables, scope, {"counted": typed, "hot_rows": hot_rows})
     reasons = F.array_compact(F.concat(F.array("reject"), F.col("reasons")))
     rows = rows.withColumn("reasons", reasons).withColumn("accepted", F.size("reasons") == 0)
     first = F.try_element_at("reasons", F.lit(1))
     message = F.when(F.col("reject").isNotNull(), _message(name)).otherwise(first)
+    offered = F.coalesce("offered", F.to_json(F.struct(*table.columns)))
     return rows.withColumn("message", message).select(
         *table.columns,
         "seq",
         "reasons",
         "message",
-        F.when(~F.col("accepted"), F.col("offered")).alias("offered"),
+        F.when(~F.col("accepted"), offered).alias("offered"),
         "accepted",
     )
 
 
 def _check_rows(table: Table, batch: DataFrame) -> DataFrame:
-    """Typed columns, the reasons found in a row alone, and the row as it came in."""
+    """Typed columns, the reasons found in a row alone, and the row if it did not fit."""
     batch = fill_columns(batch, {f.name: f.type for f in table.fields})
+    reasons = row_reasons(batch, table)
+    misfit = F.exists(reasons, lambda reason: reason.startswith("type:"))
     return batch.select(
         *[F.col(f.name).try_cast(f.type).alias(f.name) for f in table.fields],
         F.col("seq").cast("long").alias("seq"),
-        row_reasons(batch, table).alias("reasons"),
-        F.to_json(F.struct(*table.columns)).alias("offered"),
+        reasons.alias("reasons"),
+        F.when(misfit, F.to_json(F.struct(*table.columns))).alias("offered"),
     )
 
 
-def _add_reason(rows: DataFrame, failed: Column, reason: str) -> DataFrame:
-    return rows.withColumn(
-        "reasons", F.array_compact(F.concat("reasons", F.array(F.when(failed, reason))))
-    )
+def _with_reasons(rows: DataFrame, found: dict[str, Column]) -> DataFrame:
+    more = [F.when(failed, reason) for reason, failed in found.items()]
+    return rows.withColumn("reasons", F.array_compact(F.concat("reasons", F.array(*more))))
+
 
+def _exceptions(table: Table, rows: DataFrame, tables: Tables) -> DataFrame:
+    """Values that break a reference, are stored already, or occur in several rows.
 
-def _check_references(table: Table, rows: DataFrame, tables: Tables) -> DataFrame:
+    They are few as a rule, so they are looked for among the distinct values and written
+    to a table of their own.  Spark then knows its size when it joins the rows with it.
+    """
+    found = []
     for reference in table.references:
         column = reference.column
-        parent = tables[reference.parent].select(
-            F.col(TABLES[reference.parent].key).alias(column), F.lit(True).alias("_found")
-        )
-        missing = F.col(column).isNotNull() & F.col("_found").isNull()
-        rows = rows.join(parent, column, "left")
-        rows = _add_reason(rows, missing, f"orphan:{column}").drop("_found")
-    return rows
+        parent = tables[reference.parent].select(F.col(TABLES[reference.parent].key).alias(column))
+        values = _values(rows, column)
+        known = parent.join(values, column, "left_semi")
+        found.append(_exception(values.join(known, column, "left_anti"), column, "orphan"))
+    for key in (table.key, *table.unique):
+        values = _values(rows, key)
+        found.append(_exception(tables[table.name].select(key).join(values, key), key, "duplicate"))
+        found.append(_exception(values.filter(F.col("copies") > 1), key, "repeated"))
+    return cut_lineage(reduce(DataFrame.unionAll, found), f"exceptions-{table.name}")
+
+
+def _values(rows: DataFrame, column: str) -> DataFrame:
+    given = rows.filter(F.col(column).isNotNull())
+    return given.groupBy(column).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _exception(values: DataFrame, column: str, kind: str) -> DataFrame:
+    return values.select(
+        F.lit(f"{kind}:{column}").alias("reason"), F.col(column).cast("string").alias("value"), "copies"
+    )
+
+
+def _with_reason(exceptions: DataFrame, rows: DataFrame, reason: str, column: str) -> DataFrame:
+    kind = rows.schema[column].dataType
+    return exceptions.filter(F.col("reason") == reason).select(F.col("value").cast(kind).alias(column))
 
 
-def _check_stored(key: str, rows: DataFrame, stored: DataFrame) -> DataFrame:
-    stored = stored.select(key, F.lit(True).alias("_stored"))
-    rows = rows.join(stored, key, "left")
-    return _add_reason(rows, F.col("_stored"), f"duplicate:{key}").drop("_stored")
+def _mark(rows: DataFrame, table: Table, exceptions: DataFrame) -> DataFrame:
+    reasons = {f"orphan:{r.column}": r.column for r in table.references}
+    reasons |= {f"duplicate:{key}": key for key in (table.key, *table.unique)}
+    for reason, column in reasons.items():
+        hits = _with_reason(exceptions, rows, reason, column)
+        rows = rows.join(hits.withColumn(f"_{reason}", F.lit(True)), column, "left")
+    marks = {reason: F.col(f"_{reason}") for reason in reasons}
+    return _with_reasons(rows, marks).drop(*[f"_{reason}" for reason in reasons])
 
 
-def _check_repeats(key: str, rows: DataFrame, hot_rows: int | None) -> DataFrame:
+def _check_repeats(key: str, rows: DataFrame, exceptions: DataFrame) -> DataFrame:
+    repeated = _with_reason(exceptions, rows, f"repeated:{key}", key)
+    if repeated.isEmpty():
+        return rows
     candidate = F.when(F.size("reasons") == 0, F.col("seq"))
-    repeated = (
-        rows.filter(F.col(key).isNotNull())
+    first = (
+        rows.join(repeated, key, "left_semi")
         .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_copies"), F.min(candidate).alias("_first"))
-        .filter((F.col("_copies") > 1) & F.col("_first").isNotNull())
-        .drop("_copies")
+        .agg(F.min(candidate).alias("_first"))
+        .filter(F.col("_first").isNotNull())
     )
+    rows = rows.join(cut_lineage(first, f"first-{key}"), key, "left")
     reason = f"duplicate:{key}"
     late = (F.col("seq") > F.col("_first")) & ~F.array_contains("reasons", reason)
-    rows = spread_join(rows, repeated, [key], "seq", hot_rows=hot_rows)
-    return _add_reason(rows, late, reason).drop("_first")
+    return _with_reasons(rows, {reason: late}).drop("_first")
 
 
 def _gate(
-    name: str, rows: DataFrame, tables: Tables, scope: Sequence[str], hot_rows: int | None
+    name: str, rows: DataFrame, tables: Tables, scope: Sequence[str], options: dict
 ) -> DataFrame:
     if name == "transactions":
-        return gates.sold_gate(rows, tables["properties"], counts="_counts", hot_rows=hot_rows)
+        return gates.sold_gate(rows, tables["properties"], counts="_counts", **options)
     if name == "appointments":
-        return gates.appointment_gate(rows, tables["contracts_owner"], hot_rows=hot_rows)
+        return gates.appointment_gate(rows, tables["contracts_owner"], **options)
     if name == "reviews":
-        return gates.review_gate(rows, tables["transactions"], hot_rows=hot_rows)
+        return gates.review_gate(rows, tables["transactions"], **options)
     if name == "contracts_owner":
-        return gates.exclusivity_gate(
-            rows, tables["contracts_owner"], scope, counts="_counts", hot_rows=hot_rows
-        )
+        stored = tables["contracts_owner"]
+        return gates.exclusivity_gate(rows, stored, scope, counts="_counts", **options)
     return rows.withColumn("reject", F.lit(None).cast("string"))
 
 

@@ -79,6 +79,11 @@ def apply_batch(
     return BatchResult(accepted, rejected)
 
 
+def store_changes(store: SnapshotStore, changed: Mapping[str, DataFrame]) -> None:
+    """Make tables changed by a delete or a renumbering current, all in one version."""
+    store.commit(replaced={name: store.write(name, rows) for name, rows in changed.items()})
+
+
 def load_all(
     store: SnapshotStore, batches: Mapping[str, DataFrame], mode: str = ATOMIC
 ) -> dict[str, BatchResult]:

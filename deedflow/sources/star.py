@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deedflow.functions.text import joined
+from deedflow.sources.tables import LazyTables
 
 MONEY = "decimal(18,2)"
 
@@ -113,6 +114,20 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def brokerage(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    views = (companies, owners, properties, contracts_owner, agents, clients, transactions, reviews)
-    return {view.__name__: view(spark, folder) for view in views}
+VIEWS = {
+    view.__name__: view
+    for view in (
+        companies,
+        owners,
+        properties,
+        contracts_owner,
+        agents,
+        clients,
+        transactions,
+        reviews,
+    )
+}
+
+
+def brokerage(spark: SparkSession, folder: str) -> LazyTables:
+    return LazyTables(lambda name: VIEWS[name](spark, folder))

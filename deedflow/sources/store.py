@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deedflow.sources.schema import TABLES, Table, clear_order
+from deedflow.sources.tables import LazyTables
 
 # What judging a batch adds to the table's own columns.
 VERDICT = {
@@ -68,10 +69,10 @@ class SnapshotStore:
         last = versions.orderBy(F.desc("number")).limit(1).collect()
         return Version(**json.loads(last[0].content)) if last else Version()
 
-    def table(self, name: str) -> DataFrame:
-        """The current rows of a table."""
+    def table(self, name: str, version: Version | None = None) -> DataFrame:
+        """The rows of a table, as of the current version if none is given."""
         spec = TABLES[name]
-        folders = self.version.folders.get(name, [])
+        folders = (version or self.version).folders.get(name, [])
         if not folders:
             return empty(self.spark, spec.schema)
         rows = self._read(name, spec.schema, folders)
@@ -96,8 +97,10 @@ class SnapshotStore:
         schema = judged_schema(TABLES[name])
         return self._read(name, schema, list(folders)).select(*schema.names)
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in TABLES}
+    def tables(self) -> LazyTables:
+        """All tables as of the current version, also if read after a later commit."""
+        version = self.version
+        return LazyTables(lambda name: self.table(name, version))
 
     def write(self, name: str, rows: DataFrame) -> str:
         """Write rows to a new folder of the table, not yet part of any version."""

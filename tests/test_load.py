@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from deedflow.plans import invoice, reports
-from deedflow.plans.load import load_all, reload_all
+from deedflow.operators import integrity
+from deedflow.plans.load import load_all, reload_all, store_changes
 from deedflow.sources.literals import literal_batch
 from deedflow.sources.schema import LOAD_ORDER, TABLES, clear_order
 from deedflow.sources.store import SnapshotStore
@@ -182,6 +183,21 @@ def test_reload(spark, tmp_path):
     log = store.table("log_transactions")
     assert sorted(r[0] for r in rows(log)) == list(range(24, 47))
 
+    before = store.tables()
+    deleted = spark.createDataFrame([(787,), (165,)], "company_ID int")
+    store_changes(store, integrity.delete_rows(store.tables(), "companies", deleted))
+    assert store.table("companies").count() == 6
+    assert store.table("agents").filter("company_ID IS NULL").count() == 7
+    assert store.table("contracts_owner").filter("company_ID IS NULL").count() == 7
+    # Tables taken before a commit stay as they were.
+    assert before["companies"].count() == 8
+    renumbered = spark.createDataFrame([(4202, 14202)], "old_key int, new_key int")
+    store_changes(store, integrity.renumber_rows(store.tables(), "clients", renumbered))
+    assert rows(reports.top_customers(store.tables(), 1)) == [(14202, "Aria", "Garcia", 2575000)]
+    with pytest.raises(integrity.IntegrityError, match="log_transactions.transaction_id"):
+        sold = spark.createDataFrame([(5061,)], "transaction_ID int")
+        integrity.delete_rows(store.tables(), "transactions", sold)
+
 
 def test_clear_order_is_children_first():
     order = clear_order()
