@@ -42,8 +42,9 @@ _SOLD_GATE = f"""
   WITH {_EVENTS}, numbered AS (
     SELECT r.seq, r.property_ID, prop_status,
            row_number() OVER (PARTITION BY r.property_ID ORDER BY r.seq) AS n
-    FROM rows r JOIN customers c ON r.property_ID = c.property_ID)
+    FROM rows r LEFT JOIN customers c ON r.property_ID = c.property_ID)
 """
+_SOLD = "(prop_status = 'Sold' OR (prop_status IS NOT NULL AND n > 1))"
 
 
 def _exclusive(stored: str, batch: str, scope: str) -> str:
@@ -60,6 +61,7 @@ def _exclusive(stored: str, batch: str, scope: str) -> str:
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
     FROM batch b)
   SELECT seq, CASE
+      WHEN {scope.split(",")[0]} IS NULL THEN 'accepted'
       WHEN coalesce(yes, 0) > 0 THEN 'exclusivity_clash'
       WHEN coalesce(no, 0) > 0 AND exclusivity = 'Yes' THEN 'exclusivity_clash'
       WHEN coalesce(no, 0) = 0 AND earlier = 'Yes' THEN 'exclusivity_clash'
@@ -171,19 +173,17 @@ ORACLES: dict[str, str] = {
   WITH {_VIEWS}, marked AS ({_STATUS}) SELECT property_ID AS "property_ID", prop_status FROM marked
 """,
     "g3_sold_gate": f"""{_SOLD_GATE}
-  SELECT seq, CASE WHEN prop_status = 'Sold' OR n > 1 THEN 'already_sold' ELSE 'accepted' END
-           AS outcome
-  FROM numbered
+  SELECT seq, CASE WHEN {_SOLD} THEN 'already_sold' ELSE 'accepted' END AS outcome FROM numbered
 """,
     "g8_reject_messages": f"""{_SOLD_GATE}
   SELECT seq, 'Cannot perform a transaction on Property ID: ' || CAST(property_ID AS VARCHAR)
            || ' that is already sold.' AS message
-  FROM numbered WHERE prop_status = 'Sold' OR n > 1
+  FROM numbered WHERE {_SOLD}
 """,
     "g3_reopen_epochs": f"""
   WITH {_EVENTS}, events_of AS (
     SELECT r.seq, r.property_ID, prop_status, property_TYPE, o_orderpriority = '1-URGENT' AS contract
-    FROM rows r JOIN customers c ON r.property_ID = c.property_ID),
+    FROM rows r LEFT JOIN customers c ON r.property_ID = c.property_ID),
   epochs AS (
     SELECT *, sum(CASE WHEN contract AND property_TYPE = 'House' THEN 1 ELSE 0 END) OVER (
              PARTITION BY property_ID ORDER BY seq) AS epoch
@@ -192,7 +192,8 @@ ORACLES: dict[str, str] = {
     SELECT *, row_number() OVER (PARTITION BY property_ID, epoch ORDER BY seq) AS n
     FROM epochs WHERE NOT contract)
   SELECT seq, property_ID AS "property_ID",
-         CASE WHEN n = 1 AND (epoch > 0 OR prop_status <> 'Sold') THEN 'accepted'
+         CASE WHEN prop_status IS NULL THEN 'accepted'
+              WHEN n = 1 AND (epoch > 0 OR prop_status <> 'Sold') THEN 'accepted'
               ELSE 'already_sold' END AS outcome
   FROM sales
 """,
@@ -238,12 +239,14 @@ ORACLES: dict[str, str] = {
     SELECT r.seq, r.property_ID, c.prop_status,
            abs(r.seq) >= 1000000 AS long_key, abs(r.property_ID) >= 1000000 AS long_property,
            o_orderstatus = 'F' AS stored,
-           NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = r.property_ID
-                         AND c_mktsegment <> 'MACHINERY') AS orphan
+           r.property_ID IS NOT NULL AND NOT EXISTS (
+             SELECT 1 FROM customer WHERE c_custkey = r.property_ID
+               AND c_mktsegment <> 'MACHINERY') AS orphan
     FROM rows r LEFT JOIN customers c ON r.property_ID = c.property_ID),
   first AS (
     SELECT property_ID, min(seq) AS seq FROM local
-    WHERE NOT stored AND NOT orphan AND NOT long_key AND NOT long_property GROUP BY property_ID)
+    WHERE NOT stored AND NOT orphan AND NOT long_key AND NOT coalesce(long_property, false)
+    GROUP BY property_ID)
   SELECT l.seq AS "transaction_ID", concat_ws(',',
       CASE WHEN prop_status = 'Sold' OR l.seq > f.seq THEN 'already_sold' END,
       CASE WHEN long_key THEN 'type:transaction_ID' END,
@@ -265,25 +268,29 @@ ORACLES: dict[str, str] = {
     FROM (SELECT o_orderkey AS id, o_custkey AS property, o_orderdate AS day,
                  CASE o_orderpriority WHEN '1-URGENT' THEN 'Yes' WHEN '4-NOT SPECIFIED' THEN NULL
                       ELSE 'No' END AS exclusivity
-          FROM orders JOIN held ON held.id = o_custkey
-          WHERE o_orderstatus = 'P' AND o_orderkey < 1000000)),
+          FROM orders LEFT JOIN held ON held.id = o_custkey
+          WHERE o_orderstatus = 'P' AND o_orderkey < 1000000
+            AND (o_custkey IS NULL OR held.id IS NOT NULL))),
   contracts AS (
     SELECT id, property, day FROM contract
     WHERE coalesce(earlier, '') <> 'Yes'
       AND NOT (coalesce(earlier, '') = 'No' AND coalesce(exclusivity, '') = 'Yes')),
   signed AS (SELECT property, min(day) AS day FROM contracts GROUP BY property),
-  visited AS (
-    SELECT o_orderkey AS id, o_custkey AS property, o_orderdate AS day
-    FROM orders JOIN held ON held.id = o_custkey JOIN customer ON c_custkey = o_custkey
-    WHERE o_orderstatus = 'O' AND o_orderkey < 1000000 AND c_custkey < 1000000),
+  fitting AS (
+    SELECT o_orderkey AS id, o_custkey AS property, o_orderdate AS day, o_orderstatus
+    FROM orders LEFT JOIN held ON held.id = o_custkey LEFT JOIN customer ON c_custkey = o_custkey
+    WHERE o_orderkey < 1000000
+      AND (o_custkey IS NULL OR (held.id IS NOT NULL AND c_custkey < 1000000))),
+  visited AS (SELECT * FROM fitting WHERE o_orderstatus = 'O'),
   appointments AS (
     SELECT v.id FROM visited v LEFT JOIN signed USING (property)
     WHERE signed.day IS NULL OR v.day > signed.day),
   sale AS (
-    SELECT o_custkey AS property, min(o_orderkey) AS id, arg_min(o_orderdate, o_orderkey) AS day
-    FROM orders JOIN held ON held.id = o_custkey JOIN customer ON c_custkey = o_custkey
-    WHERE o_orderstatus = 'F' AND o_orderkey < 1000000 AND c_custkey < 1000000
-    GROUP BY o_custkey),
+    SELECT property, min(id) AS id, arg_min(day, id) AS day
+    FROM fitting WHERE o_orderstatus = 'F' AND property IS NOT NULL GROUP BY property),
+  sales AS (
+    SELECT id FROM sale
+    UNION ALL SELECT id FROM fitting WHERE o_orderstatus = 'F' AND property IS NULL),
   reviews AS (
     SELECT v.id FROM visited v LEFT JOIN sale USING (property)
     WHERE v.id < 100000 AND (sale.day IS NULL OR v.day > sale.day)),
@@ -295,10 +302,10 @@ ORACLES: dict[str, str] = {
     UNION ALL SELECT 'agents', s_suppkey FROM supplier WHERE s_suppkey < 1000000
     UNION ALL SELECT 'clients', c_custkey FROM customer WHERE c_custkey < 1000000
     UNION ALL SELECT 'appointments', id FROM appointments
-    UNION ALL SELECT 'transactions', id FROM sale
+    UNION ALL SELECT 'transactions', id FROM sales
     UNION ALL SELECT 'visits', id FROM appointments
     UNION ALL SELECT 'reviews', id FROM reviews
-    UNION ALL SELECT 'log_transactions', id FROM sale
+    UNION ALL SELECT 'log_transactions', id FROM sales
     UNION ALL SELECT 'sold properties', property FROM sale),
   given AS (
     SELECT 'companies' AS name, count(*) AS n FROM nation

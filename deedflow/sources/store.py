@@ -145,6 +145,10 @@ class SnapshotStore:
         self.version = new
         return new
 
+    def compact(self, name: str) -> Version:
+        """Bring the folders of many small batches together in one."""
+        return self.commit(replaced={name: self.write(name, self.table(name))})
+
     def clear(self) -> Version:
         """Empty every table, children before their parents.
 

@@ -119,6 +119,12 @@ def test_rule_script(store, add):
     assert error.value.message.startswith("Cannot set exclusivity if contracts without exclusivity")
     assert store.table("contracts_owner").filter("property_ID = 2651").count() == 3
 
+    # Bringing the folders of all batches together changes nothing.
+    kept = store.table("transactions").orderBy("transaction_ID").collect()
+    store.compact("transactions")
+    assert len(store.version.folders["transactions"]) == 1
+    assert store.table("transactions").orderBy("transaction_ID").collect() == kept
+
     # Two sales of the reopened house leave a review without the one to compare with.
     add("transactions", sale(6000, 2651, 4651, 3147, 8, "2020-01-01"))
     with pytest.raises(BatchRejected) as error:
