@@ -1,7 +1,7 @@
 """Rules that reject rows of an incoming batch, as joins against per-key state.
 
 Each gate returns the batch with a ``reject`` column: a reason code, or NULL for a
-row that passes.  ``seq`` is the arrival number.  ``counts`` names a boolean column
+row that passes.  ``seq`` is the arrival number.  ``storable`` names a boolean column
 marking the rows that may be stored at all: only those are seen by later rows.
 ``counted`` may name a cheaper frame with the batch's keys, to find overfull keys in.
 """
@@ -28,8 +28,8 @@ def _true(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def _counted(column: str, counts: str | None) -> Column:
-    return F.when(F.col(counts), F.col(column)) if counts else F.col(column)
+def _storable(column: str, storable: str | None) -> Column:
+    return F.when(F.col(storable), F.col(column)) if storable else F.col(column)
 
 
 def sold_gate(
@@ -39,7 +39,7 @@ def sold_gate(
     status: str = "prop_status",
     seq: str = "seq",
     sold: str = "Sold",
-    counts: str | None = None,
+    storable: str | None = None,
     counted: DataFrame | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
@@ -51,7 +51,7 @@ def sold_gate(
     first = (
         batch.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.min(_counted(seq, counts)).alias("_first"), F.max(seq).alias("_last"))
+        .agg(F.min(_storable(seq, storable)).alias("_first"), F.max(seq).alias("_last"))
     )
     # Properties with nothing to reject are left out of the join.
     state = (
@@ -158,7 +158,7 @@ def exclusivity_gate(
     scope: Sequence[str] = ("date_contract",),
     exclusivity: str = "exclusivity",
     seq: str = "seq",
-    counts: str | None = None,
+    storable: str | None = None,
     counted: DataFrame | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
@@ -170,7 +170,7 @@ def exclusivity_gate(
     blocks all after it; if not, it blocks the exclusive ones.
     """
     scope = list(scope)
-    known = _counted(seq, counts)
+    known = _storable(seq, storable)
     known = F.when(F.col(exclusivity).isNotNull(), known)
     arriving = batch.groupBy(*scope).agg(
         F.min(known).alias("_first"),

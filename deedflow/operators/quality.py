@@ -67,22 +67,33 @@ def too_long(column: str, length: int) -> Column:
     return F.coalesce(F.length(column) > length, F.lit(False))
 
 
-def too_many_digits(column: str, digits: int) -> Column:
-    return F.coalesce(F.abs(F.col(column)) >= F.lit(10**digits), F.lit(False))
+def too_many_digits(column: str, given: T.DataType, digits: int) -> Column:
+    number = F.col(column)
+    if not isinstance(given, T.IntegralType):
+        number = number.try_cast("decimal(38,0)")
+    return F.coalesce((number >= 10**digits) | (number <= -(10**digits)), F.lit(False))
 
 
-def loses_value(column: str, target: T.DataType) -> Column:
+def loses_value(column: str, given: T.DataType, target: T.DataType) -> Column:
     """True where a value does not survive the cast to the declared type unchanged."""
+    if given == target or isinstance(target, T.StringType):
+        return F.lit(False)
     value = F.col(column)
     typed = value.try_cast(target)
-    return value.isNotNull() & (typed.isNull() | F.coalesce(typed != value, F.lit(False)))
+    changed = typed != value
+    if isinstance(given, T.StringType):
+        # Text is compared as a number or only parsed, since a plain comparison would
+        # fail on text that is neither.
+        numeric = isinstance(target, T.NumericType)
+        changed = typed != value.try_cast("decimal(38,10)") if numeric else F.lit(False)
+    return value.isNotNull() & (typed.isNull() | F.coalesce(changed, F.lit(False)))
 
 
 def nonconforming(field: Field, given: T.DataType) -> Column:
     """True where a value does not fit the declared type, digits or length."""
-    bad = F.lit(False) if given == field.type else loses_value(field.name, field.type)
+    bad = loses_value(field.name, given, field.type)
     if field.digits:
-        bad = bad | too_many_digits(field.name, field.digits)
+        bad = bad | too_many_digits(field.name, given, field.digits)
     if field.length:
         bad = bad | too_long(field.name, field.length)
     return bad

@@ -38,7 +38,7 @@ def judge(
     rows = _mark(typed, table, exceptions)
     for key in (table.key, *table.unique):
         rows = _check_repeats(key, rows, exceptions)
-    rows = rows.withColumn("_counts", F.size("reasons") == 0)
+    rows = rows.withColumn("_storable", F.size("reasons") == 0)
     rows = _gate(name, rows, tables, scope, {"counted": typed, "hot_rows": hot_rows})
     reasons = F.array_compact(F.concat(F.array("reject"), F.col("reasons")))
     rows = rows.withColumn("reasons", reasons).withColumn("accepted", F.size("reasons") == 0)
@@ -140,14 +140,14 @@ def _gate(
     name: str, rows: DataFrame, tables: Tables, scope: Sequence[str], options: dict
 ) -> DataFrame:
     if name == "transactions":
-        return gates.sold_gate(rows, tables["properties"], counts="_counts", **options)
+        return gates.sold_gate(rows, tables["properties"], storable="_storable", **options)
     if name == "appointments":
         return gates.appointment_gate(rows, tables["contracts_owner"], **options)
     if name == "reviews":
         return gates.review_gate(rows, tables["transactions"], **options)
     if name == "contracts_owner":
         stored = tables["contracts_owner"]
-        return gates.exclusivity_gate(rows, stored, scope, counts="_counts", **options)
+        return gates.exclusivity_gate(rows, stored, scope, storable="_storable", **options)
     return rows.withColumn("reject", F.lit(None).cast("string"))
 
 

@@ -56,6 +56,21 @@ def test_conformity(spark):
     ]
 
 
+def test_text_that_should_be_something_else(spark):
+    frame = spark.createDataFrame(
+        [("0165", "2020-01-31"), ("x", "2020-1-31"), ("8.5", "soon"), (None, None), ("1234567", "")],
+        "n string, d string",
+    )
+    number = Field("n", T.IntegerType(), digits=6)
+    rate = Field("n", T.DecimalType(2, 1))
+    day = Field("d", T.DateType())
+    bad = [quality.nonconforming(f, T.StringType()) for f in (number, rate, day)]
+    assert [tuple(r) for r in frame.select(*bad).collect()] == [
+        (False, True, False), (True, True, False), (True, False, True), (False, False, False),
+        (True, True, True),
+    ]
+
+
 def test_whole_units(spark):
     frame = spark.createDataFrame(
         [(dt.date.fromisoformat(a), dt.date.fromisoformat(b)) for a, b in (

@@ -91,7 +91,7 @@ def test_sold_gate(spark, seed, hot_rows):
     status = {k: s for k, _, s in held}
     batch = [(i, k, rng.random() < 0.7) for i, k in enumerate(skewed(rng, 300))]
     rows = spark.createDataFrame(batch, "seq long, property_ID int, storable boolean")
-    judged = gates.sold_gate(rows, frame, counts="storable", hot_rows=hot_rows)
+    judged = gates.sold_gate(rows, frame, storable="storable", hot_rows=hot_rows)
     wanted = []
     for seq, key, storable in batch:
         rejected = status.get(key) == "Sold"
@@ -140,7 +140,7 @@ def test_exclusivity_gate(spark, seed, hot_rows):
     judged = gates.exclusivity_gate(
         spark.createDataFrame(batch, schema),
         spark.createDataFrame(stored, schema),
-        counts="storable",
+        storable="storable",
         hot_rows=hot_rows,
     )
     held, wanted = [(k, v) for _, k, v, _ in stored], []
