@@ -25,18 +25,14 @@ def invoice_header(
     """
     day: Column = F.current_date() if as_of is None else F.lit(as_of)
     companies = tables["companies"].filter(F.col("comp_name") == company)
+    bought = tables["transactions"].filter(F.col("client_ID") == client)
+    sales = bought.groupBy("property_ID", "client_ID").agg(F.count(F.lit(1)).alias("sales"))
     contracts = (
         tables["contracts_owner"]
-        .join(companies.select("company_ID"), "company_ID")
+        .join(companies.select("company_ID"), "company_ID", "left_semi")
         .groupBy("property_ID")
         .agg(F.count(F.lit(1)).alias("contracts"))
     )
-    sales = (
-        tables["transactions"]
-        .filter(F.col("client_ID") == client)
-        .groupBy("property_ID", "client_ID")
-        .agg(F.count(F.lit(1)).alias("sales"))
-    )
     sold = tables["properties"].filter(F.col("prop_status") == "Sold")
     clients = tables["clients"].filter(F.col("client_ID") == client)
     copies = F.col("contracts") * F.col("sales")
@@ -65,11 +61,11 @@ def invoice_lines(tables: Tables, company: str, client: int) -> DataFrame:
     company_id = (
         tables["companies"].filter(F.col("comp_name") == company).select("company_ID").scalar()
     )
+    bought = tables["transactions"].filter(F.col("client_ID") == client)
     contracts = tables["contracts_owner"].filter(F.col("company_ID") == company_id)
     agents = tables["agents"].select("agent_ID", "first_name_agent", "last_name_agent")
     return (
-        tables["transactions"]
-        .filter(F.col("client_ID") == client)
+        bought
         .join(
             tables["properties"].select("property_ID", "property_TYPE", "listing_price"),
             "property_ID",
