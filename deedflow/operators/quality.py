@@ -99,18 +99,18 @@ def nonconforming(field: Field, given: T.DataType) -> Column:
     return bad
 
 
-def row_reasons(rows: DataFrame, table: Table) -> Column:
-    """Array of the reasons for which a row fails by itself, empty if it passes."""
-    reasons = []
+def row_checks(rows: DataFrame, table: Table) -> dict[str, Column]:
+    """The checks of a row by itself: reason and condition, true where the row fails."""
+    checks = {}
     for field in table.fields:
         given = rows.schema[field.name].dataType
-        reasons.append(F.when(nonconforming(field, given), f"type:{field.name}"))
+        if given != field.type or field.digits or field.length:
+            checks[f"type:{field.name}"] = nonconforming(field, given)
         if field.required:
-            reasons.append(F.when(F.col(field.name).isNull(), f"not_null:{field.name}"))
+            checks[f"not_null:{field.name}"] = F.col(field.name).isNull()
         if field.domain:
-            reasons.append(F.when(outside(field.name, field.domain), f"domain:{field.name}"))
-    reasons += [F.when(fails(condition), f"check:{name}") for name, condition in table.checks]
-    return F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+            checks[f"domain:{field.name}"] = outside(field.name, field.domain)
+    return checks | {f"check:{name}": fails(condition) for name, condition in table.checks}
 
 
 def conformity_report(rows: DataFrame, table: Table) -> DataFrame:

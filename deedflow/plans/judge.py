@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedflow.operators import gates
-from deedflow.operators.quality import row_reasons
+from deedflow.operators.quality import row_checks
 from deedflow.plans.reports import Tables
 from deedflow.session import cut_lineage
 from deedflow.sources.literals import fill_columns
@@ -33,46 +33,63 @@ def judge(
     candidate: the later ones are rejected even if a gate rejects that first one.
     """
     table = TABLES[name]
-    typed = _check_rows(table, batch)
+    batch = fill_columns(batch, {f.name: f.type for f in table.fields})
+    checks = row_checks(batch, table)
+    bits = _bits([*checks, *_looked_up(table)])
+    typed = _typed(table, batch, checks, bits)
     exceptions = _exceptions(table, typed, tables)
-    rows = _mark(typed, table, exceptions)
+    rows = _mark(typed, table, exceptions, bits)
     for key in (table.key, *table.unique):
-        rows = _check_repeats(key, rows, exceptions)
-    rows = rows.withColumn("_storable", F.size("reasons") == 0)
+        rows = _check_repeats(key, rows, exceptions, bits)
+    rows = rows.withColumn("_storable", F.col("_failed") == 0)
     rows = _gate(name, rows, tables, scope, {"counted": typed, "hot_rows": hot_rows})
-    reasons = F.array_compact(F.concat(F.array("reject"), F.col("reasons")))
-    rows = rows.withColumn("reasons", reasons).withColumn("accepted", F.size("reasons") == 0)
-    first = F.try_element_at("reasons", F.lit(1))
-    message = F.when(F.col("reject").isNotNull(), _message(name)).otherwise(first)
+
+    accepted = F.col("_storable") & F.col("reject").isNull()
+    failed = [F.when(F.col("_failed").bitwiseAND(bit) != 0, reason) for reason, bit in bits.items()]
+    reasons = F.array_compact(F.array("reject", *failed))
     offered = F.coalesce("offered", F.to_json(F.struct(*table.columns)))
-    return rows.withColumn("message", message).select(
+    # Passing rows, nearly all, are spared the lists and texts.
+    return rows.select(
         *table.columns,
         "seq",
-        "reasons",
-        "message",
-        F.when(~F.col("accepted"), offered).alias("offered"),
-        "accepted",
+        F.when(accepted, F.array().cast("array<string>")).otherwise(reasons).alias("reasons"),
+        F.when(F.col("reject").isNotNull(), _message(name))
+        .when(~accepted, reasons[0])
+        .alias("message"),
+        F.when(~accepted, offered).alias("offered"),
+        accepted.alias("accepted"),
     )
 
 
-def _check_rows(table: Table, batch: DataFrame) -> DataFrame:
-    """Typed columns, the reasons found in a row alone, and the row if it did not fit."""
-    batch = fill_columns(batch, {f.name: f.type for f in table.fields})
-    reasons = row_reasons(batch, table)
-    misfit = F.exists(reasons, lambda reason: reason.startswith("type:"))
+def _looked_up(table: Table) -> dict[str, str]:
+    """Reasons that need a look at other rows, with the column looked at."""
+    orphans = {f"orphan:{r.column}": r.column for r in table.references}
+    return orphans | {f"duplicate:{key}": key for key in (table.key, *table.unique)}
+
+
+def _bits(reasons: list[str]) -> dict[str, int]:
+    """One bit per reason: a row carries its failed checks as one number."""
+    return {reason: 1 << i for i, reason in enumerate(reasons)}
+
+
+def _failed(checks: dict[str, Column], bits: dict[str, int]) -> Column:
+    marks = [F.when(c, F.lit(bits[r]).cast("long")).otherwise(0) for r, c in checks.items()]
+    return reduce(Column.bitwiseOR, marks)
+
+
+def _typed(
+    table: Table, batch: DataFrame, checks: dict[str, Column], bits: dict[str, int]
+) -> DataFrame:
+    """Typed columns, the checks failed by a row alone, and the row if it did not fit."""
+    misfits = [failed for reason, failed in checks.items() if reason.startswith("type:")]
     return batch.select(
         *[F.col(f.name).try_cast(f.type).alias(f.name) for f in table.fields],
         F.col("seq").cast("long").alias("seq"),
-        reasons.alias("reasons"),
-        F.when(misfit, F.to_json(F.struct(*table.columns))).alias("offered"),
+        _failed(checks, bits).alias("_failed"),
+        F.when(reduce(Column.__or__, misfits), F.to_json(F.struct(*table.columns))).alias("offered"),
     )
 
 
-def _with_reasons(rows: DataFrame, found: dict[str, Column]) -> DataFrame:
-    more = [F.when(failed, reason) for reason, failed in found.items()]
-    return rows.withColumn("reasons", F.array_compact(F.concat("reasons", F.array(*more))))
-
-
 def _exceptions(table: Table, rows: DataFrame, tables: Tables) -> DataFrame:
     """Values that break a reference, are stored already, or occur in several rows.
 
@@ -109,31 +126,33 @@ def _with_reason(exceptions: DataFrame, rows: DataFrame, reason: str, column: st
     return exceptions.filter(F.col("reason") == reason).select(F.col("value").cast(kind).alias(column))
 
 
-def _mark(rows: DataFrame, table: Table, exceptions: DataFrame) -> DataFrame:
-    reasons = {f"orphan:{r.column}": r.column for r in table.references}
-    reasons |= {f"duplicate:{key}": key for key in (table.key, *table.unique)}
+def _mark(
+    rows: DataFrame, table: Table, exceptions: DataFrame, bits: dict[str, int]
+) -> DataFrame:
+    reasons = _looked_up(table)
     for reason, column in reasons.items():
         hits = _with_reason(exceptions, rows, reason, column)
         rows = rows.join(hits.withColumn(f"_{reason}", F.lit(True)), column, "left")
-    marks = {reason: F.col(f"_{reason}") for reason in reasons}
-    return _with_reasons(rows, marks).drop(*[f"_{reason}" for reason in reasons])
+    found = _failed({reason: F.col(f"_{reason}") for reason in reasons}, bits)
+    rows = rows.withColumn("_failed", F.col("_failed").bitwiseOR(found))
+    return rows.drop(*[f"_{reason}" for reason in reasons])
 
 
-def _check_repeats(key: str, rows: DataFrame, exceptions: DataFrame) -> DataFrame:
+def _check_repeats(
+    key: str, rows: DataFrame, exceptions: DataFrame, bits: dict[str, int]
+) -> DataFrame:
     repeated = _with_reason(exceptions, rows, f"repeated:{key}", key)
     if repeated.isEmpty():
         return rows
-    candidate = F.when(F.size("reasons") == 0, F.col("seq"))
     first = (
         rows.join(repeated, key, "left_semi")
+        .filter(F.col("_failed") == 0)
         .groupBy(key)
-        .agg(F.min(candidate).alias("_first"))
-        .filter(F.col("_first").isNotNull())
+        .agg(F.min("seq").alias("_first"))
     )
     rows = rows.join(cut_lineage(first, f"first-{key}"), key, "left")
-    reason = f"duplicate:{key}"
-    late = (F.col("seq") > F.col("_first")) & ~F.array_contains("reasons", reason)
-    return _with_reasons(rows, {reason: late}).drop("_first")
+    late = _failed({f"duplicate:{key}": F.col("seq") > F.col("_first")}, bits)
+    return rows.withColumn("_failed", F.col("_failed").bitwiseOR(late)).drop("_first")
 
 
 def _gate(
