@@ -99,8 +99,8 @@ def nonconforming(field: Field, given: T.DataType) -> Column:
     return bad
 
 
-def row_checks(rows: DataFrame, table: Table) -> dict[str, Column]:
-    """The checks of a row by itself: reason and condition, true where the row fails."""
+def value_checks(rows: DataFrame, table: Table) -> dict[str, Column]:
+    """Reason and condition, true where a value as given fails, per declared column."""
     checks = {}
     for field in table.fields:
         given = rows.schema[field.name].dataType
@@ -110,7 +110,12 @@ def row_checks(rows: DataFrame, table: Table) -> dict[str, Column]:
             checks[f"not_null:{field.name}"] = F.col(field.name).isNull()
         if field.domain:
             checks[f"domain:{field.name}"] = outside(field.name, field.domain)
-    return checks | {f"check:{name}": fails(condition) for name, condition in table.checks}
+    return checks
+
+
+def stated_checks(table: Table) -> dict[str, Column]:
+    """The same for the table's CHECK conditions, to be applied to typed columns."""
+    return {f"check:{name}": fails(condition) for name, condition in table.checks}
 
 
 def conformity_report(rows: DataFrame, table: Table) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedflow.operators import gates
-from deedflow.operators.quality import row_checks
+from deedflow.operators.quality import stated_checks, value_checks
 from deedflow.plans.reports import Tables
 from deedflow.session import cut_lineage
 from deedflow.sources.literals import fill_columns
@@ -34,9 +34,10 @@ def judge(
     """
     table = TABLES[name]
     batch = fill_columns(batch, {f.name: f.type for f in table.fields})
-    checks = row_checks(batch, table)
-    bits = _bits([*checks, *_looked_up(table)])
+    checks, stated = value_checks(batch, table), stated_checks(table)
+    bits = _bits([*checks, *stated, *_looked_up(table)])
     typed = _typed(table, batch, checks, bits)
+    typed = typed.withColumn("_failed", F.col("_failed").bitwiseOR(_failed(stated, bits)))
     exceptions = _exceptions(table, typed, tables)
     rows = _mark(typed, table, exceptions, bits)
     for key in (table.key, *table.unique):
@@ -74,13 +75,13 @@ def _bits(reasons: list[str]) -> dict[str, int]:
 
 def _failed(checks: dict[str, Column], bits: dict[str, int]) -> Column:
     marks = [F.when(c, F.lit(bits[r]).cast("long")).otherwise(0) for r, c in checks.items()]
-    return reduce(Column.bitwiseOR, marks)
+    return reduce(Column.bitwiseOR, marks, F.lit(0).cast("long"))
 
 
 def _typed(
     table: Table, batch: DataFrame, checks: dict[str, Column], bits: dict[str, int]
 ) -> DataFrame:
-    """Typed columns, the checks failed by a row alone, and the row if it did not fit."""
+    """Typed columns, the checks that values failed, and the row if it did not fit."""
     misfits = [failed for reason, failed in checks.items() if reason.startswith("type:")]
     return batch.select(
         *[F.col(f.name).try_cast(f.type).alias(f.name) for f in table.fields],

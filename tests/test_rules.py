@@ -304,6 +304,24 @@ def test_values_that_do_not_fit(spark, tables):
     assert found[4].offered is None and found[4].date_review == day("2020-01-01")
 
 
+def test_rows_that_come_as_text(spark, tables):
+    text = {name: T.StringType() for name in TABLES["properties"].columns}
+    rows = [
+        ("0011", "1", "House", "Sold", "X", "1", "500"),
+        ("12", "1", "House", "Sold", "X", "large", "500"),
+        ("13", "one", "House", "Sold", "X", "0", "500"),
+        ("14", "1", "House", "Sold", "X", "10.5", "500"),
+    ]
+    found = judge("properties", literal_batch(spark, "properties", rows, types=text), tables)
+    assert verdicts(found) == [
+        [],
+        ["type:size"],
+        ["type:owner_ID", "check:positive_size_and_price"],
+        ["type:size"],
+    ]
+    assert found.filter("accepted").select("property_ID", "listing_price").first() == (11, Decimal(500))
+
+
 def test_required_values_domains_and_checks(spark, tables):
     one = Decimal(1)
     rows = [
