@@ -5,19 +5,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from deedflow.llm import warc
-from deedflow.llm.rows import read
+from deedflow.llm import decontaminate, mixing, pu_quality, tree_rules, warc
+from deedflow.llm.rows import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# The mixture: four domains by the number of the source, weights by domain and language.
+MIX_LEVELS = ("domain", "lang", "source")
+MIX_WEIGHTS = {
+    "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
+    "lang": {"en": 5, "de": 2, "fr": 2, "es": 1},
+}
+DOMAIN = "coalesce(concat('domain', cast(regexp_extract(source, '([0-9]+)$', 1) AS int) % 4), 'none')"
+
+
+def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "lang", "source", mixing.word_count().alias("n_tokens"))
+    sized = written(docs.withColumn("domain", F.expr(DOMAIN)), "mix-sizes")
+    rows = mixing.mix(sized, MIX_LEVELS, MIX_WEIGHTS, share=(8, 10), max_epochs=2, seed=17)
+    return rows.select("doc_id", *MIX_LEVELS, "epoch", "n_tokens", "taken_tokens")
+
+
+def op2_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    return pu_quality.score_documents(docs, pu_quality.train(docs, labels)[0])
+
+
+def op3_tree_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    return tree_rules.judge_quality(docs, tree_rules.train(docs, labels))
+
+
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = warc.warc_round_trip(read(spark, folder, "pages"))
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op9_warc,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op5_decontaminate, op9_warc)}
 
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, {5 * i + 1}, 5))::BIGINT >> {s}) & 31)::INT, 1)"
