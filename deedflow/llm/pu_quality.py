@@ -31,7 +31,7 @@ from deedflow.llm.tree_rules import in_training
 
 BUCKETS = 512
 TRAIN_ROWS = 6_000
-EPOCHS, BATCH, RATE, DECAY = 40, 256, 0.02, 1e-4
+EPOCHS, BATCH, RATE, DECAY = 40, 256, 0.02, 1e-3
 THRESHOLD = 0.3
 
 
@@ -74,7 +74,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, seed:
     random = np.random.default_rng(seed)
     w = np.zeros(both.shape[1] + 1)
     first, second, step = np.zeros_like(w), np.zeros_like(w), 0
-    for _ in range(EPOCHS):
+    mean = np.zeros_like(w)
+    for epoch in range(EPOCHS):
         for _ in range(max(1, max(len(p), len(u)) // BATCH)):
             xp, xu = (x[random.integers(0, len(x), BATCH)] for x in (p, u))
             sp, su = (_sigmoid(x @ w[:-1] + w[-1]) for x in (xp, xu))
@@ -89,8 +90,11 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, seed:
             g[:-1] += DECAY * w[:-1]
             step += 1
             first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
-            w -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Scorer(centre, scale, w[:-1], float(w[-1]))
+            w -= RATE * (1 - epoch / EPOCHS) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+            mean += w if epoch >= EPOCHS // 2 else 0
+    # The mean over the second half of the steps; a single step's weights still sway.
+    mean /= (EPOCHS - EPOCHS // 2) * max(1, max(len(p), len(u)) // BATCH)
+    return Scorer(centre, scale, mean[:-1], float(mean[-1]))
 
 
 def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:

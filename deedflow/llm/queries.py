@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedflow.llm import decontaminate, mixing, pu_quality, tree_rules, warc
+from deedflow.llm import decontaminate, mixing, pii, pu_quality, tree_rules, warc
 from deedflow.llm.rows import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,12 +43,24 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    found = pii.find_personal_data(docs, pii.learn(docs))
+    base = pii.span_list(*pii.BASE)
+    return found.select(
+        "doc_id",
+        *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(base, 256).alias("base_sha256"),
+        pii.span_list(*pii.BASE, *pii.ADDED).alias("spans"),
+    )
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = warc.warc_round_trip(read(spark, folder, "pages"))
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op5_decontaminate, op9_warc)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op5_decontaminate, op8_pii, op9_warc)}
 
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, {5 * i + 1}, 5))::BIGINT >> {s}) & 31)::INT, 1)"

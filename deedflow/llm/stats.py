@@ -16,6 +16,7 @@ FEATURES = {
     "symbol_rate": -1,
     "dup_line_rate": -1,
     "repeat_rate": -1,
+    "echo_rate": -1,
     "upper_rate": -1,
     "bang_rate": -1,
     "pipe_rate": -1,
@@ -93,17 +94,20 @@ def statistics(column: pa.Array) -> dict[str, np.ndarray]:
         "n_repeat_words": np.bincount(words.rows[repeated_words(words)], minlength=n),
     }
     chars, many = np.maximum(base["word_chars"], 1), np.maximum(counts, 1)
+    each, rows_of_words = word_hashes(words), words.rows
+    echo = (each[1:] == each[:-1]) & (rows_of_words[1:] == rows_of_words[:-1])
     short = (words.ends - words.starts) <= 3
     rates = {
         "symbol_rate": base["n_symbols"] / chars,
         "dup_line_rate": base["n_dup_lines"] / np.maximum(lines, 1),
         "repeat_rate": base["n_repeat_words"] / many,
+        "echo_rate": np.bincount(rows_of_words[1:][echo], minlength=n) / many,
         "upper_rate": _per_row((data >= 65) & (data <= 90), offsets) / chars,
         "bang_rate": _per_row(data == 33, offsets) / chars,
         "pipe_rate": _per_row(data == 124, offsets) / many,
         "digit_rate": _per_row((data >= 48) & (data <= 57), offsets) / chars,
         "mean_word": base["word_chars"] / many,
-        "stop_rate": np.bincount(words.rows[short], minlength=n) / many,
+        "stop_rate": np.bincount(rows_of_words[short], minlength=n) / many,
         "words_per_line": np.log1p(counts / np.maximum(lines, 1)),
         "log_words": np.log1p(counts),
     }
