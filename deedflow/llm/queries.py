@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedflow.llm import decontaminate, mixing, pii, pu_quality, tree_rules, warc
+from deedflow.llm import decontaminate, mixing, pii, pu_quality, sharding, tree_rules, warc
 from deedflow.llm.rows import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,12 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op5_decontaminate, op8_pii, op9_warc)}
+def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sharding.shard_documents(read(spark, folder, "documents"), shards=40)
+    return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op5_decontaminate, op8_pii, op9_warc, op10_kd_shards)}
 
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, {5 * i + 1}, 5))::BIGINT >> {s}) & 31)::INT, 1)"
