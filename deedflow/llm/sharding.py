@@ -24,7 +24,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from deedflow.llm.rows import id_or_last, written
@@ -79,32 +79,33 @@ class _Search:
         return max(1, -(-(self.high - self.low + 1) // BINS))
 
     def inside(self) -> Column:
-        key = F.col(self.node.keys[len(self.fixed)])
         same = [F.col(k) == v for k, v in zip(self.node.keys, self.fixed, strict=False)]
-        return reduce(Column.__and__, same, (F.col("_node") == self.node.first) & key.between(self.low, self.high))
+        return reduce(Column.__and__, same, (F.col("_node") == self.node.first) & self.key().between(self.low, self.high))
 
     def bin(self) -> Column:
         return F.expr(f"CAST(({self.node.keys[len(self.fixed)]} - {self.low}) div {self.width} AS int)")
 
-    def narrow(self, histogram: dict[int, int], target: float) -> bool:
+    def key(self) -> Column:
+        return F.col(self.node.keys[len(self.fixed)])
+
+    def narrow(self, histogram: dict[int, Row], target: float) -> bool:
         """Go on inside the range that holds the goal; True once the cut is set."""
-        at, weight = max(histogram, default=0), 0
         for b in sorted(histogram):
-            if self.before + histogram[b] > self.goal or b == at:
-                at, weight = b, histogram[b]
+            found = histogram[b]
+            if self.before + found["size"] > self.goal:
                 break
-            self.before += histogram[b]
-        width, key = self.width, len(self.fixed)
-        self.low = self.low + at * width
-        self.high = min(self.high, self.low + width - 1)
-        heavy = weight > target * (GROUP if key == 1 and width == 1 else TOLERANCE)
-        last = key + 1 == len(self.node.keys)
-        if heavy and self.low < self.high:
-            return False
-        if heavy and not last:
-            self.fixed, self.low, self.high = (*self.fixed, self.low), 0, _TOP
-            return False
-        nearer_end = self.before + weight - self.goal < self.goal - self.before
+            self.before += found["size"]
+        else:
+            self.before -= found["size"]
+        self.low, self.high = found["low"], found["high"]
+        one_text = len(self.fixed) == 1 and self.low == self.high
+        if found["n"] > 1 and found["size"] > target * (GROUP if one_text else TOLERANCE):
+            if self.low < self.high:
+                return False
+            if len(self.fixed) + 1 < len(self.node.keys):
+                self.fixed, self.low, self.high = (*self.fixed, self.low), 0, _TOP
+                return False
+        nearer_end = self.before + found["size"] - self.goal < self.goal - self.before
         self.node.cut = (*self.fixed, self.high + 1 if nearer_end else self.low)
         return True
 
@@ -144,12 +145,15 @@ def cut_once(rows: DataFrame, nodes: dict[int, Node], names: list[str], target:
         goal = r["size"] * (node.shards // 2) / node.shards
         searches[node.first] = _Search(node, goal, r[f"min{widest}"], r[f"max{widest}"])
     while searches:
-        value = reduce(lambda c, s: F.when(F.col("_node") == s.node.first, s.bin()).otherwise(c), searches.values(), F.lit(None))
+        by_node = lambda f: reduce(lambda c, s: F.when(F.col("_node") == s.node.first, f(s)).otherwise(c), searches.values(), F.lit(None))  # noqa: B023, E731
         inside = reduce(Column.__or__, [s.inside() for s in searches.values()])
-        sums = rows.filter(inside).groupBy("_node", value.alias("_bin")).agg(F.sum("_size").alias("size"))
-        histograms: dict[int, dict[int, int]] = {first: {} for first in searches}
+        ranges = rows.filter(inside).select("_node", "_size", by_node(_Search.bin).alias("_bin"), by_node(_Search.key).alias("_key"))
+        sums = ranges.groupBy("_node", "_bin").agg(
+            F.sum("_size").alias("size"), F.count(F.lit(1)).alias("n"), F.min("_key").alias("low"), F.max("_key").alias("high")
+        )
+        histograms: dict[int, dict[int, Row]] = {first: {} for first in searches}
         for r in sums.collect():
-            histograms[r["_node"]][r["_bin"]] = r["size"]
+            histograms[r["_node"]][r["_bin"]] = r
         searches = {k: s for k, s in searches.items() if not s.narrow(histograms[k], target)}
 
 
