@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedflow.llm import decontaminate, mixing, pii, pu_quality, sharding, tree_rules, warc
+from deedflow.llm import decontaminate, line_dedup, mixing, pii, pu_quality, sharding, tree_rules, warc
 from deedflow.llm.rows import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op6_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    rows = line_dedup.without_repeated_chunks(read(spark, folder, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     found = pii.find_personal_data(docs, pii.learn(docs))
@@ -65,7 +70,7 @@ def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op5_decontaminate, op8_pii, op9_warc, op10_kd_shards)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op5_decontaminate, op6_line_chunks, op8_pii, op9_warc, op10_kd_shards)}
 
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, {5 * i + 1}, 5))::BIGINT >> {s}) & 31)::INT, 1)"
@@ -73,7 +78,39 @@ _BASE32 = " || ".join(
     for s in (15, 10, 5, 0)
 )
 
+_ROLLING = " + ".join(
+    f"CASE WHEN i > {j} THEN hashes[i - {j}] * {factor} ELSE 0 END" for j, factor in enumerate(line_dedup.FACTORS)
+)
+
 ORACLES = {
+    "op6_line_chunks": f"""
+WITH lined AS (
+  SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents
+), hashed AS (
+  SELECT *, [('0x' || substr(md5(x), 1, 7))::BIGINT FOR x IN lines] AS hashes FROM lined
+), ended AS (
+  SELECT doc_id, lines,
+    [i FOR i IN range(1, len(lines) + 1) IF (({_ROLLING}) // 8) % {line_dedup.SHARE} = 0 OR i = len(lines)] AS ends
+  FROM hashed
+), bounds AS (
+  SELECT doc_id, lines, ends, unnest(range(1, len(ends) + 1)) AS j FROM ended
+), chunks AS (
+  SELECT doc_id, CASE WHEN j = 1 THEN 1 ELSE ends[j - 1] + 1 END AS a, ends[j] AS b,
+    array_to_string(lines[(CASE WHEN j = 1 THEN 1 ELSE ends[j - 1] + 1 END):ends[j]], chr(10)) AS chunk
+  FROM bounds
+), judged AS (
+  SELECT doc_id, a, b, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, a) AS place FROM chunks
+  WHERE b > a AND regexp_matches(chunk, '[^\\x20\\x09-\\x0D]')
+), cuts AS (
+  SELECT doc_id, list(i) AS gone FROM (SELECT doc_id, unnest(range(a, b + 1)) AS i FROM judged WHERE place > 1) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, lines, [lines[i] FOR i IN range(1, len(lines) + 1) IF NOT list_contains(coalesce(gone, []), i)] AS kept
+  FROM lined LEFT JOIN cuts USING (doc_id)
+)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::BIGINT AS n_removed,
+  sha256(array_to_string(kept, chr(10))) AS kept_sha256
+FROM kept
+""",
     "op9_warc": f"""
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
