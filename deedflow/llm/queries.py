@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedflow.llm import decontaminate, line_dedup, mixing, pii, pu_quality, sharding, tree_rules, warc
+from deedflow.llm import decontaminate, line_dedup, mixing, near_dedup, pii, pu_quality, sharding, tree_rules, warc
 from deedflow.llm.rows import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,10 @@ def op6_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, folder, "documents"))
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     found = pii.find_personal_data(docs, pii.learn(docs))
@@ -70,7 +74,7 @@ def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op5_decontaminate, op6_line_chunks, op8_pii, op9_warc, op10_kd_shards)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op5_decontaminate, op6_line_chunks, op7_near_duplicates, op8_pii, op9_warc, op10_kd_shards)}
 
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, {5 * i + 1}, 5))::BIGINT >> {s}) & 31)::INT, 1)"
@@ -82,7 +86,28 @@ _ROLLING = " + ".join(
     f"CASE WHEN i > {j} THEN hashes[i - {j}] * {factor} ELSE 0 END" for j, factor in enumerate(line_dedup.FACTORS)
 )
 
-ORACLES = {
+ORACLES: dict[str, str] = {
+    "op7_near_duplicates": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct([array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)]) END AS shingles
+  FROM w
+), e AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e AS a JOIN e AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (min(a.n) + min(b.n) - count(*))
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM s UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+), c AS (
+  SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+""",
     "op6_line_chunks": f"""
 WITH lined AS (
   SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents
