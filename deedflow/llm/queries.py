@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedflow.llm import decontaminate, line_dedup, mixing, near_dedup, pii, pu_quality, sharding, tree_rules, warc
+from deedflow.llm import decontaminate, line_dedup, mixing, near_dedup, pii, pu_quality, sharding, substring_dedup, tree_rules, warc
 from deedflow.llm.rows import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op3_tree_rules(spark: SparkSession, folder: str) -> DataFrame:
     return tree_rules.judge_quality(docs, tree_rules.train(docs, labels))
 
 
+def op4_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    rows = substring_dedup.without_repeats(read(spark, folder, "documents"), with_text=False)
+    return rows.drop("kept_text")
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
@@ -74,7 +79,7 @@ def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op5_decontaminate, op6_line_chunks, op7_near_duplicates, op8_pii, op9_warc, op10_kd_shards)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op4_substrings, op5_decontaminate, op6_line_chunks, op7_near_duplicates, op8_pii, op9_warc, op10_kd_shards)}
 
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, {5 * i + 1}, 5))::BIGINT >> {s}) & 31)::INT, 1)"
@@ -87,6 +92,24 @@ _ROLLING = " + ".join(
 )
 
 ORACLES: dict[str, str] = {
+    "op4_substrings": """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), e AS (
+  SELECT doc_id, unnest(range(1, len(words) - 11)) AS i, words FROM w
+), k AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS edge FROM e
+), cut AS (
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY edge) AS first FROM k) WHERE first < doc_id
+), gone AS (
+  SELECT doc_id, list(DISTINCT j) AS places FROM (SELECT doc_id, unnest(range(i, i + 13)) AS j FROM cut) GROUP BY doc_id
+), marks AS (
+  SELECT doc_id, words, coalesce(places, []) AS places FROM w LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(places)::BIGINT AS n_removed,
+  sha256(array_to_string([words[j] FOR j IN range(1, len(words) + 1) IF NOT list_contains(places, j)], ' ')) AS kept_sha256
+FROM marks
+""",
     "op7_near_duplicates": """
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
