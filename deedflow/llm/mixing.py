@@ -167,5 +167,5 @@ def mix(
 
 def first_words(text: str, count: str) -> Column:
     """The first words of a text up to ``count``, with what stands between them."""
-    pattern = F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), F.col(count).cast("string"), F.lit("}"))
-    return F.regexp_extract(F.col(text), pattern, 0)
+    pattern = F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), F.col(count).cast("string"), F.lit("}+"))
+    return F.coalesce(F.regexp_substr(F.col(text), pattern), F.lit(""))

@@ -19,6 +19,7 @@ MIX_WEIGHTS = {
     "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
     "lang": {"en": 5, "de": 2, "fr": 2, "es": 1},
 }
+SHARDS = 40
 DOMAIN = "coalesce(concat('domain', cast(regexp_extract(source, '([0-9]+)$', 1) AS int) % 4), 'none')"
 
 
@@ -75,7 +76,7 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
-    rows = sharding.shard_documents(read(spark, folder, "documents"), shards=40)
+    rows = sharding.shard_documents(read(spark, folder, "documents"), shards=SHARDS)
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
@@ -91,7 +92,92 @@ _ROLLING = " + ".join(
     f"CASE WHEN i > {j} THEN hashes[i - {j}] * {factor} ELSE 0 END" for j, factor in enumerate(line_dedup.FACTORS)
 )
 
+
+def _case(level: str) -> str:
+    whens = " ".join(f"WHEN {level} = '{value}' THEN {weight}" for value, weight in MIX_WEIGHTS.get(level, {}).items())
+    return f"(CASE {whens} ELSE 1 END)" if whens else "1"
+
+
+def _shares(depth: int) -> str:
+    """The budgets of the children at one depth of the mixture's tree."""
+    path, above = ", ".join(MIX_LEVELS[:depth]), ", ".join(MIX_LEVELS[: depth - 1])
+    node, name = f"PARTITION BY {above}" if above else "", MIX_LEVELS[depth - 1]
+    join = f"JOIN (SELECT {above}, given AS budget FROM given{depth - 1}) USING ({above})" if above else ", top"
+    return f"""
+a{depth} AS (
+  SELECT *, CASE WHEN weight > 0 THEN room::DOUBLE / weight::DOUBLE END AS ratio FROM room{depth} {join}
+), b{depth} AS (
+  SELECT *, weight > 0 AND room * sum(weight) OVER ({node} ORDER BY ratio NULLS LAST, {name} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= weight * (budget - coalesce(sum(room) OVER ({node} ORDER BY ratio NULLS LAST, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS filled
+  FROM a{depth}
+), c{depth} AS (
+  SELECT *, budget - sum(CASE WHEN filled THEN room ELSE 0 END) OVER ({node}) AS spare,
+    sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({node}) AS open_weight FROM b{depth}
+), d{depth} AS (
+  SELECT *, CASE WHEN filled OR weight = 0 THEN 0 ELSE (weight * spare) // open_weight END AS part FROM c{depth}
+), given{depth} AS (
+  SELECT {path}, room, CASE WHEN filled THEN room ELSE part + CASE WHEN weight > 0
+    AND row_number() OVER ({node} ORDER BY filled, ratio NULLS LAST, {name}) <= spare - sum(part) OVER ({node}) THEN 1 ELSE 0 END
+    END AS given FROM d{depth}
+)"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_mix": f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    coalesce('domain' || (regexp_extract(source, '([0-9]+)$', 1)::INT % 4)::VARCHAR, 'none') AS domain,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens
+  FROM documents
+), leaves AS (
+  SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens FROM docs GROUP BY ALL
+), room3 AS (
+  SELECT domain, lang, source, {_case("source")}::HUGEINT AS weight, CASE WHEN {_case("source")} > 0 THEN tokens * 2 ELSE 0 END::HUGEINT AS room FROM leaves
+), room2 AS (
+  SELECT domain, lang, {_case("lang")}::HUGEINT AS weight, CASE WHEN {_case("lang")} > 0 THEN sum(room) ELSE 0 END::HUGEINT AS room FROM room3 GROUP BY domain, lang
+), room1 AS (
+  SELECT domain, {_case("domain")}::HUGEINT AS weight, CASE WHEN {_case("domain")} > 0 THEN sum(room) ELSE 0 END::HUGEINT AS room FROM room2 GROUP BY domain
+), top AS (
+  SELECT least((SELECT sum(tokens) * 8 // 10 FROM leaves), sum(room)) AS budget FROM room1
+), {", ".join(_shares(depth) for depth in (1, 2, 3))}, plan AS (
+  SELECT domain, lang, source, given // tokens AS whole, given % tokens AS rest
+  FROM given3 JOIN leaves USING (domain, lang, source) WHERE given > 0
+), placed AS (
+  SELECT docs.*, whole, rest,
+    ('0x' || substr(md5('17:' || whole::VARCHAR || ':' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS place
+  FROM docs JOIN plan USING (domain, lang, source)
+), summed AS (
+  SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id, n_tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed
+)
+SELECT doc_id, domain, lang, source, unnest(range(whole::BIGINT)) AS epoch, n_tokens, n_tokens AS taken_tokens FROM placed
+UNION ALL
+SELECT doc_id, domain, lang, source, whole::BIGINT, n_tokens, least(n_tokens, rest - before)::BIGINT FROM summed WHERE before < rest
+""",
+    "op5_decontaminate": f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), t AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM benchmark
+), dw AS (
+  SELECT doc_id, len(words) AS n, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d
+), tw AS (
+  SELECT item_id, len(words) AS m, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM t
+), diagonals AS (
+  SELECT doc_id, item_id, i - j AS shift, n, m, list(j) AS places FROM dw JOIN tw USING (word) WHERE m >= {decontaminate.SPAN}
+  GROUP BY doc_id, item_id, i - j, n, m HAVING count(*) * 5 >= least(m, {decontaminate.STRETCH}) * 4
+), stretches AS (
+  SELECT *, least(m, {decontaminate.STRETCH}) AS need,
+    unnest(range(greatest(1, 1 - shift), least(m, n - shift) - least(m, {decontaminate.STRETCH}) + 2)) AS first FROM diagonals
+), counted AS (
+  SELECT doc_id, item_id, need, len(places) AS total, len([x FOR x IN places IF x >= first AND x < first + need]) AS most FROM stretches
+), best AS (
+  SELECT doc_id, item_id, max({{'most': most, 'total': total}}) AS top FROM counted WHERE most * 5 >= need * 4 GROUP BY doc_id, item_id
+)
+SELECT doc_id, item_id, top.most::BIGINT AS n_equal, top.total::BIGINT AS n_equal_total FROM best
+""",
     "op4_substrings": """
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
