@@ -13,9 +13,9 @@ only is in that document only.  Those parts are a sixth of all windows, and coun
 windows besides the truly repeated ones.  Hot windows and parts are counted before they are shuffled;
 joins have stored rows on both sides, so that Spark can split hot keys.
 
-Defined results: a null text has no words; a null id counts as larger than every other; rows with one
-id are one document where windows are judged, so they remove nothing from each other; an empty
-table gives no rows; two windows of equal 64-bit hash but different words are told apart by the digest,
+Defined results: a null text has no words; a null id counts as larger than every other; rows of one id
+remove nothing from each other, whether they are repeated or differ in text; an empty table gives no
+rows; two windows of equal 64-bit hash but different words are told apart by the digest,
 and the path stays in the text.
 """
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deedflow.llm.rows import NO_ID, id_or_last, written
+from deedflow.llm.rows import id_or_last, written
 from deedflow.llm.text import Words, mixed, pieces, windows, word_hashes, words_of
 
 WINDOW = 13
@@ -69,41 +69,47 @@ def _distinct_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sources(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_or_last().alias("id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    row = F.xxhash64(F.coalesce(text, F.lit("")))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_or_last().alias("id"), row.alias("row"), text.alias("text"))
 
 
 def _parts(docs: DataFrame) -> DataFrame:
-    """(part, id) for the distinct least parts of every text."""
+    """(part, id, row) for the distinct least parts of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in pieces(b)):
             parts, owners = _distinct_parts(batch.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(parts.view(np.int64)), batch.column("id").take(pa.array(owners))], ["part", "id"]
-            )
+            own = [batch.column(c).take(pa.array(owners)) for c in ("id", "row")]
+            yield pa.RecordBatch.from_arrays([pa.array(parts.view(np.int64)), *own], ["part", "id", "row"])
 
-    return _sources(docs).select("id", "text").mapInArrow(run, "part long, id long")
+    return _sources(docs).select("id", "row", "text").mapInArrow(run, "part long, id long, row long")
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """(id, num): the distinct ids, numbered from 0 in their order; ranges are counted, then shifted."""
-    ids = docs.select(id_or_last().alias("id")).distinct()
-    ranges = written(ids.repartitionByRange("id").withColumn("part", F.spark_partition_id()), "ids")
+    """(id, row, num, low): texts numbered from 0 by id, and the first number of each id.
+
+    Ranges of ids are counted, then shifted, so no task sees them all.
+    """
+    keys = _sources(docs).select("id", "row").distinct()
+    ranges = written(keys.repartitionByRange("id", "row").withColumn("part", F.spark_partition_id()), "ids")
     line = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition of the ids.
+    # One row per partition of the keys.
     starts = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("n")).withColumn("start", F.coalesce(F.sum("n").over(line), F.lit(0)))
-    inside = Window.partitionBy("part").orderBy("id")
+    inside = Window.partitionBy("part").orderBy("id", "row")
     rows = ranges.withColumn("place", F.row_number().over(inside) - 1).join(starts, "part")
-    return written(rows.select("id", (F.col("start") + F.col("place")).cast("long").alias("num")), "numbers")
+    rows = written(rows.select("id", "row", (F.col("start") + F.col("place")).cast("long").alias("num")), "numbers")
+    lows = written(rows.groupBy("id").agg(F.min("num").alias("low")), "lows")
+    return written(rows.join(lows, "id").select("id", "row", "num", "low"), "numbers")
 
 
 def _edges(docs: DataFrame, numbers: DataFrame) -> DataFrame:
-    """(edge, at) for every window that may repeat: its hash and its place."""
+    """(edge, at, low) for every window that may repeat: its hash, its place and its id's first number."""
     parts = _parts(docs)
     repeated = written(parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("part"), "parts")
-    marks = parts.join(repeated, "part").groupBy("id").agg(F.collect_set("part").alias("parts"))
-    marks = written(marks.join(numbers, "id"), "marks")
-    texts = _sources(docs).select("id", "text").join(marks, "id").select("num", "text", "parts")
+    marks = parts.join(repeated, "part").groupBy("id", "row").agg(F.collect_set("part").alias("parts"))
+    marks = written(marks.join(numbers, ["id", "row"]), "marks")
+    texts = _sources(docs).dropDuplicates(["id", "row"]).join(marks, ["id", "row"]).select("num", "low", "text", "parts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in pieces(b)):
@@ -119,9 +125,10 @@ def _edges(docs: DataFrame, numbers: DataFrame) -> DataFrame:
             edges, at = edges[kept], at[kept]
             places = at - words.bounds[rows[at]]
             number = batch.column("num").to_numpy()[rows[at]] << PLACE_BITS
-            yield pa.RecordBatch.from_arrays([pa.array(edges.view(np.int64)), pa.array(number + places)], ["edge", "at"])
+            low = batch.column("low").take(pa.array(rows[at]))
+            yield pa.RecordBatch.from_arrays([pa.array(edges.view(np.int64)), pa.array(number + places), low], ["edge", "at", "low"])
 
-    return written(texts.mapInArrow(run, "edge long, at long"), "edges")
+    return written(texts.mapInArrow(run, "edge long, at long, low long"), "edges")
 
 
 def _number(at: Column | str) -> Column:
@@ -131,12 +138,11 @@ def _number(at: Column | str) -> Column:
 def paths(docs: DataFrame, numbers: DataFrame) -> DataFrame:
     """(num, start, length, source, source_start): repeated passages, in words, and where they come from first."""
     edges = _edges(docs, numbers)
-    firsts = edges.groupBy("edge").agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    firsts = written(firsts.filter(_number("first") < _number("last")).select("edge", "first"), "first-places")
-    later = edges.join(firsts, "edge").filter(_number("first") < _number("at")).select("at", (F.col("at") - F.col("first")).alias("shift"))
-    # A repeated id may bring one place twice.
+    firsts = edges.groupBy("edge").agg(F.min("at").alias("first"), F.max("low").alias("last"))
+    firsts = written(firsts.filter(_number("first") < F.col("last")).select("edge", "first"), "first-places")
+    later = edges.join(firsts, "edge").filter(_number("first") < F.col("low")).select("at", (F.col("at") - F.col("first")).alias("shift"))
     run = Window.partitionBy("num", "shift").orderBy("at")
-    steps = later.withColumn("num", _number("at")).withColumn("run", F.col("at") - F.dense_rank().over(run))
+    steps = later.withColumn("num", _number("at")).withColumn("run", F.col("at") - F.row_number().over(run))
     ends = steps.groupBy("num", "shift", "run").agg(F.min("at").alias("low"), F.max("at").alias("high"))
     mask = F.lit((1 << PLACE_BITS) - 1)
     source = F.col("low") - F.col("shift")
@@ -169,7 +175,7 @@ class Plain:
 
 
 _DIGEST = "array<struct<source:long,start:long,length:long,digest:binary>>"
-_OUT = f"doc_id long, id long, n_words long, n_removed long, kept_sha256 string, kept_text string, claims {_DIGEST}, answers {_DIGEST}"
+_OUT = f"doc_id long, num long, n_words long, n_removed long, kept_sha256 string, kept_text string, claims {_DIGEST}, answers {_DIGEST}"
 _CLAIM = pa.list_(pa.struct([("source", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("digest", pa.binary())]))
 
 
@@ -186,7 +192,7 @@ def _apply(docs: DataFrame, numbers: DataFrame, spans: DataFrame, with_text: boo
     asked = spans.select(F.col("source").alias("num"), "source_start", "length").distinct()
     asked = asked.groupBy("num").agg(F.collect_list(F.struct("source_start", "length")).alias("asked"))
     work = written(numbers.join(own, "num", "left").join(asked, "num", "left").filter("spans IS NOT NULL OR asked IS NOT NULL"), "path-work")
-    rows = _sources(docs).join(work, "id", "left").select("doc_id", "id", "num", "text", "spans", "asked")
+    rows = _sources(docs).join(work, ["id", "row"], "left").select("doc_id", "num", "text", "spans", "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in pieces(b)):
@@ -199,8 +205,6 @@ def _apply(docs: DataFrame, numbers: DataFrame, spans: DataFrame, with_text: boo
                 for s in spans_ or ():
                     first = int(words.bounds[row]) + s["start"]
                     found = _digest(plain, words, row, s["start"], s["length"])
-                    if found is None:  # a path of another row with this id
-                        continue
                     cover[first] += 1
                     cover[first + s["length"]] -= 1
                     claimed.append({"source": s["source"], "start": s["source_start"], "length": s["length"], "digest": found})
@@ -216,12 +220,12 @@ def _apply(docs: DataFrame, numbers: DataFrame, spans: DataFrame, with_text: boo
             texts = [plain.text(a, b) for a, b in zip(plain.bounds, plain.bounds[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("id"), pa.array(words.counts), pa.array(gone),
+                    batch.column("doc_id"), batch.column("num"), pa.array(words.counts), pa.array(gone),
                     pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
                     pa.array([t.decode() for t in texts] if with_text else [None] * len(texts), pa.string()),
                     pa.array(claims, _CLAIM), pa.array(answers, _CLAIM),
                 ],
-                ["doc_id", "id", "n_words", "n_removed", "kept_sha256", "kept_text", "claims", "answers"],
+                ["doc_id", "num", "n_words", "n_removed", "kept_sha256", "kept_text", "claims", "answers"],
             )
 
     return written(rows.mapInArrow(run, _OUT), "judged")
@@ -233,9 +237,9 @@ def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     spans = paths(docs, numbers)
     rows = _apply(docs, numbers, spans, with_text)
     said = rows.select(F.explode("answers").alias("x")).select("x.*")
-    wrong = rows.select("id", F.explode("claims").alias("x")).select("id", "x.*")
+    wrong = rows.select("num", F.explode("claims").alias("x")).select("num", "x.*")
     wrong = wrong.join(said, ["source", "start", "length", "digest"], "left_anti")
-    wrong = written(wrong.join(numbers, "id").select("num", "source", F.col("start").alias("source_start"), "length"), "wrong-paths")
+    wrong = written(wrong.select("num", "source", F.col("start").alias("source_start"), "length"), "wrong-paths")
     if wrong.limit(1).count():
         true = spans.join(wrong.distinct(), ["num", "source", "source_start", "length"], "left_anti")
         rows = _apply(docs, numbers, written(true, "true-paths"), with_text)
