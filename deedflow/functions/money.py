@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def ratio(total: Column, units: Column, places: int = 4) -> Column:
-    """Decimal quotient rounded half up to ``places``."""
-    return F.round(total / units, places)
+    """Quotient of money by a count below 10^9, rounded half up to ``places``, 8 at most.
+
+    The types are chosen so that Spark keeps 13 places of the quotient.  It differs from a half of
+    the last place by 1 / (2 * 10^places * units) at least, so rounding it once more is exact.
+    """
+    return F.round(total.cast("decimal(26,2)") / units.cast("decimal(10,0)"), places)
 
 
 def total_of(price: Column, copies: Column) -> Column:

@@ -16,7 +16,8 @@ def full_name(first: Column, last: Column) -> Column:
 
 
 def invoice_number(*parts: Column, as_random: bool = False) -> Column:
-    """Number from 0 to 99999: a stable hash of the invoice's keys, or drawn at each read."""
+    """Number from 0 to 99999: from an md5 of the invoice's keys, or drawn at each read."""
     if as_random:
         return F.floor(F.rand() * 100000)
-    return F.pmod(F.xxhash64(*parts), F.lit(100000)).cast("long")
+    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100000

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedflow.functions.text import joined
@@ -27,12 +27,38 @@ def audit_log(
     )
 
 
+SOLD, FOR_SALE, HOUSE = "Sold", "For Sale", "House"
+
+
+def sold_keys(sales: DataFrame, key: str = "property_ID") -> DataFrame:
+    """The properties that accepted sales mark as sold, once each."""
+    return sales.filter(F.col(key).isNotNull()).select(key).distinct()
+
+
+def reopened_keys(
+    properties: DataFrame,
+    contracts: DataFrame,
+    key: str = "property_ID",
+    kind: str = "property_TYPE",
+    reopening: str = HOUSE,
+) -> DataFrame:
+    """The houses that accepted contracts put up for sale, once each."""
+    touched = contracts.filter(F.col(key).isNotNull()).select(key).distinct()
+    return touched.join(properties.filter(F.col(kind) == reopening), key, "left_semi")
+
+
 def _with_status(
-    properties: DataFrame, touched: DataFrame, key: str, status: str, value: str
+    properties: DataFrame,
+    touched: DataFrame,
+    key: str,
+    status: str,
+    value: str,
+    condition: Column | None = None,
 ) -> DataFrame:
     hits = touched.select(key).distinct().withColumn("_hit", F.lit(True))
+    hit = F.col("_hit") if condition is None else F.col("_hit") & condition
     columns = [
-        F.when(F.col("_hit"), value).otherwise(F.col(c)).alias(c) if c == status else F.col(c)
+        F.when(hit, value).otherwise(F.col(c)).alias(c) if c == status else F.col(c)
         for c in properties.columns
     ]
     return properties.join(hits, key, "left").select(*columns)
@@ -43,7 +69,7 @@ def mark_sold(
     sales: DataFrame,
     key: str = "property_ID",
     status: str = "prop_status",
-    sold: str = "Sold",
+    sold: str = SOLD,
 ) -> DataFrame:
     """The properties with every one that has an accepted sale set to sold."""
     return _with_status(properties, sales, key, status, sold)
@@ -55,16 +81,11 @@ def reopen(
     key: str = "property_ID",
     status: str = "prop_status",
     kind: str = "property_TYPE",
-    reopening: str = "House",
-    for_sale: str = "For Sale",
+    reopening: str = HOUSE,
+    for_sale: str = FOR_SALE,
 ) -> DataFrame:
     """The properties with every house that has an accepted contract put up for sale."""
-    columns = properties.columns
-    marked = properties.withColumn(
-        "_open_key", F.when(F.col(kind) == reopening, F.col(key))
-    )
-    hits = contracts.select(F.col(key).alias("_open_key"))
-    return _with_status(marked, hits, "_open_key", status, for_sale).select(*columns)
+    return _with_status(properties, contracts, key, status, for_sale, F.col(kind) == reopening)
 
 
 def final_status(
@@ -75,9 +96,9 @@ def final_status(
     status: str = "prop_status",
     kind: str = "property_TYPE",
     seq: str = "seq",
-    sold: str = "Sold",
-    reopening: str = "House",
-    for_sale: str = "For Sale",
+    sold: str = SOLD,
+    reopening: str = HOUSE,
+    for_sale: str = FOR_SALE,
 ) -> DataFrame:
     """The properties after sales and contracts that arrived mixed, in order of ``seq``.
 

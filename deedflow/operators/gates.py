@@ -32,6 +32,11 @@ def _storable(column: str, storable: str | None) -> Column:
     return F.when(F.col(storable), F.col(column)) if storable else F.col(column)
 
 
+def _touched(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The stored rows whose key is in the batch; others need not be aggregated."""
+    return stored.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+
+
 def sold_gate(
     batch: DataFrame,
     properties: DataFrame,
@@ -115,7 +120,7 @@ def appointment_gate(
 
     A property without a contract has nothing to compare with, so its rows pass.
     """
-    first = contracts.groupBy(key).agg(F.min(contract_day).alias("_first"))
+    first = _touched(contracts, batch, [key]).groupBy(key).agg(F.min(contract_day).alias("_first"))
     return (
         spread_join(batch, first, [key], seq, counted, hot_rows)
         .withColumn("reject", F.when(_true(F.col(day) <= F.col("_first")), BEFORE_CONTRACT))
@@ -137,7 +142,7 @@ def review_gate(
 
     The rule needs the one sale of the property: none passes, several are ambiguous.
     """
-    state = sales.groupBy(key).agg(
+    state = _touched(sales, batch, [key]).groupBy(key).agg(
         F.count(F.lit(1)).alias("_sales"), F.min(sale_day).alias("_sold_on")
     )
     return (
@@ -176,7 +181,7 @@ def exclusivity_gate(
         F.min(known).alias("_first"),
         F.min_by(F.col(exclusivity) == "Yes", known).alias("_first_yes"),
     )
-    stored = contracts.groupBy(*scope).agg(
+    stored = _touched(contracts, batch, scope).groupBy(*scope).agg(
         F.count_if(F.col(exclusivity) == "Yes").alias("_yes"),
         F.count_if(F.col(exclusivity) == "No").alias("_no"),
     )

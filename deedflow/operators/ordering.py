@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deedflow.operators.skew import HOT_ROWS, heavy_keys, tag_heavy
+from deedflow.session import cut_lineage
 
 BLOCK_BITS = 16
+# An overfull key is cut into so many blocks.
+MAX_BLOCKS = 256
 
 
 def with_previous(
@@ -20,21 +23,29 @@ def with_previous(
 ) -> DataFrame:
     """``rows`` with the non-NULL ``value`` of the row before it in its key, by ``seq``.
 
-    Rows with a NULL key have no previous row.  An overfull key is cut into blocks of
-    ``hot_rows`` sequence numbers; each block is handed the last value of the block
-    before it.
+    Rows with a NULL key have no previous row.  The sequence numbers of an overfull key
+    are cut at quantiles into ``MAX_BLOCKS`` blocks, however sparse they are, and each
+    block is handed the last value of the block before it.  The quantiles are
+    approximate: they only decide where blocks end, not what is found.
     """
     hot_rows = hot_rows or HOT_ROWS
+    heavy = heavy_keys(rows, [key], hot_rows)
+    tagged = tag_heavy(rows, heavy, [key])
+    hot = tagged.filter(F.col("_fan").isNotNull() & F.col(key).isNotNull())
+    points = F.array(*[F.lit(i / MAX_BLOCKS) for i in range(1, MAX_BLOCKS)])
+    cuts = hot.groupBy(key).agg(F.percentile_approx(seq, points, F.lit(10 * MAX_BLOCKS)).alias("_cuts"))
+    cuts = cut_lineage(cuts, "previous-cuts")
     block = (
         F.when(F.col(key).isNull(), F.col(seq))
-        .when(F.col("_fan").isNotNull(), F.floor(F.col(seq) / hot_rows))
+        .when(F.col("_cuts").isNotNull(), F.expr(f"size(filter(_cuts, c -> c < {seq}))"))
         .otherwise(0)
         .cast("long")
     )
-    blocks = tag_heavy(rows, heavy_keys(rows, [key], hot_rows), [key]).withColumn("_block", block)
+    # Overfull keys are few by HOT_SHARE, and their cuts of bounded length.
+    blocks = rows.join(F.broadcast(cuts), key, "left").withColumn("_block", block).drop("_cuts")
     chained = Window.partitionBy(key).orderBy("_block")
     handed = (
-        blocks.filter(F.col("_fan").isNotNull() & F.col(key).isNotNull())
+        blocks.join(F.broadcast(cuts.select(key)), key, "left_semi")
         .groupBy(key, "_block")
         .agg(F.max_by(value, seq).alias("_last"))
         .select(key, "_block", F.lag("_last").over(chained).alias("_handed"))
@@ -43,7 +54,7 @@ def with_previous(
     return (
         blocks.join(handed, [key, "_block"], "left")
         .withColumn(name, F.coalesce(F.lag(value).over(inside), "_handed"))
-        .drop("_fan", "_block", "_handed")
+        .drop("_block", "_handed")
     )
 
 
@@ -62,11 +73,15 @@ def with_ids(rows: DataFrame, seq: str, name: str, start: int = 0) -> DataFrame:
     levels of 2^16 blocks each, and the rows numbered inside their block.  No window
     partition exceeds 2^16 rows, whatever the frame's size: three levels cover 64 bits.
     """
+    missing = F.raise_error(F.lit("rows to be numbered need a seq"))
+    rows = rows.withColumn(seq, F.coalesce(F.col(seq), missing.cast(rows.schema[seq].dataType)))
     levels = [f"_level{i}" for i in range(3)]
+    # The counts of blocks are small and used on all three levels.
     counts = rows.groupBy(
         *[F.shiftright(F.col(seq).cast("long"), BLOCK_BITS * (i + 1)).alias(level)
           for i, level in enumerate(levels)]
     ).agg(F.count(F.lit(1)).alias("_count"))
+    counts = cut_lineage(counts, "id-blocks")
     middle = counts.groupBy(levels[1], levels[2]).agg(F.sum("_count").alias("_middle"))
     top = middle.groupBy(levels[2]).agg(F.sum("_middle").alias("_top"))
 

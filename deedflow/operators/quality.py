@@ -89,6 +89,24 @@ def loses_value(column: str, given: T.DataType, target: T.DataType) -> Column:
     return value.isNotNull() & (typed.isNull() | F.coalesce(changed, F.lit(False)))
 
 
+def as_stored(column: str, given: T.DataType, target: T.DataType) -> Column:
+    """The value as an insert stores it: numbers are rounded to the declared places."""
+    value = F.col(column)
+    if isinstance(target, T.IntegralType) and not isinstance(given, T.IntegralType):
+        value = F.round(value.try_cast("decimal(38,10)"))
+    return value.try_cast(target)
+
+
+def unfit(field: Field, given: T.DataType) -> Column:
+    """True where a value cannot be stored at all: unreadable, out of range or too long."""
+    bad = F.col(field.name).isNotNull() & as_stored(field.name, given, field.type).isNull()
+    if field.digits:
+        bad = bad | too_many_digits(field.name, given, field.digits)
+    if field.length:
+        bad = bad | too_long(field.name, field.length)
+    return bad
+
+
 def nonconforming(field: Field, given: T.DataType) -> Column:
     """True where a value does not fit the declared type, digits or length."""
     bad = loses_value(field.name, given, field.type)
@@ -105,7 +123,7 @@ def value_checks(rows: DataFrame, table: Table) -> dict[str, Column]:
     for field in table.fields:
         given = rows.schema[field.name].dataType
         if given != field.type or field.digits or field.length:
-            checks[f"type:{field.name}"] = nonconforming(field, given)
+            checks[f"type:{field.name}"] = unfit(field, given)
         if field.required:
             checks[f"not_null:{field.name}"] = F.col(field.name).isNull()
         if field.domain:

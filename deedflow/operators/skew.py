@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this is dealt out over several tasks.
 HOT_ROWS = 200_000
-# At most this many keys are salted, the fullest first, which bounds the broadcast.
-# Any key beyond them has less than 1/MAX_HOT_KEYS of all rows and joins unsalted.
-MAX_HOT_KEYS = 100_000
+# A key is salted if it also has more than this part of all rows, which bounds the number of
+# salted keys and so the broadcast.
+HOT_SHARE = 1 / 10_000
 
 
 def heavy_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
@@ -26,13 +26,10 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int | None = None
     NULL counts as a key of its own.  The count is combined on the map side.
     """
     hot_rows = hot_rows or HOT_ROWS
-    return (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_fan"))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    share = counts.agg((F.sum("_rows") * HOT_SHARE).alias("_least")).scalar()
+    return counts.filter((F.col("_rows") > hot_rows) & (F.col("_rows") > share)).select(
+        *keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_fan")
     )
 
 

@@ -21,7 +21,8 @@ def invoice_header(
     """Head and total of a client's invoice; no row without a sold property.
 
     A property counts once per contract with the company and per sale to the client.
-    Both are counted per property before they meet.
+    Both are counted per property before they meet, contracts only for what the client
+    bought.
     """
     day: Column = F.current_date() if as_of is None else F.lit(as_of)
     companies = tables["companies"].filter(F.col("comp_name") == company)
@@ -30,6 +31,7 @@ def invoice_header(
     contracts = (
         tables["contracts_owner"]
         .join(companies.select("company_ID"), "company_ID", "left_semi")
+        .join(sales.select("property_ID"), "property_ID", "left_semi")
         .groupBy("property_ID")
         .agg(F.count(F.lit(1)).alias("contracts"))
     )

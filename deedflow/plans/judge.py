@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedflow.operators import gates
-from deedflow.operators.quality import stated_checks, value_checks
+from deedflow.operators.quality import as_stored, stated_checks, value_checks
+from deedflow.plans import conflicts
 from deedflow.plans.reports import Tables
 from deedflow.session import cut_lineage
 from deedflow.sources.literals import fill_columns
@@ -29,23 +30,32 @@ def judge(
     ``seq`` order.  ``reasons`` lists the gate's reason first, ``offered`` holds the row
     as it came in, as JSON.
 
-    Of several rows with one key only the first that passes the row-local checks is a
-    candidate: the later ones are rejected even if a gate rejects that first one.
+    Names are matched without regard to case.  ``seq`` gives the order, so a row without a
+    whole number there, or with the number of another row, is rejected.
+
+    The result is that of rows stored one after the other: a row that is rejected, for
+    whatever reason, holds no key and bars nothing.
     """
     table = TABLES[name]
     batch = fill_columns(batch, {f.name: f.type for f in table.fields})
     checks, stated = value_checks(batch, table), stated_checks(table)
+    checks["type:seq"] = F.col("seq").try_cast("long").isNull()
     bits = _bits([*checks, *stated, *_looked_up(table)])
     typed = _typed(table, batch, checks, bits)
     typed = typed.withColumn("_failed", F.col("_failed").bitwiseOR(_failed(stated, bits)))
     exceptions = _exceptions(table, typed, tables)
-    rows = _mark(typed, table, exceptions, bits)
-    for key in (table.key, *table.unique):
-        rows = _check_repeats(key, rows, exceptions, bits)
-    rows = rows.withColumn("_storable", F.col("_failed") == 0)
-    rows = _gate(name, rows, tables, scope, {"counted": typed, "hot_rows": hot_rows})
-
-    accepted = F.col("_storable") & F.col("reject").isNull()
+    rows = _mark(typed, table, exceptions, bits).withColumn("_storable", F.col("_failed") == 0)
+    options = {"counted": typed, "hot_rows": hot_rows}
+    repeated = [
+        key
+        for key in (table.key, *table.unique)
+        if not exceptions.filter(F.col("reason") == f"repeated:{key}").isEmpty()
+    ]
+    if repeated:
+        rows = _settled(name, table, rows, repeated, exceptions, tables, scope, options, bits)
+    rows = _gate(name, rows, tables, scope, options)
+
+    accepted = (F.col("_failed") == 0) & F.col("reject").isNull()
     failed = [F.when(F.col("_failed").bitwiseAND(bit) != 0, reason) for reason, bit in bits.items()]
     reasons = F.array_compact(F.array("reject", *failed))
     offered = F.coalesce("offered", F.to_json(F.struct(*table.columns)))
@@ -65,7 +75,7 @@ def judge(
 def _looked_up(table: Table) -> dict[str, str]:
     """Reasons that need a look at other rows, with the column looked at."""
     orphans = {f"orphan:{r.column}": r.column for r in table.references}
-    return orphans | {f"duplicate:{key}": key for key in (table.key, *table.unique)}
+    return orphans | {f"duplicate:{key}": key for key in (table.key, *table.unique, "seq")}
 
 
 def _bits(reasons: list[str]) -> dict[str, int]:
@@ -82,12 +92,12 @@ def _typed(
     table: Table, batch: DataFrame, checks: dict[str, Column], bits: dict[str, int]
 ) -> DataFrame:
     """Typed columns, the checks that values failed, and the row if it did not fit."""
-    misfits = [failed for reason, failed in checks.items() if reason.startswith("type:")]
+    misfits = [failed for reason, failed in checks.items() if reason.startswith("type:") and reason != "type:seq"]
     return batch.select(
-        *[F.col(f.name).try_cast(f.type).alias(f.name) for f in table.fields],
-        F.col("seq").cast("long").alias("seq"),
+        *[as_stored(f.name, batch.schema[f.name].dataType, f.type).alias(f.name) for f in table.fields],
+        F.col("seq").try_cast("long").alias("seq"),
         _failed(checks, bits).alias("_failed"),
-        F.when(reduce(Column.__or__, misfits), F.to_json(F.struct(*table.columns))).alias("offered"),
+        F.when(reduce(Column.__or__, misfits, F.lit(False)), F.to_json(F.struct(*table.columns))).alias("offered"),
     )
 
 
@@ -102,8 +112,8 @@ def _exceptions(table: Table, rows: DataFrame, tables: Tables) -> DataFrame:
         column = reference.column
         parent = tables[reference.parent].select(F.col(TABLES[reference.parent].key).alias(column))
         values = _values(rows, column)
-        known = parent.join(values, column, "left_semi")
-        found.append(_exception(values.join(known, column, "left_anti"), column, "orphan"))
+        found.append(_exception(values.join(parent, column, "left_anti"), column, "orphan"))
+    found.append(_exception(_values(rows, "seq").filter(F.col("copies") > 1), "seq", "duplicate"))
     for key in (table.key, *table.unique):
         values = _values(rows, key)
         found.append(_exception(tables[table.name].select(key).join(values, key), key, "duplicate"))
@@ -139,21 +149,63 @@ def _mark(
     return rows.drop(*[f"_{reason}" for reason in reasons])
 
 
-def _check_repeats(
-    key: str, rows: DataFrame, exceptions: DataFrame, bits: dict[str, int]
+def _settled(
+    name: str,
+    table: Table,
+    rows: DataFrame,
+    keys: Sequence[str],
+    exceptions: DataFrame,
+    tables: Tables,
+    scope: Sequence[str],
+    options: dict,
+    bits: dict[str, int],
 ) -> DataFrame:
-    repeated = _with_reason(exceptions, rows, f"repeated:{key}", key)
-    if repeated.isEmpty():
-        return rows
-    first = (
-        rows.join(repeated, key, "left_semi")
-        .filter(F.col("_failed") == 0)
-        .groupBy(key)
-        .agg(F.min("seq").alias("_first"))
+    """Rows that share a ``repeated`` key, decided as if they came one by one.
+
+    A row loses a key to an earlier stored row only, so whether that one passes the gate
+    has to be known.  Of gates that look at the batch itself, the groups of such rows are
+    decided with them; ``_storable`` then holds for stored rows only, which lets the gate
+    see what the host would have seen.
+    """
+    group = {"transactions": ("property_ID",), "contracts_owner": tuple(scope)}.get(name, ())
+    # What the stored tables alone reject: no row of the batch counts as storable.
+    alone = _gate(name, rows.withColumn("_storable", F.lit(False)), tables, scope, options)
+    alone = alone.withColumn("_storable", (F.col("_failed") == 0) & F.col("reject").isNull())
+    alone = cut_lineage(alone.drop("reject"), f"judged-{name}")
+    sharing = F.lit(False)
+    for key in keys:
+        hits = _with_reason(exceptions, rows, f"repeated:{key}", key).withColumn(f"_shared_{key}", F.lit(True))
+        alone = alone.join(hits, key, "left")
+        sharing |= F.coalesce(f"_shared_{key}", F.lit(False))
+    alone = cut_lineage(
+        alone.withColumn("_sharing", sharing).drop(*[f"_shared_{key}" for key in keys]), f"sharing-{name}"
     )
-    rows = rows.join(cut_lineage(first, f"first-{key}"), key, "left")
-    late = _failed({f"duplicate:{key}": F.col("seq") > F.col("_first")}, bits)
-    return rows.withColumn("_failed", F.col("_failed").bitwiseOR(late)).drop("_first")
+    contested = alone.filter("_sharing AND _storable")
+    if group:
+        known = reduce(Column.__and__, [F.col(c).isNotNull() for c in group])
+        groups = cut_lineage(contested.filter(known).select(*group).distinct(), "contested-groups")
+        others = alone.filter("NOT _sharing AND _storable").join(groups, list(group), "left_semi")
+        contested = contested.unionByName(others.select(contested.columns))
+        if name == "transactions":
+            kind = F.when(F.col("property_ID").isNull(), conflicts.MUTE).otherwise(conflicts.ALONE)
+        else:
+            kind = F.when(F.col("exclusivity") == "Yes", conflicts.ALONE).when(
+                F.col("exclusivity") == "No", conflicts.SHARED
+            )
+        contested = contested.withColumn("_kind", F.coalesce(kind, F.lit(conflicts.MUTE)))
+    contested = cut_lineage(contested, "contested")
+    stored = cut_lineage(conflicts.settle(contested, keys, group), "settled")
+    lost = cut_lineage(contested.select("seq").join(stored, "seq", "left_anti"), "lost")
+    alone = alone.join(lost.withColumn("_lost", F.lit(True)), "seq", "left")
+    alone = alone.withColumn("_storable", F.col("_storable") & F.col("_lost").isNull())
+    alone = cut_lineage(alone.drop("_lost", "_sharing"), f"storable-{name}")
+    for key in keys:
+        holders = contested.join(stored, "seq", "left_semi").filter(F.col(key).isNotNull())
+        holders = cut_lineage(holders.select(key, F.col("seq").alias("_holder")), f"holders-{key}")
+        late = _failed({f"duplicate:{key}": F.col("seq") > F.col("_holder")}, bits)
+        alone = alone.join(holders, key, "left")
+        alone = alone.withColumn("_failed", F.col("_failed").bitwiseOR(late)).drop("_holder")
+    return alone
 
 
 def _gate(

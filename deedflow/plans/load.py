@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deedflow.operators.effects import audit_log, mark_sold, reopen
+from deedflow.operators.effects import FOR_SALE, SOLD, audit_log, reopened_keys, sold_keys
 from deedflow.plans.judge import judge
 from deedflow.sources.schema import LOAD_ORDER
 from deedflow.sources.store import SnapshotStore
@@ -37,7 +37,7 @@ def apply_batch(
     batch: DataFrame,
     mode: str = ATOMIC,
     scope: Sequence[str] = ("date_contract",),
-    stream_batch: int | None = None,
+    stream_batch: tuple[str, int] | None = None,
     hot_rows: int | None = None,
 ) -> BatchResult:
     """Judge a batch, store its accepted rows and what they entail, as one version.
@@ -57,24 +57,24 @@ def apply_batch(
         if first:
             raise BatchRejected(name, first[0].seq, first[0].reasons[0], first[0].message)
 
-    appended, replaced, last_log_id = {name: folder}, {}, None
-    if name == "transactions":
+    appended, changed, last_log_id = {name: folder}, {}, None
+    stored = accepted.count() if name in ("transactions", "contracts_owner") else 0
+    if stored and name == "transactions":
         start = store.version.last_log_id
         appended["log_transactions"] = store.write(
             "log_transactions", audit_log(accepted, last_id=start)
         )
-        last_log_id = start + accepted.count()
-        replaced["properties"] = store.write(
-            "properties", mark_sold(tables["properties"], accepted)
-        )
-    elif name == "contracts_owner":
-        replaced["properties"] = store.write("properties", reopen(tables["properties"], accepted))
+        last_log_id = start + stored
+        changed["properties"] = store.write_status("properties", sold_keys(accepted), SOLD)
+    elif stored and name == "contracts_owner":
+        keys = reopened_keys(tables["properties"], accepted)
+        changed["properties"] = store.write_status("properties", keys, FOR_SALE)
     store.commit(
         appended,
-        replaced,
+        changed=changed,
         judged=(name, folder),
         last_log_id=last_log_id,
-        stream_batch=None if stream_batch is None else (name, stream_batch),
+        stream_batch=stream_batch,
     )
     return BatchResult(accepted, rejected)
 

@@ -149,6 +149,7 @@ ORACLES: dict[str, str] = {
     "v1_invoice_header": f"""
   WITH {_VIEWS}, marked AS ({_STATUS})
   SELECT n_name AS "Company", DATE '2024-01-01' AS "Date",
+         ('0x' || substr(md5('NATION_19|86|2024-01-01'), 1, 8))::BIGINT % 100000 AS "Invoice Number",
          split_part(c_name, '#', 1) || ' ' || split_part(c_name, '#', 2) AS "Customer Name",
          CAST(coalesce(sum(listing_price), 0) AS DOUBLE) AS "Total Sales"
   FROM nation
@@ -328,11 +329,10 @@ ORACLES: dict[str, str] = {
 """,
     "k2_unique": "SELECT p_name, count(*) AS copies FROM part GROUP BY p_name HAVING count(*) > 1",
     "k3_null_profile": """
-  SELECT count(*) - count(o_orderkey) AS o_orderkey_nulls,
-         count(*) - count(o_orderdate) AS o_orderdate_nulls,
-         count(*) - count(l_orderkey) AS l_orderkey_nulls,
-         count(*) - count(l_shipdate) AS l_shipdate_nulls
-  FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
+  SELECT count(*) - count(o_orderkey) AS o_orderkey_nulls, count(*) - count(o_custkey) AS o_custkey_nulls,
+         count(*) FILTER (o_orderpriority IS NULL OR o_orderpriority = '4-NOT SPECIFIED') AS o_orderpriority_nulls,
+         count(*) FILTER (o_totalprice IS NULL OR o_totalprice < 100000) AS o_totalprice_nulls
+  FROM orders
 """,
     "k4_check": "SELECT c_custkey, c_acctbal FROM customer WHERE NOT (c_acctbal > 0)",
     "k5_check_nullable": """
@@ -352,6 +352,38 @@ ORACLES: dict[str, str] = {
     "k8_set_null": """
   SELECT c_custkey, CASE WHEN n_regionkey <> 0 THEN c_nationkey END AS c_nationkey
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+""",
+    "k8_delete_rows": """
+  SELECT 'company' AS kind, CAST(n_nationkey AS BIGINT) AS id, CAST(NULL AS BIGINT) AS company FROM nation
+  WHERE NOT (n_regionkey = 0 AND n_nationkey IN (SELECT c_nationkey FROM customer))
+  UNION ALL
+  SELECT 'agent', s_suppkey, CASE WHEN NOT (n_regionkey = 0 AND n_nationkey IN (SELECT c_nationkey FROM customer))
+         THEN s_nationkey END
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+""",
+    "k9_renumber_rows": """
+  WITH moved AS (
+    SELECT n_nationkey FROM nation WHERE n_regionkey = 1 AND n_nationkey IN (SELECT c_nationkey FROM customer))
+  SELECT 'company' AS kind, CAST(n_nationkey + CASE WHEN n_nationkey IN (FROM moved) THEN 100 ELSE 0 END AS BIGINT) AS id,
+         CAST(NULL AS BIGINT) AS company FROM nation
+  UNION ALL
+  SELECT 'agent', s_suppkey, s_nationkey + CASE WHEN s_nationkey IN (FROM moved) THEN 100 ELSE 0 END FROM supplier
+""",
+    "g9_judge_bad_seq": """
+  WITH rows AS (
+    SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 10 <= 2 THEN c_custkey - c_custkey % 10
+             ELSE c_custkey END AS seq FROM customer)
+  SELECT c_custkey AS "client_ID", reasons = '' AS accepted, reasons FROM (
+    SELECT c_custkey, concat_ws(',',
+        CASE WHEN c_custkey >= 1000000 THEN 'type:client_ID' END,
+        CASE WHEN seq IS NULL THEN 'type:seq' END,
+        CASE WHEN seq IS NOT NULL AND count(*) OVER (PARTITION BY seq) > 1 THEN 'duplicate:seq' END) AS reasons
+    FROM rows)
+""",
+    "k1_k2_judge_repeats": """
+  SELECT c_custkey * 3 + turn AS seq, c_custkey * 2 + CASE turn WHEN 0 THEN 0 ELSE 1 END AS "owner_ID",
+         turn <> 1 AS accepted, CASE turn WHEN 1 THEN 'duplicate:contact' ELSE '' END AS reasons
+  FROM customer, (VALUES (0), (1), (2)) t(turn)
 """,
     "k9_cascade": """
   SELECT c_custkey, CASE WHEN n_regionkey = 1 THEN c_nationkey + 100 ELSE c_nationkey END
@@ -453,13 +485,23 @@ ORACLES: dict[str, str] = {
     "f3_whole_years": f"WITH spans AS ({_SPANS}) SELECT o_custkey, {_YEARS} AS years FROM spans",
     "f4_whole_months": f"WITH spans AS ({_SPANS}) SELECT o_custkey, {_MONTHS} AS months FROM spans",
     "f5_f6_invoice_heads": """
-  SELECT c_custkey, true AS has_date, true AS stable_in_range, true AS drawn_in_range FROM customer
+  SELECT c_custkey, current_date AS today,
+         ('0x' || substr(md5('NATION_19|' || c_custkey || '|2024-01-01'), 1, 8))::BIGINT % 100000 AS number
+  FROM customer
 """,
     "f8_decimal_division": f"""
   WITH spans AS ({_SPANS})
   SELECT o_custkey, CAST(round(CAST(total * 10000 / ({_MONTHS} + 1) AS DECIMAL(30,6)), 0) AS DOUBLE)
            / 10000 AS monthly
   FROM spans
+""",
+    "f8_long_division": """
+  WITH parts AS (
+    SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS HUGEINT) AS cents, CAST(o_custkey + 101 AS HUGEINT) AS units
+    FROM orders),
+  scaled AS (
+    SELECT o_orderkey, (cents * 200 + units) // (units * 2) AS q FROM parts)
+  SELECT o_orderkey, CAST(q // 10000 AS VARCHAR) || '.' || lpad(CAST(q % 10000 AS VARCHAR), 4, '0') AS quotient FROM scaled
 """,
     "f10_date_literal": """
   SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from deedflow.functions.dates import month_label, on_days, whole_months, whole_years, within
 from deedflow.functions.money import ratio
@@ -18,6 +19,7 @@ from deedflow.plans.star_load import bulk_load
 from deedflow.sources import star
 from deedflow.sources.literals import append_rows
 from deedflow.sources.schema import TABLES, Field
+from deedflow.sources.store import empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,7 +82,7 @@ def q5_reviewed_cities(spark: SparkSession, folder: str) -> DataFrame:
 def v1_invoice_header(spark: SparkSession, folder: str) -> DataFrame:
     tables = star.brokerage(spark, folder) | {"properties": _sold_in_1995(spark, folder)}
     header = invoice.invoice_header(tables, COMPANY, CLIENT, AS_OF)
-    return _as_double(header.drop("Invoice Number"), "Total Sales")
+    return _as_double(header, "Total Sales")
 
 
 @_query
@@ -244,6 +246,40 @@ def g9_judge_sales(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("transaction_ID", "accepted", F.array_join("reasons", ",").alias("reasons"))
 
 
+def _empty_but(spark: SparkSession, **tables: DataFrame) -> dict[str, DataFrame]:
+    return {name: empty(spark, table.schema) for name, table in TABLES.items()} | tables
+
+
+@_query
+def g9_judge_bad_seq(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as clients whose arrival numbers are missing or shared by some."""
+    customers = star.read(spark, folder, "customer")
+    key = F.col("c_custkey")
+    batch = customers.select(
+        F.when(key % 10 != 0, F.when(key % 10 <= 2, key - key % 10).otherwise(key)).alias("seq"),
+        key.alias("client_ID"), F.lit("a").alias("first_name"), F.lit("b").alias("last_name"),
+        key.cast("string").alias("contact"),
+    )
+    judged = judge("clients", batch, _empty_but(spark))
+    return judged.select("client_ID", "accepted", F.array_join("reasons", ",").alias("reasons"))
+
+
+@_query
+def k1_k2_judge_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as owners, each three times; the middle one offers a key that is free."""
+    key = F.col("c_custkey").cast("int")
+    rows = star.read(spark, folder, "customer").withColumn("turn", F.explode(F.array(*map(F.lit, (0, 1, 2)))))
+    batch = rows.select(
+        (key.cast("long") * 3 + F.col("turn")).alias("seq"),
+        # (1, A) is stored; (2, A) loses its contact, so it holds no key; (2, B) is stored.
+        (key * 2 + F.when(F.col("turn") == 0, 0).otherwise(1)).alias("owner_ID"),
+        F.lit("a").alias("first_name"), F.lit("b").alias("last_name"),
+        F.concat(key.cast("string"), F.when(F.col("turn") == 2, "b").otherwise("a")).alias("contact"),
+    )
+    judged = judge("owners", batch, _empty_but(spark))
+    return judged.select("seq", "owner_ID", "accepted", F.array_join("reasons", ",").alias("reasons"))
+
+
 @_query
 def s6_bulk_load(spark: SparkSession, folder: str) -> DataFrame:
     return bulk_load(spark, folder)
@@ -265,11 +301,14 @@ def k2_unique(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def k3_null_profile(spark: SparkSession, folder: str) -> DataFrame:
-    orders, lines = star.read(spark, folder, "orders"), star.read(spark, folder, "lineitem")
-    joined_rows = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-    return quality.null_profile(
-        joined_rows, ["o_orderkey", "o_orderdate", "l_orderkey", "l_shipdate"]
+    """Customer, order and date of orders; priorities and totals that mean nothing are NULL."""
+    orders = star.read(spark, folder, "orders").withColumns(
+        {
+            "o_orderpriority": F.expr("nullif(o_orderpriority, '4-NOT SPECIFIED')"),
+            "o_totalprice": F.expr("CASE WHEN o_totalprice >= 100000 THEN o_totalprice END"),
+        }
     )
+    return quality.null_profile(orders, ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"])
 
 
 @_query
@@ -309,6 +348,45 @@ def k8_set_null(spark: SparkSession, folder: str) -> DataFrame:
     return integrity.set_null(customers, "c_nationkey", deleted, "n_nationkey")
 
 
+def _brokerage_of_nations(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Nations as companies, suppliers as their agents; no other children."""
+    nations, suppliers = star.read(spark, folder, "nation"), star.read(spark, folder, "supplier")
+    made = {name: empty(spark, table.schema) for name, table in TABLES.items()}
+    return made | {
+        "companies": nations.select(F.col("n_nationkey").alias("company_ID"), F.col("n_name").alias("comp_name")),
+        "agents": suppliers.select(F.col("s_suppkey").alias("agent_ID"), F.col("s_nationkey").alias("company_ID")),
+    }
+
+
+def _changed(changed: dict[str, DataFrame]) -> DataFrame:
+    """Companies, and agents with theirs, after a change."""
+    companies = changed["companies"].select(
+        F.lit("company").alias("kind"), F.col("company_ID").cast("long").alias("id"), F.lit(None).cast("long").alias("company")
+    )
+    agents = changed["agents"].select(
+        F.lit("agent").alias("kind"), F.col("agent_ID").cast("long").alias("id"), F.col("company_ID").cast("long").alias("company")
+    )
+    return companies.unionByName(agents)
+
+
+@_query
+def k8_delete_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations of one region deleted, each named by all its customers."""
+    gone = star.read(spark, folder, "nation").filter(F.col("n_regionkey") == 0)
+    named = star.read(spark, folder, "customer").select(F.col("c_nationkey").alias("company_ID"))
+    named = named.join(gone.select(F.col("n_nationkey").alias("company_ID")), "company_ID", "left_semi")
+    return _changed(integrity.delete_rows(_brokerage_of_nations(spark, folder), "companies", named))
+
+
+@_query
+def k9_renumber_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations of one region renumbered, each pair given by all its customers."""
+    moved = star.read(spark, folder, "nation").filter(F.col("n_regionkey") == 1)
+    pairs = star.read(spark, folder, "customer").join(moved, F.col("c_nationkey") == F.col("n_nationkey"))
+    pairs = pairs.select(F.col("n_nationkey").alias("old_key"), (F.col("n_nationkey") + 100).alias("new_key"))
+    return _changed(integrity.renumber_rows(_brokerage_of_nations(spark, folder), "companies", pairs))
+
+
 @_query
 def k9_cascade(spark: SparkSession, folder: str) -> DataFrame:
     renumbered = (
@@ -525,14 +603,10 @@ def f4_whole_months(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def f5_f6_invoice_heads(spark: SparkSession, folder: str) -> DataFrame:
-    """Number range and date of an invoice for every customer."""
+    """Number and date of an invoice for every customer."""
     number = invoice_number(F.lit(COMPANY), F.col("c_custkey"), F.lit(AS_OF))
-    drawn = invoice_number(as_random=True)
     return star.read(spark, folder, "customer").select(
-        "c_custkey",
-        F.current_date().isNotNull().alias("has_date"),
-        number.between(0, 99999).alias("stable_in_range"),
-        drawn.between(0, 99999).alias("drawn_in_range"),
+        "c_custkey", F.current_date().alias("today"), number.alias("number")
     )
 
 
@@ -542,6 +616,14 @@ def f8_decimal_division(spark: SparkSession, folder: str) -> DataFrame:
     return _spans(spark, folder).select("o_custkey", average.cast("double").alias("monthly"))
 
 
+@_query
+def f8_long_division(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact quotients by 101 and more units."""
+    orders = star.read(spark, folder, "orders")
+    total = F.col("o_totalprice").cast(star.MONEY)
+    return orders.select("o_orderkey", ratio(total, F.col("o_custkey") + 101).cast("string").alias("quotient"))
+
+
 @_query
 def f10_date_literal(spark: SparkSession, folder: str) -> DataFrame:
     orders = star.read(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
@@ -550,5 +632,8 @@ def f10_date_literal(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def f11_rounding(spark: SparkSession, folder: str) -> DataFrame:
-    rounded = F.col("value").cast(star.MONEY).cast("decimal(17,1)").cast("double")
-    return star.read(spark, folder, "events").select("event_id", rounded.alias("rounded"))
+    """Values as an insert stores them in a column with one decimal place."""
+    events = star.read(spark, folder, "events").withColumn("value", F.col("value").cast(star.MONEY))
+    given = events.schema["value"].dataType
+    stored = quality.as_stored("value", given, T.DecimalType(17, 1))
+    return events.select("event_id", stored.cast("double").alias("rounded"))

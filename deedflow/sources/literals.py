@@ -35,11 +35,15 @@ def literal_batch(
 
 
 def fill_columns(rows: DataFrame, declared: Mapping[str, T.DataType]) -> DataFrame:
-    """``rows`` with every declared column, NULL where it has none, then the others."""
-    present = set(rows.columns)
+    """``rows`` with every declared column, NULL where it has none, then the others.
+
+    Names are compared without regard to case, as Spark does, and come out as declared.
+    """
+    present = {c.lower() for c in rows.columns}
+    known = {c.lower() for c in declared}
     return rows.select(
-        *[F.col(c) if c in present else F.lit(None).cast(t).alias(c) for c, t in declared.items()],
-        *[c for c in rows.columns if c not in declared],
+        *[(F.col(c) if c.lower() in present else F.lit(None).cast(t)).alias(c) for c, t in declared.items()],
+        *[c for c in rows.columns if c.lower() not in known],
     )
 
 

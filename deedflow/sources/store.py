@@ -1,6 +1,7 @@
 """Parquet snapshots of the tables in a shared folder, with one current version.
 
-Plain Parquet has no UPDATE, so a changed table is written to a new folder.  A version
+Plain Parquet has no UPDATE, so a changed table is written to a new folder; status changes are
+appended as rows of their own and looked up when the table is read.  A version
 maps each table to its folders and is written last, in one small file: readers see all
 of a batch's changes or none.  There is one writer at a time.
 """
@@ -19,6 +20,8 @@ from pyspark.sql import types as T
 from deedflow.sources.schema import TABLES, Table, clear_order
 from deedflow.sources.tables import LazyTables
 
+STATUS = "prop_status"
+
 # What judging a batch adds to the table's own columns.
 VERDICT = {
     "seq": T.LongType(),
@@ -47,8 +50,10 @@ class Version:
     folders: dict[str, list[str]] = field(default_factory=dict)
     # Folders with the verdicts on every batch stored so far.
     judged: dict[str, list[str]] = field(default_factory=dict)
+    # Folders with status changes of a table since its folders were written.
+    changes: dict[str, list[str]] = field(default_factory=dict)
     last_log_id: int = 0
-    # Last stream batch stored per table.
+    # Last batch stored per table and stream.
     stream_batches: dict[str, int] = field(default_factory=dict)
 
 
@@ -59,15 +64,18 @@ class SnapshotStore:
         self.version = self._latest()
 
     def _latest(self) -> Version:
-        reader = self.spark.read.schema("number int, content string")
+        """The version whose folder has the largest number; older ones are listed, not read."""
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         try:
-            versions = reader.option("recursiveFileLookup", "true").json(f"{self.root}/versions")
+            paths = files.option("pathGlobFilter", "*.json").load(f"{self.root}/versions").select("path")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return Version()
-        last = versions.orderBy(F.desc("number")).limit(1).collect()
-        return Version(**json.loads(last[0].content)) if last else Version()
+        last = paths.agg(F.max("path").alias("path")).first().path
+        if last is None:
+            return Version()
+        return Version(**json.loads(self.spark.read.schema("number int, content string").json(last).first().content))
 
     def table(self, name: str, version: Version | None = None) -> DataFrame:
         """The rows of a table, as of the current version if none is given."""
@@ -75,8 +83,18 @@ class SnapshotStore:
         folders = (version or self.version).folders.get(name, [])
         if not folders:
             return empty(self.spark, spec.schema)
-        rows = self._read(name, spec.schema, folders)
-        return rows.filter("accepted").select(*spec.columns)
+        rows = self._read(name, spec.schema, folders).filter("accepted").select(*spec.columns)
+        changes = (version or self.version).changes.get(name, [])
+        return self._changed(name, rows, changes) if changes else rows
+
+    def _changed(self, name: str, rows: DataFrame, folders: list[str]) -> DataFrame:
+        """``rows`` with the last status that was written for them."""
+        key = TABLES[name].key
+        schema = T.StructType([rows.schema[key], rows.schema[STATUS], T.StructField("number", T.LongType())])
+        changes = self.spark.read.schema(schema).parquet(*folders)
+        last = changes.groupBy(key).agg(F.max_by(STATUS, "number").alias("_status"))
+        columns = [F.coalesce("_status", STATUS).alias(c) if c == STATUS else F.col(c) for c in rows.columns]
+        return rows.join(last, key, "left").select(*columns)
 
     def _read(self, name: str, schema: T.StructType, folders: list[str]) -> DataFrame:
         for column, kind in (("accepted", T.BooleanType()), ("batch", T.StringType())):
@@ -110,10 +128,18 @@ class SnapshotStore:
         rows.write.partitionBy("accepted").parquet(folder)
         return folder
 
+    def write_status(self, name: str, keys: DataFrame, status: str) -> str:
+        """Write a new status of the rows with the given keys, not yet part of any version."""
+        folder = f"{self.root}/{name}_changes/batch={uuid.uuid4().hex}"
+        number = F.lit(self.version.number + 1).cast("long").alias("number")
+        keys.select(TABLES[name].key, F.lit(status).alias(STATUS), number).write.parquet(folder)
+        return folder
+
     def commit(
         self,
         appended: dict[str, str] | None = None,
         replaced: dict[str, str | None] | None = None,
+        changed: dict[str, str] | None = None,
         judged: tuple[str, str] | None = None,
         last_log_id: int | None = None,
         stream_batch: tuple[str, int] | None = None,
@@ -121,8 +147,12 @@ class SnapshotStore:
         """Make written folders current: added to a table, or in place of its folders."""
         old = self.version
         folders = {name: list(paths) for name, paths in old.folders.items()}
+        changes = {name: list(paths) for name, paths in old.changes.items()}
         for name, folder in (replaced or {}).items():
             folders[name] = [folder] if folder else []
+            changes.pop(name, None)
+        for name, folder in (changed or {}).items():
+            changes.setdefault(name, []).append(folder)
         for name, folder in (appended or {}).items():
             folders.setdefault(name, []).append(folder)
         verdicts = {name: list(paths) for name, paths in old.judged.items()}
@@ -135,6 +165,7 @@ class SnapshotStore:
             old.number + 1,
             folders,
             verdicts,
+            changes,
             old.last_log_id if last_log_id is None else last_log_id,
             batches,
         )
@@ -146,7 +177,7 @@ class SnapshotStore:
         return new
 
     def compact(self, name: str) -> Version:
-        """Bring the folders of many small batches together in one."""
+        """Bring the folders of many small batches and status changes together in one."""
         return self.commit(replaced={name: self.write(name, self.table(name))})
 
     def clear(self) -> Version:

@@ -15,12 +15,16 @@ def ingest(
     """Writer that stores the rows of a stream; the caller starts it.
 
     The stream carries ``seq``.  Rejected rows are found with ``store.rejected(name)``.
-    A batch that was stored before a restart is not stored again.
+    A batch that was stored before a restart is not stored again.  Batches are counted per
+    table and stream: a stream is known by the id that its checkpoint keeps, so another
+    source, or the same one with a new checkpoint, is another stream.
     """
 
     def store_batch(batch: DataFrame, number: int) -> None:
-        if store.version.stream_batches.get(name, -1) >= number:
+        metadata = batch.sparkSession.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata")
+        stream = f"{name}/{metadata.first().id}"
+        if store.version.stream_batches.get(stream, -1) >= number:
             return
-        apply_batch(store, name, batch, QUARANTINE, stream_batch=number)
+        apply_batch(store, name, batch, QUARANTINE, stream_batch=(stream, number))
 
     return rows.writeStream.foreachBatch(store_batch).option("checkpointLocation", checkpoint)

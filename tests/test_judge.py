@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from deedflow.plans.judge import judge
 from deedflow.sources.literals import literal_batch
@@ -34,15 +35,6 @@ def tables(spark):
     }
 
 
-def candidates(rows, passes):
-    """Keys go to the first row that passes the checks on rows alone."""
-    first = {}
-    for row in rows:
-        if passes(row):
-            first.setdefault(row[0], row)
-    return lambda row: row[0] not in first or first[row[0]] is row
-
-
 @pytest.mark.parametrize("hot_rows", [3, None])
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_sales(spark, tables, seed, hot_rows):
@@ -68,12 +60,13 @@ def test_sales(spark, tables, seed, hot_rows):
             and day is not None
         )
 
-    chosen = candidates(rows, alone)
-    status, wanted = dict(PROPERTIES), []
+    status, keys, wanted = dict(PROPERTIES), set(), []
     for row in rows:
         gate = status.get(row[1]) == "Sold"
-        accepted = alone(row) and chosen(row) and not gate
+        accepted = alone(row) and row[0] not in keys and not gate
         wanted.append((accepted, gate))
+        if accepted:
+            keys.add(row[0])
         if accepted and row[1] in status:
             status[row[1]] = "Sold"
     batch = literal_batch(spark, "transactions", rows, SALE_COLUMNS)
@@ -102,16 +95,51 @@ def test_contracts(spark, tables, seed, hot_rows):
     def alone(row):
         return row[0] != 100 and row[1] != 77 and row[4] != "Maybe"
 
-    chosen = candidates(rows, alone)
-    held = [(DAY + dt.timedelta(1), "Yes"), (DAY + dt.timedelta(2), "No")]
+    keys, held = set(), [(DAY + dt.timedelta(1), "Yes"), (DAY + dt.timedelta(2), "No")]
     wanted = []
     for row in rows:
         day, value = row[3], row[4]
         gate = (day, "Yes") in held or ((day, "No") in held and value == "Yes")
-        accepted = alone(row) and chosen(row) and not gate
+        accepted = alone(row) and row[0] not in keys and not gate
         wanted.append((accepted, gate))
         if accepted:
+            keys.add(row[0])
             held.append((day, value))
     batch = literal_batch(spark, "contracts_owner", rows)
     found = judge("contracts_owner", batch, tables, hot_rows=hot_rows).orderBy("seq").collect()
     assert [(r.accepted, r.reasons[:1] == ["exclusivity_clash"]) for r in found] == wanted
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_owners_with_two_keys(spark, tables, seed):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(1, 30), "a", "b", rng.choice([None, *"abcdefghijklmnopqrst"])) for _ in range(120)]
+    ids, contacts, wanted = set(), set(), []
+    for key, _, _, contact in rows:
+        accepted = contact is not None and key not in ids and contact not in contacts
+        wanted.append(accepted)
+        if accepted:
+            ids.add(key)
+            contacts.add(contact)
+    found = judge("owners", literal_batch(spark, "owners", rows), tables).orderBy("seq").collect()
+    assert [r.accepted for r in found] == wanted
+    assert all(r.reasons for r in found if not r.accepted)
+
+
+def test_appointments_hold_no_key_if_too_early(spark, tables):
+    contract = literal_batch(spark, "contracts_owner", [(100, 1, DAY)], ["contract_ID", "property_ID", "date_contract"])
+    held = tables | {"contracts_owner": contract.drop("seq")}
+    columns = ["appointment_ID", "property_ID", "date_appointment", "type_appointment"]
+    rows = [(1, 1, DAY, "Viewing"), (1, 1, DAY + dt.timedelta(1), "Viewing"), (1, 2, DAY, "Viewing")]
+    found = judge("appointments", literal_batch(spark, "appointments", rows, columns), held).orderBy("seq").collect()
+    assert [r.accepted for r in found] == [False, True, False]
+    assert [r.reasons for r in found] == [["appointment_before_contract"], [], ["duplicate:appointment_ID"]]
+
+
+def test_rows_without_a_number_of_their_own(spark, tables):
+    rows = [(i, 1, 1, None, None, DAY) for i in range(1, 6)]
+    batch = literal_batch(spark, "transactions", rows, SALE_COLUMNS)
+    numbers = F.when(F.col("seq") == 1, F.lit(None)).when(F.col("seq") <= 3, "7").when(F.col("seq") == 4, "x")
+    batch = batch.withColumn("seq", F.coalesce(numbers, F.when(F.col("seq") == 5, "8"))).withColumnRenamed("property_ID", "property_id")
+    found = {r.transaction_ID: r.reasons for r in judge("transactions", batch, tables).collect()}
+    assert found == {1: ["type:seq"], 2: ["duplicate:seq"], 3: ["duplicate:seq"], 4: ["type:seq"], 5: []}

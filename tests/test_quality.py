@@ -87,6 +87,10 @@ def test_whole_units(spark):
 def test_ratio_has_four_places(spark):
     quotient = money.ratio(F.lit(Decimal(4400000)), F.lit(19))
     assert spark.range(1).select(quotient).first()[0] == Decimal("231578.9474")
+    cases = [(100040, 101, "990.4950"), (1, 20000, "0.0001"), (1, 20001, "0.0000"), (-100040, 101, "-990.4950")]
+    for total, units, expected in cases:
+        quotient = money.ratio(F.lit(Decimal(total)).cast("decimal(38,0)"), F.lit(units).cast("long"))
+        assert spark.range(1).select(quotient).first()[0] == Decimal(expected)
 
 
 def test_joined_is_null_if_a_part_is(spark):
@@ -147,6 +151,8 @@ def keys(spark, name, *values):
 def test_delete_sets_references_to_null(spark, tables):
     changed = integrity.delete_rows(tables, "companies", keys(spark, "company_ID", 1))
     assert set(changed) == {"companies", "agents", "contracts_owner"}
+    twice = integrity.delete_rows(tables, "companies", keys(spark, "company_ID", 1, 1, None))
+    assert all(rows(twice[name]) == rows(changed[name]) for name in changed)
     assert rows(changed["companies"].select("company_ID")) == [(2,)]
     assert rows(changed["agents"].select("agent_ID", "company_ID")) == [(1, None), (2, 2), (3, None)]
     assert rows(changed["contracts_owner"].select("company_ID")) == [(2,), (None,)]
@@ -168,6 +174,11 @@ def test_renumbering_cascades(spark, tables):
     assert rows(changed["agents"].select("agent_ID")) == [(11,), (2,), (3,)]
     assert rows(changed["appointments"].select("agent_ID")) == [(11,), (2,)]
     assert changed["agents"].schema["agent_ID"].dataType == T.IntegerType()
+    twice = spark.createDataFrame([(1, 11), (1, 11)], "old_key int, new_key int")
+    assert rows(integrity.renumber_rows(tables, "agents", twice)["appointments"]) == rows(changed["appointments"])
+    for bad in ([(1, 11), (1, 12)], [(None, 11)], [(1, None)]):
+        with pytest.raises(integrity.IntegrityError, match="one new key each"):
+            integrity.renumber_rows(tables, "agents", spark.createDataFrame(bad, "old_key int, new_key int"))
     clash = spark.createDataFrame([(1, 2)], "old_key int, new_key int")
     with pytest.raises(integrity.IntegrityError, match="not unique"):
         integrity.renumber_rows(tables, "agents", clash)

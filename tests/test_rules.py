@@ -206,7 +206,7 @@ def test_a_row_that_fails_a_constraint_does_not_sell(spark, tables):
 
 def test_repeated_key_with_the_first_rejected(spark, tables):
     found = judged_sales(spark, tables, sale(1, 2, 1, 1, 5, "2020-03-01"), sale(1, 3, 1, 1, 5, "2020-03-02"))
-    assert verdicts(found) == [["already_sold"], ["duplicate:transaction_ID"]]
+    assert verdicts(found) == [["already_sold"], []]
 
 
 def test_keys_that_are_stored_already(spark, tables):
@@ -294,13 +294,15 @@ def test_values_that_do_not_fit(spark, tables):
     ]
     found = judge("reviews", literal_batch(spark, "reviews", rows, types=wide), tables).orderBy("seq").collect()
     assert [r.reasons for r in found] == [
-        ["type:rating_property"],
+        [],
         ["type:rating_property"],
         ["type:review_ID"],
         ["type:date_review"],
         [],
     ]
-    assert json.loads(found[0].offered)["rating_property"] == 8.55
+    # Too many decimals are rounded, as an insert does.
+    assert found[0].rating_property == Decimal("8.6")
+    assert json.loads(found[1].offered)["rating_property"] == 10
     assert found[4].offered is None and found[4].date_review == day("2020-01-01")
 
 
@@ -317,7 +319,7 @@ def test_rows_that_come_as_text(spark, tables):
         [],
         ["type:size"],
         ["type:owner_ID", "check:positive_size_and_price"],
-        ["type:size"],
+        [],
     ]
     assert found.filter("accepted").select("property_ID", "listing_price").first() == (11, Decimal(500))
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deedflow.operators import gates, integrity
+from deedflow.operators.effects import reopen
 from deedflow.operators.ordering import with_ids, with_previous
 from deedflow.operators.skew import spread_join
 
@@ -64,6 +65,24 @@ def test_previous_rows_of_a_hot_key_are_found_in_blocks(rows):
     assert chained.filter("k = 1 AND p IS NULL").count() == 1
 
 
+def test_previous_rows_of_a_hot_key_with_sparse_numbers(rows):
+    sparse = rows.withColumn("seq", F.col("seq") * 1_000_003).withColumn("v", F.col("seq"))
+    chained = with_previous(sparse, "k", "seq", "v", "p", hot_rows=500)
+    assert largest_share(chained) < 0.2
+    assert chained.filter("k = 1 AND seq > 0 AND p != seq - 3000009").count() == 0
+    assert chained.filter("k = 1 AND p IS NULL").count() == 1
+
+
+def test_reopening_spreads_what_is_no_house(shuffled):
+    kind = F.when(F.col("id") % 14 == 0, "House").otherwise("Villa")
+    frame = shuffled.range(N, numPartitions=8).select(
+        F.col("id").alias("property_ID"), kind.alias("property_TYPE"), F.lit("Sold").alias("prop_status")
+    )
+    opened = reopen(frame, frame.filter("property_ID % 2 = 0"))
+    assert largest_share(opened) < 0.15
+    assert opened.filter("prop_status = 'For Sale'").count() == frame.filter("property_ID % 14 = 0").count()
+
+
 def test_ids_are_given_in_blocks(shuffled):
     frame = shuffled.range(0, N * 64, 64, numPartitions=8).withColumnRenamed("id", "seq")
     numbered = with_ids(frame, "seq", "n")

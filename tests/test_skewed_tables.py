@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from deedflow.plans.star_queries import QUERIES
 from deedflow.operators import ordering, skew
 from tests.test_oracles import TABLES, sorted_rows
 
@@ -44,7 +45,7 @@ def duck(folder):
     return connection
 
 
-@pytest.mark.parametrize("name", [n for n in entry_points.queries() if n[0] in "qvgkjs"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n[0] in "qvgkjs"])
 def test_same_result(spark, duck, folder, name, monkeypatch):
     monkeypatch.setattr(skew, "HOT_ROWS", 50)
     monkeypatch.setattr(ordering, "HOT_ROWS", 50)

@@ -17,15 +17,15 @@ def test_ingest(spark, tmp_path):
     def sale(key, property_id):
         return (key, property_id, 4651, 3147, Decimal(5), fx.day("2024-01-01"))
 
-    def arrive(number, *sales):
+    def arrive(number, *sales, folder="in"):
         batch = literal_batch(spark, "transactions", sales, fx.SALE_COLUMNS)
-        batch.coalesce(1).write.parquet(str(tmp_path / "in" / f"part={number}"))
+        batch.coalesce(1).write.parquet(str(tmp_path / folder / f"part={number}"))
 
-    def run():
+    def run(checkpoint="checkpoint", folder="in"):
         schema = literal_batch(spark, "transactions", [], fx.SALE_COLUMNS).schema
         arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-        rows = arriving.parquet(str(tmp_path / "in" / "part=*"))
-        query = ingest(rows, "transactions", store, str(tmp_path / "checkpoint"))
+        rows = arriving.parquet(str(tmp_path / folder / "part=*"))
+        query = ingest(rows, "transactions", store, str(tmp_path / checkpoint))
         query = query.trigger(availableNow=True).start()
         query.awaitTermination(300)
         assert query.exception() is None
@@ -47,3 +47,11 @@ def test_ingest(spark, tmp_path):
     version = store.version
     run()
     assert store.version == version
+    # Another source starts counting anew, and so does the same one with a new checkpoint.
+    arrive(1, sale(50, 2095), folder="other")
+    run("other-checkpoint", "other")
+    stored = {r[0] for r in store.table("transactions").select("transaction_ID").collect()}
+    assert 50 in stored or store.rejected("transactions").filter("transaction_ID = 50").count() == 1
+    before = store.rejected("transactions").count()
+    run("new-checkpoint")
+    assert store.rejected("transactions").count() == before + 5
