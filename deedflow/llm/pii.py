@@ -83,7 +83,7 @@ ADDED = {
 VOTES = ("pattern", "gazetteer", "context")
 FEATURES = ("long", "digits", "quoted")
 _CONTEXT = 24
-ROUNDS, STEPS = 40, 400
+ROUNDS, STEPS = 300, 400
 
 
 def _pieces(kind: str, pattern: str, needed: str | None) -> tuple[Column, Column]:
