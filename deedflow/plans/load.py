@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from deedflow.operators.effects import FOR_SALE, SOLD, audit_log, reopened_keys, sold_keys
 from deedflow.plans.judge import judge
+from deedflow.session import remove_folder, scratch_scope
 from deedflow.sources.schema import LOAD_ORDER
 from deedflow.sources.store import SnapshotStore
 
@@ -48,22 +49,24 @@ def apply_batch(
     if mode not in (ATOMIC, QUARANTINE):
         raise ValueError(f"unknown mode {mode!r}")
     tables = store.tables()
-    folder = store.write(name, judge(name, batch, tables, scope, hot_rows))
+    with scratch_scope(store.spark):
+        folder = store.write(name, judge(name, batch, tables, scope, hot_rows))
     judged = store.read_judged(name, folder)
     accepted = judged.filter("accepted").drop("accepted", "reasons", "message", "offered")
     rejected = judged.filter(~F.col("accepted")).drop("accepted")
     if mode == ATOMIC:
         first = rejected.orderBy("seq").limit(1).collect()
         if first:
+            remove_folder(store.spark, folder)
             raise BatchRejected(name, first[0].seq, first[0].reasons[0], first[0].message)
 
     appended, changed, last_log_id = {name: folder}, {}, None
     stored = accepted.count() if name in ("transactions", "contracts_owner") else 0
     if stored and name == "transactions":
         start = store.version.last_log_id
-        appended["log_transactions"] = store.write(
-            "log_transactions", audit_log(accepted, last_id=start)
-        )
+        with scratch_scope(store.spark):
+            log = audit_log(accepted, last_id=start)
+            appended["log_transactions"] = store.write("log_transactions", log)
         last_log_id = start + stored
         changed["properties"] = store.write_status("properties", sold_keys(accepted), SOLD)
     elif stored and name == "contracts_owner":

@@ -235,6 +235,25 @@ ORACLES: dict[str, str] = {
     "g7_exclusive_gate_per_property": _exclusive(
         "o_orderstatus = 'F'", "o_orderstatus <> 'F'", "property_ID, year"
     ),
+    "g8_appointment_messages": f"""
+  WITH {_EVENTS}, first AS (
+    SELECT property_ID, min(day) AS first FROM rows WHERE o_orderstatus = 'F' GROUP BY property_ID)
+  SELECT seq, 'Date of appointment must be after the contract owner date for the property.' AS message
+  FROM rows JOIN first USING (property_ID) WHERE o_orderstatus <> 'F' AND day <= first
+""",
+    "g8_review_messages": f"""
+  WITH {_EVENTS}, sale AS (
+    SELECT property_ID, count(*) AS n, min(day) AS first FROM rows
+    WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' GROUP BY property_ID)
+  SELECT seq, CASE WHEN n > 1 THEN 'The property has more than one transaction to compare with.'
+              ELSE 'Review ID: ' || seq || ' - Review date must be after transaction date.' END AS message
+  FROM rows JOIN sale USING (property_ID) WHERE n > 1 OR day <= first
+""",
+    "g8_exclusivity_messages": """
+  SELECT seq, 'Cannot set exclusivity if contracts without exclusivity exist for the same date, '
+    || 'or property with exclusivity by another company on the same date.' AS message
+  FROM (""" + _exclusive("o_orderstatus = 'F'", "o_orderstatus <> 'F'", "day") + """) WHERE outcome <> 'accepted'
+""",
     "g9_judge_sales": f"""
   WITH {_EVENTS}, local AS (
     SELECT r.seq, r.property_ID, c.prop_status,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -221,6 +221,34 @@ def g8_reject_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _reject_texts(judged: DataFrame, message: Column, *columns: str) -> DataFrame:
+    return judged.filter(F.col("reject").isNotNull()).select(*columns, message.alias("message"))
+
+
+@_query
+def g8_appointment_messages(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _orders_as_rows(spark, folder)
+    contracts = orders.filter(F.col("o_orderstatus") == "F").select("property_ID", F.col("day").alias("date_contract"))
+    rows = orders.filter(F.col("o_orderstatus") != "F").withColumn("date_appointment", F.col("day"))
+    return _reject_texts(gates.appointment_gate(rows, contracts), gates.appointment_message(), "seq")
+
+
+@_query
+def g8_review_messages(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _orders_as_rows(spark, folder)
+    sales = orders.filter("o_orderstatus = 'F' AND exclusivity = 'Yes'").select("property_ID", "day")
+    judged = gates.review_gate(orders.withColumn("review_ID", F.col("seq")), sales, day="day", sale_day="day")
+    return _reject_texts(judged, gates.review_message(), "seq")
+
+
+@_query
+def g8_exclusivity_messages(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _orders_as_rows(spark, folder).withColumn("date_contract", F.to_date("day"))
+    stored = rows.filter("o_orderstatus = 'F'").select("date_contract", "exclusivity")
+    judged = gates.exclusivity_gate(rows.filter("o_orderstatus != 'F'"), stored)
+    return _reject_texts(judged, gates.exclusivity_message(), "seq")
+
+
 @_query
 def g9_judge_sales(spark: SparkSession, folder: str) -> DataFrame:
     """All rules and constraints on a batch of sales: every order, some stored already."""

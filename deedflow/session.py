@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The tables that the innermost scope has written, in the running thread.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
     """Session for tests, the bench and own jobs; a given session works as well."""
@@ -48,5 +54,33 @@ def cut_lineage(rows: DataFrame, label: str) -> DataFrame:
     lost executor costs a re-read only.
     """
     path = f"{scratch_folder(rows.sparkSession)}/deedflow/{label}-{uuid.uuid4().hex}"
+    note_written(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def note_written(path: str) -> None:
+    """Have the innermost :func:`scratch_scope`, if any, remove ``path`` at its end."""
+    paths = _WRITTEN.get()
+    if paths is not None:
+        paths.append(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that are cut out inside; what is to last is stored before the end."""
+    paths: list[str] = []
+    outer = _WRITTEN.set(paths)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(outer)
+        for path in paths:
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system that Spark reads it with."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
