@@ -7,9 +7,10 @@ places both go on word by word are one path: as long as the graph does not branc
 repeated passage is one row, whatever its length.  Every path is then held against the words at its
 first place by a 128-bit digest before its words are removed.
 
-Only windows that can repeat are shuffled.  Each window is represented by the least hash of its
-``GRAM``-word parts, which neighbours mostly share; a window whose least part occurs in one document
-only is in that document only.  Those parts are a sixth of all windows, and counting them leaves few
+A text that a smaller id has too is one path from the start and gives no edges.  Of the others, only
+windows that can repeat are shuffled.  Each window is represented by the least hash of its
+``GRAM``-word parts, which neighbours mostly share; a window whose least part occurs in one text
+only is in that text only.  Those parts are a sixth of all windows, and counting them leaves few
 windows besides the truly repeated ones.  Hot windows and parts are counted before they are shuffled;
 joins have stored rows on both sides, so that Spark can split hot keys.
 
@@ -29,13 +30,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deedflow.llm.rows import id_or_last, written
+from deedflow.llm.rows import distilled, id_or_last, written
 from deedflow.llm.text import Words, mixed, pieces, windows, word_hashes, words_of
 
 WINDOW = 13
 GRAM = 4
 # A place is the document's number times 2^PLACE_BITS plus the number of the word.
 PLACE_BITS = 28
+# The length of a path that is a whole text.
+WHOLE = -1
 
 
 def least_parts(hashes: np.ndarray, rows: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -100,16 +103,24 @@ def numbered(docs: DataFrame) -> DataFrame:
     rows = ranges.withColumn("place", F.row_number().over(inside) - 1).join(starts, "part")
     rows = written(rows.select("id", "row", (F.col("start") + F.col("place")).cast("long").alias("num")), "numbers")
     lows = written(rows.groupBy("id").agg(F.min("num").alias("low")), "lows")
-    return written(rows.join(lows, "id").select("id", "row", "num", "low"), "numbers")
+    return rows.join(lows, "id").select("id", "row", "num", "low")
+
+
+def _copies(numbers: DataFrame) -> DataFrame:
+    """Paths that are a whole text, which a smaller id has too."""
+    same = numbers.groupBy("row").agg(F.min("num").alias("source"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copies = numbers.join(written(same.drop("n"), "same-texts"), "row").filter("source < low")
+    return copies.select("num", F.lit(0).cast("long").alias("start"), F.lit(WHOLE).cast("long").alias("length"), "source", F.lit(0).cast("long").alias("source_start"))
 
 
 def _edges(docs: DataFrame, numbers: DataFrame) -> DataFrame:
     """(edge, at, low) for every window that may repeat: its hash, its place and its id's first number."""
     parts = _parts(docs)
-    repeated = written(parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("part"), "parts")
+    texts = parts.groupBy("part").agg(F.min("row").alias("a"), F.max("row").alias("b"))
+    repeated = written(texts.filter("a <> b").select("part"), "parts")
     marks = parts.join(repeated, "part").groupBy("id", "row").agg(F.collect_set("part").alias("parts"))
     marks = written(marks.join(numbers, ["id", "row"]), "marks")
-    texts = _sources(docs).dropDuplicates(["id", "row"]).join(marks, ["id", "row"]).select("num", "low", "text", "parts")
+    texts = _sources(docs).dropDuplicates(["id", "row"]).join(marks.hint("merge"), ["id", "row"]).select("num", "low", "text", "parts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in pieces(b)):
@@ -128,7 +139,7 @@ def _edges(docs: DataFrame, numbers: DataFrame) -> DataFrame:
             low = batch.column("low").take(pa.array(rows[at]))
             yield pa.RecordBatch.from_arrays([pa.array(edges.view(np.int64)), pa.array(number + places), low], ["edge", "at", "low"])
 
-    return written(texts.mapInArrow(run, "edge long, at long, low long"), "edges")
+    return texts.mapInArrow(run, "edge long, at long, low long")
 
 
 def _number(at: Column | str) -> Column:
@@ -137,7 +148,9 @@ def _number(at: Column | str) -> Column:
 
 def paths(docs: DataFrame, numbers: DataFrame) -> DataFrame:
     """(num, start, length, source, source_start): repeated passages, in words, and where they come from first."""
-    edges = _edges(docs, numbers)
+    copies = written(_copies(numbers), "copies")
+    spark = docs.sparkSession
+    edges = distilled(spark, "edges", lambda: _edges(docs, numbers.join(copies, "num", "left_anti")))
     firsts = edges.groupBy("edge").agg(F.min("at").alias("first"), F.max("low").alias("last"))
     firsts = written(firsts.filter(_number("first") < F.col("last")).select("edge", "first"), "first-places")
     later = edges.join(firsts, "edge").filter(_number("first") < F.col("low")).select("at", (F.col("at") - F.col("first")).alias("shift"))
@@ -150,7 +163,7 @@ def paths(docs: DataFrame, numbers: DataFrame) -> DataFrame:
         "num", F.col("low").bitwiseAND(mask).alias("start"), (F.col("high") - F.col("low") + WINDOW).alias("length"),
         _number(source).alias("source"), source.bitwiseAND(mask).alias("source_start"),
     )
-    return written(out, "paths")
+    return out.unionByName(copies)
 
 
 class Plain:
@@ -179,10 +192,10 @@ _OUT = f"doc_id long, num long, n_words long, n_removed long, kept_sha256 string
 _CLAIM = pa.list_(pa.struct([("source", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("digest", pa.binary())]))
 
 
-def _digest(plain: Plain, words: Words, row: int, start: int, length: int) -> bytes | None:
+def _digest(plain: Plain, words: Words, row: int, start: int, length: int) -> bytes:
     first = int(words.bounds[row]) + start
-    if first + length > words.bounds[row + 1]:
-        return None
+    if length == WHOLE:
+        length = int(words.counts[row])
     return hashlib.blake2b(plain.text(first, first + length), digest_size=16).digest()
 
 
@@ -192,7 +205,8 @@ def _apply(docs: DataFrame, numbers: DataFrame, spans: DataFrame, with_text: boo
     asked = spans.select(F.col("source").alias("num"), "source_start", "length").distinct()
     asked = asked.groupBy("num").agg(F.collect_list(F.struct("source_start", "length")).alias("asked"))
     work = written(numbers.join(own, "num", "left").join(asked, "num", "left").filter("spans IS NOT NULL OR asked IS NOT NULL"), "path-work")
-    rows = _sources(docs).join(work, ["id", "row"], "left").select("doc_id", "num", "text", "spans", "asked")
+    # Merge joins at any size: whole texts are shuffled, never held against a table sent along.
+    rows = _sources(docs).join(work.hint("merge"), ["id", "row"], "left").select("doc_id", "num", "text", "spans", "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in pieces(b)):
@@ -203,16 +217,22 @@ def _apply(docs: DataFrame, numbers: DataFrame, spans: DataFrame, with_text: boo
             for row, (num, spans_, asked_) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("num", "spans", "asked")), strict=True)):
                 claimed = []
                 for s in spans_ or ():
+                    length = int(words.counts[row]) if s["length"] == WHOLE else s["length"]
+                    if length < WINDOW:
+                        continue
                     first = int(words.bounds[row]) + s["start"]
-                    found = _digest(plain, words, row, s["start"], s["length"])
                     cover[first] += 1
-                    cover[first + s["length"]] -= 1
+                    cover[first + length] -= 1
+                    found = _digest(plain, words, row, s["start"], length)
                     claimed.append({"source": s["source"], "start": s["source_start"], "length": s["length"], "digest": found})
                 claims.append(claimed)
-                digests = ((a, _digest(plain, words, row, a["source_start"], a["length"])) for a in asked_ or ())
                 answers.append(
-                    [{"source": num, "start": a["source_start"], "length": a["length"], "digest": d} for a, d in digests if d]
-                )
+                    [
+                        {"source": num, "start": a["source_start"], "length": a["length"],
+                         "digest": _digest(plain, words, row, a["source_start"], a["length"])}
+                        for a in asked_ or ()
+                    ]
+                )
             removed = np.cumsum(cover[:-1]) > 0
             gone = np.bincount(words.rows[removed], minlength=batch.num_rows)
             if removed.any():
@@ -228,19 +248,21 @@ def _apply(docs: DataFrame, numbers: DataFrame, spans: DataFrame, with_text: boo
                 ["doc_id", "num", "n_words", "n_removed", "kept_sha256", "kept_text", "claims", "answers"],
             )
 
-    return written(rows.mapInArrow(run, _OUT), "judged")
+    return rows.mapInArrow(run, _OUT)
 
 
 def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept words of every row."""
-    numbers = numbered(docs)
-    spans = paths(docs, numbers)
-    rows = _apply(docs, numbers, spans, with_text)
+    spark = docs.sparkSession
+    numbers = distilled(spark, "numbers", lambda: numbered(docs))
+    spans = distilled(spark, "paths", lambda: paths(docs, numbers))
+    rows = distilled(spark, "judged", lambda: _apply(docs, numbers, spans, with_text))
     said = rows.select(F.explode("answers").alias("x")).select("x.*")
     wrong = rows.select("num", F.explode("claims").alias("x")).select("num", "x.*")
     wrong = wrong.join(said, ["source", "start", "length", "digest"], "left_anti")
     wrong = written(wrong.select("num", "source", F.col("start").alias("source_start"), "length"), "wrong-paths")
     if wrong.limit(1).count():
         true = spans.join(wrong.distinct(), ["num", "source", "source_start", "length"], "left_anti")
-        rows = _apply(docs, numbers, written(true, "true-paths"), with_text)
+        true = written(true, "true-paths")
+        rows = distilled(spark, "judged", lambda: _apply(docs, numbers, true, with_text))
     return rows.select("doc_id", "n_words", "n_removed", "kept_sha256", "kept_text")

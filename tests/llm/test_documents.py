@@ -69,7 +69,7 @@ def test_wrong_hits_stay(spark, monkeypatch):
     """Paths that do not hold against the words at their first place are not removed."""
     rows = [(i, " ".join(f"d{i}w{j}" for j in range(40))) for i in range(5)]
     docs = documents(spark, rows)
-    numbers = substring_dedup.numbered(docs)
+    numbers = substring_dedup.written(substring_dedup.numbered(docs), "numbers")
     forged = spark.createDataFrame([(3, 2, 15, 0, 4), (4, 0, 20, 1, 1)], "num long, start long, length long, source long, source_start long")
     monkeypatch.setattr(substring_dedup, "numbered", lambda _: numbers)
     monkeypatch.setattr(substring_dedup, "paths", lambda *_: forged)
