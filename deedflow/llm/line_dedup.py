@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deedflow.llm.rows import id_or_last, written
+from deedflow.llm.rows import distilled, id_or_last, written
 
 WINDOW = 3
 SHARE = 4
@@ -74,8 +74,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 def without_repeated_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed (lines) and the kept text of every document."""
-    cuts = written(repeated_lines(docs), "line-cuts")
-    rows = _with_lines(docs).join(cuts, ["_id", "_row"], "left")
+    cuts = distilled(docs.sparkSession, "line-cuts", lambda: repeated_lines(docs))
+    # A merge join at any size: whole texts are shuffled once, never held against a table sent along.
+    rows = _with_lines(docs).join(cuts.hint("merge"), ["_id", "_row"], "left")
     keep = "filter(_lines, (x, i) -> NOT exists(_cuts, c -> i + 1 BETWEEN c._a AND c._b))"
     kept = F.when(F.col("_cuts").isNull(), F.col("_lines")).otherwise(F.expr(keep))
     return rows.withColumn("_kept", kept).select(
