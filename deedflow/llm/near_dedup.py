@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deedflow.llm.rows import NO_ID, id_or_last, written
+from deedflow.llm.rows import NO_ID, distilled, id_or_last, written
 from deedflow.llm.text import Words, mixed, pieces, windows, word_hashes, words_of
 
 WIDTH = 4
@@ -159,7 +159,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a binary, b binary")
+    # Merge joins at any size: texts are shuffled by their keys, never sent along as a whole.
+    pairs = pairs.select("a", "b").hint("merge").join(one, "a").hint("merge").join(two, "b")
+    return pairs.mapInArrow(run, "a binary, b binary")
 
 
 def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +261,9 @@ def grouped(docs: DataFrame) -> DataFrame:
     place = F.struct("id", "row")
     nodes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min(place).alias("first"), F.first("keys").alias("keys"))
     nodes = written(nodes.select("node", F.col("first.id").alias("id"), F.col("first.row").alias("row"), "keys"), "nodes")
-    roots = written(components(_links(docs, nodes)), "roots")
+    spark = docs.sparkSession
+    links = distilled(spark, "links", lambda: _links(docs, nodes))
+    roots = distilled(spark, "roots", lambda: components(links))
     # A root has no row in ``roots``; a node that is in no link is its own root.
     rooted = nodes.select("node", place.alias("own")).join(roots, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
@@ -287,7 +291,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.withColumns({"_near_id": id_or_last(), "_near_row": F.xxhash64(text)})
     kept = written(kept.select(F.col("id").alias("_near_id"), F.col("row").alias("_near_row")), "kept")
-    return keyed.join(kept, ["_near_id", "_near_row"]).dropDuplicates(["_near_id", "_near_row"]).select(docs.columns)
+    return keyed.join(kept.hint("merge"), ["_near_id", "_near_row"]).dropDuplicates(["_near_id", "_near_row"]).select(docs.columns)
 
 
 def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -296,13 +300,13 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     pivots = written(pivots.filter("n > 1").select("key", "pivot"), "pivots")
     members = written(bands.select("key", "node").join(pivots, "key"), "members")
     inside = written(members.select("node").distinct().join(nodes.drop("keys"), "node"), "inside")
-    texts = _texts(docs).join(inside, ["id", "row"]).select("node", "text").dropDuplicates(["node"])
+    texts = _texts(docs).join(inside.hint("merge"), ["id", "row"]).select("node", "text").dropDuplicates(["node"])
     texts = written(texts, "texts")
     votes = members.filter("node <> pivot.node").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("c"))
     best = votes.groupBy("node").agg(F.max_by("pivot", F.struct("c", F.negative("pivot.id"))).alias("pivot"))
     stars = best.select(F.col("node").alias("a"), F.col("pivot.node").alias("b"))
     links = written(confirmed(stars, texts), "star-links")
-    roots = written(components(links), "star-roots")
+    roots = distilled(docs.sparkSession, "star-roots", lambda: components(links))
     placed = inside.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     placed = written(placed, "placed")
     held = members.select("key", "node").join(placed, "node")
@@ -310,6 +314,6 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     several = written(several, "open-keys")
     open_nodes = written(members.select("key", "node").join(several, "key").select("node").distinct(), "open-nodes")
     open_texts = written(texts.join(open_nodes, "node"), "open-texts")
-    more = written(confirmed(_open_pairs(open_texts, placed), texts), "more-links")
-    return written(links.unionByName(more), "links")
+    more = distilled(docs.sparkSession, "more-links", lambda: confirmed(_open_pairs(open_texts, placed), texts))
+    return links.unionByName(more)
 
