@@ -17,7 +17,7 @@ def audit_log(
     last_id: int = 0,
 ) -> DataFrame:
     """One log row per accepted sale, numbered in arrival order after ``last_id``."""
-    numbered = with_ids(sales.select(key, day, seq), seq, "log_ID", last_id)
+    numbered = with_ids(sales.select(*dict.fromkeys((key, day, seq))), seq, "log_ID", last_id)
     return numbered.select(
         "log_ID",
         F.to_date(day).alias("event_date"),
