@@ -7,7 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedflow.llm import decontaminate, line_dedup, mixing, near_dedup, pii, pu_quality, sharding, substring_dedup, tree_rules, warc
+import public_tokenizers
+
+from deedflow.llm import (
+    conversation_repair,
+    decontaminate,
+    line_dedup,
+    mixing,
+    near_dedup,
+    oracles,
+    pii,
+    pu_quality,
+    sharding,
+    spelling,
+    substring_dedup,
+    token_counts,
+    tree_rules,
+    warc,
+)
 from deedflow.llm.rows import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +37,7 @@ MIX_WEIGHTS = {
     "lang": {"en": 5, "de": 2, "fr": 2, "es": 1},
 }
 SHARDS = 40
+VOCABULARY, TOKEN_LIMIT = public_tokenizers.path("byte_bpe_50k.json"), 512
 DOMAIN = "coalesce(concat('domain', cast(regexp_extract(source, '([0-9]+)$', 1) AS int) % 4), 'none')"
 
 
@@ -80,7 +98,32 @@ def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op4_substrings, op5_decontaminate, op6_line_chunks, op7_near_duplicates, op8_pii, op9_warc, op10_kd_shards)}
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, folder, "documents"), VOCABULARY, TOKEN_LIMIT)
+
+
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = read(spark, folder, "conversations")
+    found = conversation_repair.repair(conversation_repair.damaged(given))
+    digests = conversation_repair.digests(found.messages)
+    rows = given.select("conv_id").distinct()
+    for part in (found.reports, digests):
+        part = part.withColumnRenamed("conv_id", "_id")
+        rows = rows.join(part, F.col("conv_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    # Conversations of which no message is left.
+    return rows.select(
+        "conv_id",
+        *[F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in conversation_repair.COUNTS],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_pu_quality, op3_tree_rules, op4_substrings, op5_decontaminate, op6_line_chunks, op7_near_duplicates, op8_pii, op9_warc, op10_kd_shards, op11_token_counts, op12_repair, op13_spelling)}
 
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, {5 * i + 1}, 5))::BIGINT >> {s}) & 31)::INT, 1)"
@@ -256,4 +299,6 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id <> owner THEN owner END AS refers_to
 FROM d
 """,
+    "op12_repair": oracles.CONVERSATIONS,
+    "op13_spelling": oracles.SPELLING,
 }

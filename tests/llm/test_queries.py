@@ -13,7 +13,7 @@ FOLDER = os.environ.get("TEST_LLM_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "conversations"):
         path = f"{FOLDER}/{name}.parquet"
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}{'/*.parquet' if os.path.isdir(path) else ''}'")
     return connection
@@ -33,4 +33,4 @@ def test_same_result(spark, duck, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
