@@ -47,6 +47,29 @@ def reopened_keys(
     return touched.join(properties.filter(F.col(kind) == reopening), key, "left_semi")
 
 
+def openings(
+    properties: DataFrame,
+    contracts: DataFrame,
+    key: str = "property_ID",
+    kind: str = "property_TYPE",
+    seq: str = "seq",
+    reopening: str = HOUSE,
+) -> DataFrame:
+    """Property and ``seq`` of the accepted contracts that put a house up for sale."""
+    houses = properties.filter(F.col(kind) == reopening).select(key)
+    return contracts.filter(F.col(key).isNotNull()).select(key, seq).join(houses, key, "left_semi")
+
+
+def changed_status(
+    sales: DataFrame, opened: DataFrame, key: str = "property_ID", status: str = "prop_status", seq: str = "seq"
+) -> DataFrame:
+    """The properties that accepted sales and openings touch, once each, with the status that the last of them leaves."""
+    events = sales.filter(F.col(key).isNotNull()).select(key, seq, F.lit(SOLD).alias(status)).unionByName(
+        opened.select(key, seq, F.lit(FOR_SALE).alias(status))
+    )
+    return events.groupBy(key).agg(F.max_by(status, seq).alias(status))
+
+
 def _with_status(
     properties: DataFrame,
     touched: DataFrame,

@@ -23,6 +23,9 @@ BEFORE_SALE = "review_before_sale"
 AMBIGUOUS_SALE = "ambiguous_sale"
 EXCLUSIVITY_CLASH = "exclusivity_clash"
 
+# The epoch of sales before any reopening.
+NEVER = -(1 << 63)
+
 
 def _true(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
@@ -47,29 +50,56 @@ def sold_gate(
     storable: str | None = None,
     counted: DataFrame | None = None,
     hot_rows: int | None = None,
+    epoch: str | None = None,
 ) -> DataFrame:
     """Reject sales of a property that is sold already, or by an earlier row.
 
     The first sale of a property that is not sold passes and sells it.  Rows whose
-    property is NULL or unknown pass.
+    property is NULL or unknown pass.  ``epoch`` may name a column that tells what reopened
+    the property last before the row (see :func:`with_epochs`): the sale then competes with
+    those of its epoch, and only before any reopening with the stored status.
     """
+    keys = [key, epoch] if epoch else [key]
     first = (
         batch.filter(F.col(key).isNotNull())
-        .groupBy(key)
+        .groupBy(*keys)
         .agg(F.min(_storable(seq, storable)).alias("_first"), F.max(seq).alias("_last"))
     )
+    sold_before = F.col("_status") == sold
+    if epoch:
+        sold_before &= F.col(epoch) == NEVER
     # Properties with nothing to reject are left out of the join.
     state = (
         first.join(properties.select(key, F.col(status).alias("_status")), key, "inner")
-        .filter((F.col("_status") == sold) | (F.col("_last") > F.col("_first")))
-        .select(key, "_first", "_status")
+        .withColumn("_sold", _true(sold_before))
+        .filter(F.col("_sold") | (F.col("_last") > F.col("_first")))
+        .select(*keys, "_first", "_sold")
     )
-    rejected = _true(F.col("_status") == sold) | _true(F.col(seq) > F.col("_first"))
+    rejected = _true(F.col("_sold")) | _true(F.col(seq) > F.col("_first"))
     return (
-        spread_join(batch, state, [key], seq, counted, hot_rows)
+        spread_join(batch, state, keys, seq, counted, hot_rows)
         .withColumn("reject", F.when(rejected, ALREADY_SOLD))
-        .drop("_first", "_status")
+        .drop("_first", "_sold")
+    )
+
+
+def with_epochs(
+    sales: DataFrame,
+    openings: DataFrame,
+    name: str,
+    key: str = "property_ID",
+    seq: str = "seq",
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """``sales`` with the ``seq`` of the last opening of their property before them, else ``NEVER``.
+
+    ``openings`` are the contracts that put a property up for sale again.
+    """
+    events = sales.withColumn("_opening", F.lit(None).cast("long")).unionByName(
+        openings.select(key, seq, F.col(seq).alias("_opening"), F.lit(True).alias("_opens")), allowMissingColumns=True
     )
+    chained = with_previous(events, key, seq, "_opening", name, hot_rows).filter("_opens IS NULL")
+    return chained.withColumn(name, F.coalesce(name, F.lit(NEVER))).drop("_opening", "_opens")
 
 
 def sold_gate_with_contracts(
@@ -115,19 +145,26 @@ def appointment_gate(
     seq: str = "seq",
     counted: DataFrame | None = None,
     hot_rows: int | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Reject appointments not after the property's first contract day.
 
     A property without a contract has nothing to compare with, so its rows pass.
+    ``state`` may give the first days (``first_contract``), if they are kept.
     """
-    first = _touched(contracts, batch, [key]).groupBy(key).agg(F.min(contract_day).alias("_first"))
+    if state is None:
+        state = first_contracts(_touched(contracts, batch, [key]), key, contract_day)
     return (
-        spread_join(batch, first, [key], seq, counted, hot_rows)
-        .withColumn("reject", F.when(_true(F.col(day) <= F.col("_first")), BEFORE_CONTRACT))
-        .drop("_first")
+        spread_join(batch, state.select(key, "first_contract"), [key], seq, counted, hot_rows)
+        .withColumn("reject", F.when(_true(F.col(day) <= F.col("first_contract")), BEFORE_CONTRACT))
+        .drop("first_contract")
     )
 
 
+def first_contracts(contracts: DataFrame, key: str = "property_ID", day: str = "date_contract") -> DataFrame:
+    return contracts.groupBy(key).agg(F.min(day).alias("first_contract"))
+
+
 def review_gate(
     batch: DataFrame,
     sales: DataFrame,
@@ -137,14 +174,16 @@ def review_gate(
     seq: str = "seq",
     counted: DataFrame | None = None,
     hot_rows: int | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Reject reviews not after the sale of the property.
 
     The rule needs the one sale of the property: none passes, several are ambiguous.
+    ``state`` may give number and first day of the sales (``sales``, ``sold_on``), if they are kept.
     """
-    state = _touched(sales, batch, [key]).groupBy(key).agg(
-        F.count(F.lit(1)).alias("_sales"), F.min(sale_day).alias("_sold_on")
-    )
+    if state is None:
+        state = counted_sales(_touched(sales, batch, [key]), key, sale_day)
+    state = state.select(key, F.col("sales").alias("_sales"), F.col("sold_on").alias("_sold_on"))
     return (
         spread_join(batch, state, [key], seq, counted, hot_rows)
         .withColumn(
@@ -157,6 +196,10 @@ def review_gate(
     )
 
 
+def counted_sales(sales: DataFrame, key: str = "property_ID", day: str = "date_transaction") -> DataFrame:
+    return sales.groupBy(key).agg(F.count(F.lit(1)).alias("sales"), F.min(day).alias("sold_on"))
+
+
 def exclusivity_gate(
     batch: DataFrame,
     contracts: DataFrame,
@@ -166,13 +209,15 @@ def exclusivity_gate(
     storable: str | None = None,
     counted: DataFrame | None = None,
     hot_rows: int | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Reject contracts that clash over exclusivity with stored or earlier ones.
 
     Within the scope (the contract date, as the rule is written) an exclusive contract
     blocks every later one, and a non-exclusive one blocks later exclusive ones.  So
     of the batch only the first row with a known exclusivity decides: if exclusive, it
-    blocks all after it; if not, it blocks the exclusive ones.
+    blocks all after it; if not, it blocks the exclusive ones.  ``state`` may give the
+    numbers of stored contracts (``exclusive``, ``open``), if they are kept.
     """
     scope = list(scope)
     known = _storable(seq, storable)
@@ -181,10 +226,9 @@ def exclusivity_gate(
         F.min(known).alias("_first"),
         F.min_by(F.col(exclusivity) == "Yes", known).alias("_first_yes"),
     )
-    stored = _touched(contracts, batch, scope).groupBy(*scope).agg(
-        F.count_if(F.col(exclusivity) == "Yes").alias("_yes"),
-        F.count_if(F.col(exclusivity) == "No").alias("_no"),
-    )
+    if state is None:
+        state = counted_exclusivity(_touched(contracts, batch, scope), scope, exclusivity)
+    stored = state.select(*scope, F.col("exclusive").alias("_yes"), F.col("open").alias("_no"))
     state = arriving.join(stored, scope, "left").na.fill(0, ["_yes", "_no"])
     wanted = F.col(exclusivity) == "Yes"
     later = F.col(seq) > F.col("_first")
@@ -201,6 +245,14 @@ def exclusivity_gate(
     )
 
 
+def counted_exclusivity(
+    contracts: DataFrame, scope: Sequence[str] = ("date_contract",), exclusivity: str = "exclusivity"
+) -> DataFrame:
+    return contracts.groupBy(*scope).agg(
+        F.count_if(F.col(exclusivity) == "Yes").alias("exclusive"), F.count_if(F.col(exclusivity) == "No").alias("open")
+    )
+
+
 # The texts are fixed values; `reject` is the gate's reason column.
 
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
-from deedflow.operators.skew import HOT_ROWS, heavy_keys, tag_heavy
+from deedflow.operators.skew import HOT_ROWS, heavy_keys
 from deedflow.session import cut_lineage
 
 BLOCK_BITS = 16
@@ -21,43 +22,47 @@ MAX_BLOCKS = 256
 def with_previous(
     rows: DataFrame, key: str, seq: str, value: str, name: str, hot_rows: int | None = None
 ) -> DataFrame:
-    """``rows`` with the non-NULL ``value`` of the row before it in its key, by ``seq``.
+    """``rows`` with the last ``value`` that is not NULL before them in their key, by ``seq``.
 
-    Rows with a NULL key have no previous row.  The sequence numbers of an overfull key
+    Rows with a NULL key have no row before them.  The sequence numbers of an overfull key
     are cut at quantiles into ``MAX_BLOCKS`` blocks, however sparse they are, and each
-    block is handed the last value of the block before it.  The quantiles are
+    block is handed the last value of the blocks before it.  The quantiles are
     approximate: they only decide where blocks end, not what is found.
     """
     hot_rows = hot_rows or HOT_ROWS
-    heavy = heavy_keys(rows, [key], hot_rows)
-    tagged = tag_heavy(rows, heavy, [key])
-    hot = tagged.filter(F.col("_fan").isNotNull() & F.col(key).isNotNull())
+    # Rows without a key are spread out, as nothing comes before them.
+    alone = F.when(F.col(key).isNull(), F.col(seq))
+    heavy = cut_lineage(heavy_keys(rows.filter(F.col(key).isNotNull()), [key], hot_rows), "previous-heavy")
+    if heavy.isEmpty():
+        return rows.withColumn(name, _last_before(value, Window.partitionBy(key, alone).orderBy(seq)))
+    # Overfull keys are few by HOT_SHARE, and their cuts of bounded length.
+    hot = rows.join(F.broadcast(heavy), key)
     points = F.array(*[F.lit(i / MAX_BLOCKS) for i in range(1, MAX_BLOCKS)])
     cuts = hot.groupBy(key).agg(F.percentile_approx(seq, points, F.lit(10 * MAX_BLOCKS)).alias("_cuts"))
     cuts = cut_lineage(cuts, "previous-cuts")
-    block = (
-        F.when(F.col(key).isNull(), F.col(seq))
-        .when(F.col("_cuts").isNotNull(), F.expr(f"size(filter(_cuts, c -> c < {seq}))"))
-        .otherwise(0)
-        .cast("long")
+    block = F.when(F.col(key).isNull(), F.col(seq)).when(
+        F.col("_cuts").isNotNull(), F.expr(f"size(filter(_cuts, c -> c < {seq}))")
     )
-    # Overfull keys are few by HOT_SHARE, and their cuts of bounded length.
-    blocks = rows.join(F.broadcast(cuts), key, "left").withColumn("_block", block).drop("_cuts")
-    chained = Window.partitionBy(key).orderBy("_block")
+    blocks = rows.join(F.broadcast(cuts), key, "left")
+    blocks = blocks.withColumn("_block", F.coalesce(block, F.lit(0)).cast("long")).drop("_cuts")
     handed = (
         blocks.join(F.broadcast(cuts.select(key)), key, "left_semi")
         .groupBy(key, "_block")
-        .agg(F.max_by(value, seq).alias("_last"))
-        .select(key, "_block", F.lag("_last").over(chained).alias("_handed"))
+        .agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(seq))).alias("_last"))
+        .select(key, "_block", _last_before("_last", Window.partitionBy(key).orderBy("_block")).alias("_handed"))
     )
     inside = Window.partitionBy(key, "_block").orderBy(seq)
     return (
         blocks.join(handed, [key, "_block"], "left")
-        .withColumn(name, F.coalesce(F.lag(value).over(inside), "_handed"))
+        .withColumn(name, F.coalesce(_last_before(value, inside), "_handed"))
         .drop("_block", "_handed")
     )
 
 
+def _last_before(column: str, window: WindowSpec) -> Column:
+    return F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
+
+
 def _before(count: str, within: str | None, order: str) -> Column:
     window = Window.partitionBy(within) if within else Window.partitionBy()
     running = F.sum(count).over(

@@ -54,7 +54,12 @@ def spread_join(
     ``hot_rows`` rows, and the key's one state row is repeated per share.  ``counted``
     may name a cheaper frame with the same keys to take the counts from.
     """
-    heavy = heavy_keys(rows if counted is None else counted, keys, hot_rows)
+    counts = heavy_keys(rows if counted is None else counted, keys, hot_rows)
+    # HOT_SHARE bounds their number.
+    found = counts.collect()
+    if not found:
+        return rows.join(state, list(keys), "left")
+    heavy = rows.sparkSession.createDataFrame(found, counts.schema)
     share = F.when(F.col("_fan").isNull(), 0).otherwise(
         F.pmod(F.xxhash64(salt_by), F.col("_fan")).cast("int")
     )

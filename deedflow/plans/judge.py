@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deedflow.operators import gates
+from deedflow.operators import effects, gates
 from deedflow.operators.quality import as_stored, stated_checks, value_checks
 from deedflow.plans import conflicts
 from deedflow.plans.reports import Tables
@@ -17,12 +17,18 @@ from deedflow.sources.literals import fill_columns
 from deedflow.sources.schema import TABLES, Table
 
 
+# What reopened the property last before a sale, in a batch with contracts.
+EPOCH = "_epoch"
+
+
 def judge(
     name: str,
     batch: DataFrame,
     tables: Tables,
     scope: Sequence[str] = ("date_contract",),
     hot_rows: int | None = None,
+    others: DataFrame | None = None,
+    openings: DataFrame | None = None,
 ) -> DataFrame:
     """The batch with ``accepted``, ``reasons``, ``message`` and, if rejected, ``offered``.
 
@@ -35,22 +41,28 @@ def judge(
 
     The result is that of rows stored one after the other: a row that is rejected, for
     whatever reason, holds no key and bars nothing.
+
+    ``others`` are rows of another table that arrive between these and share their numbers.
+    ``openings`` (property_ID, seq) are stored contracts among them that put a property up
+    for sale again.
     """
-    table = TABLES[name]
+    table = getattr(tables, "specs", TABLES)[name]
     batch = fill_columns(batch, {f.name: f.type for f in table.fields})
     checks, stated = value_checks(batch, table), stated_checks(table)
     checks["type:seq"] = F.col("seq").try_cast("long").isNull()
     bits = _bits([*checks, *stated, *_looked_up(table)])
     typed = _typed(table, batch, checks, bits)
     typed = typed.withColumn("_failed", F.col("_failed").bitwiseOR(_failed(stated, bits)))
-    exceptions = _exceptions(table, typed, tables)
-    rows = _mark(typed, table, exceptions, bits).withColumn("_storable", F.col("_failed") == 0)
+    if openings is not None:
+        typed = gates.with_epochs(typed, openings, EPOCH, hot_rows=hot_rows)
+    # Everything below reads the batch from here.
+    typed = cut_lineage(typed, f"typed-{name}")
+    exceptions = _exceptions(table, typed, tables, others)
+    # As many as the table has keys and references.
+    present = {row.reason for row in exceptions.select("reason").distinct().collect()}
+    rows = _mark(typed, table, exceptions, bits, present).withColumn("_storable", F.col("_failed") == 0)
     options = {"counted": typed, "hot_rows": hot_rows}
-    repeated = [
-        key
-        for key in (table.key, *table.unique)
-        if not exceptions.filter(F.col("reason") == f"repeated:{key}").isEmpty()
-    ]
+    repeated = [key for key in (table.key, *table.unique) if f"repeated:{key}" in present]
     if repeated:
         rows = _settled(name, table, rows, repeated, exceptions, tables, scope, options, bits)
     rows = _gate(name, rows, tables, scope, options)
@@ -72,6 +84,25 @@ def judge(
     )
 
 
+def judge_mixed(
+    sales: DataFrame,
+    contracts: DataFrame,
+    tables: Tables,
+    scope: Sequence[str] = ("date_contract",),
+    hot_rows: int | None = None,
+) -> dict[str, DataFrame]:
+    """Sales and contracts that arrive mixed, in one order of ``seq``, each judged by :func:`judge`.
+
+    No sale decides on a contract, so contracts go first; those that are stored reopen
+    houses for the sales after them.  A number used in both tables rejects all its rows.
+    """
+    contracts_judged = judge("contracts_owner", contracts, tables, scope, hot_rows, others=sales)
+    contracts_judged = cut_lineage(contracts_judged, "judged-contracts")
+    opened = effects.openings(tables["properties"], contracts_judged.filter("accepted"))
+    judged = judge("transactions", sales, tables, scope, hot_rows, others=contracts, openings=opened)
+    return {"contracts_owner": contracts_judged, "transactions": judged}
+
+
 def _looked_up(table: Table) -> dict[str, str]:
     """Reasons that need a look at other rows, with the column looked at."""
     orphans = {f"orphan:{r.column}": r.column for r in table.references}
@@ -101,35 +132,45 @@ def _typed(
     )
 
 
-def _exceptions(table: Table, rows: DataFrame, tables: Tables) -> DataFrame:
+def _exceptions(table: Table, rows: DataFrame, tables: Tables, others: DataFrame | None = None) -> DataFrame:
     """Values that break a reference, are stored already, or occur in several rows.
 
     They are few as a rule, so they are looked for among the distinct values and written
     to a table of their own.  Spark then knows its size when it joins the rows with it.
+    The values of all columns go through one shuffle as pairs of column and value, and meet
+    the stored keys, tagged with the columns they stand for, in one join.
     """
-    found = []
-    for reference in table.references:
-        column = reference.column
-        parent = tables[reference.parent].select(F.col(TABLES[reference.parent].key).alias(column))
-        values = _values(rows, column)
-        found.append(_exception(values.join(parent, column, "left_anti"), column, "orphan"))
-    found.append(_exception(_values(rows, "seq").filter(F.col("copies") > 1), "seq", "duplicate"))
-    for key in (table.key, *table.unique):
-        values = _values(rows, key)
-        found.append(_exception(tables[table.name].select(key).join(values, key), key, "duplicate"))
-        found.append(_exception(values.filter(F.col("copies") > 1), key, "repeated"))
-    return cut_lineage(reduce(DataFrame.unionAll, found), f"exceptions-{table.name}")
-
-
-def _values(rows: DataFrame, column: str) -> DataFrame:
-    given = rows.filter(F.col(column).isNotNull())
-    return given.groupBy(column).agg(F.count(F.lit(1)).alias("copies"))
-
-
-def _exception(values: DataFrame, column: str, kind: str) -> DataFrame:
-    return values.select(
-        F.lit(f"{kind}:{column}").alias("reason"), F.col(column).cast("string").alias("value"), "copies"
+    keys = (table.key, *table.unique)
+    columns = dict.fromkeys(("seq", *keys, *[r.column for r in table.references]))
+    pairs = rows.select(F.explode(F.array(*[_pair(c, F.col(c)) for c in columns])).alias("p"))
+    if others is not None:
+        pairs = pairs.unionAll(others.select(_pair("seq", F.col("seq").try_cast("long")).alias("p")))
+    pairs = pairs.select("p.column", "p.value").filter("value IS NOT NULL")
+    pairs = cut_lineage(pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("copies")), f"values-{table.name}")
+
+    def stored(of: str, kind: str, column: str, key: str) -> DataFrame:
+        return tables[of].select(F.lit(column).alias("column"), F.col(key).cast("string").alias("value"), F.lit(kind).alias("kind"))
+
+    held = [stored(table.name, "own", key, key) for key in keys]
+    held += [stored(r.parent, "parent", r.column, TABLES[r.parent].key) for r in table.references]
+    met = reduce(DataFrame.unionAll, held).join(pairs.select("column", "value"), ["column", "value"], "left_semi")
+    met = met.groupBy("column", "value").agg(F.max(F.col("kind") == "own").alias("own"), F.max(F.col("kind") == "parent").alias("parent"))
+    found = pairs.join(met, ["column", "value"], "left")
+    repeated = F.col("copies") > 1
+    references = [r.column for r in table.references]
+    kinds = F.array(
+        F.when(F.col("column").isin(references) & ~F.coalesce("parent", F.lit(False)), "orphan"),
+        F.when(F.col("column").isin(list(keys)) & F.col("own"), "duplicate"),
+        F.when(F.col("column").isin(list(keys)) & repeated, "repeated"),
+        F.when((F.col("column") == "seq") & repeated, "duplicate"),
     )
+    found = found.select("column", "value", F.explode(F.array_compact(kinds)).alias("kind"))
+    reason = F.concat("kind", F.lit(":"), "column")
+    return cut_lineage(found.select(reason.alias("reason"), "value"), f"exceptions-{table.name}")
+
+
+def _pair(column: str, value: Column) -> Column:
+    return F.struct(F.lit(column).alias("column"), value.cast("string").alias("value"))
 
 
 def _with_reason(exceptions: DataFrame, rows: DataFrame, reason: str, column: str) -> DataFrame:
@@ -138,9 +179,11 @@ def _with_reason(exceptions: DataFrame, rows: DataFrame, reason: str, column: st
 
 
 def _mark(
-    rows: DataFrame, table: Table, exceptions: DataFrame, bits: dict[str, int]
+    rows: DataFrame, table: Table, exceptions: DataFrame, bits: dict[str, int], present: set[str]
 ) -> DataFrame:
-    reasons = _looked_up(table)
+    reasons = {reason: column for reason, column in _looked_up(table).items() if reason in present}
+    if not reasons:
+        return rows
     for reason, column in reasons.items():
         hits = _with_reason(exceptions, rows, reason, column)
         rows = rows.join(hits.withColumn(f"_{reason}", F.lit(True)), column, "left")
@@ -168,6 +211,8 @@ def _settled(
     see what the host would have seen.
     """
     group = {"transactions": ("property_ID",), "contracts_owner": tuple(scope)}.get(name, ())
+    if EPOCH in rows.columns:
+        group = (*group, EPOCH)
     # What the stored tables alone reject: no row of the batch counts as storable.
     alone = _gate(name, rows.withColumn("_storable", F.lit(False)), tables, scope, options)
     alone = alone.withColumn("_storable", (F.col("_failed") == 0) & F.col("reject").isNull())
@@ -211,15 +256,30 @@ def _settled(
 def _gate(
     name: str, rows: DataFrame, tables: Tables, scope: Sequence[str], options: dict
 ) -> DataFrame:
+    kept = getattr(tables, "state", None)
+
+    def state(log: str) -> DataFrame | None:
+        """What the store keeps of the batch's keys, if it keeps it."""
+        return kept(log, options["counted"]) if kept else None
+
     if name == "transactions":
-        return gates.sold_gate(rows, tables["properties"], storable="_storable", **options)
+        properties = state("status")
+        properties = tables["properties"] if properties is None else properties
+        epoch = EPOCH if EPOCH in rows.columns else None
+        return gates.sold_gate(rows, properties, storable="_storable", epoch=epoch, **options)
     if name == "appointments":
-        return gates.appointment_gate(rows, tables["contracts_owner"], **options)
+        days = state("contract_days")
+        stored = tables["contracts_owner"] if days is None else None
+        return gates.appointment_gate(rows, stored, state=days, **options)
     if name == "reviews":
-        return gates.review_gate(rows, tables["transactions"], **options)
+        sales = state("sales")
+        stored = tables["transactions"] if sales is None else None
+        return gates.review_gate(rows, stored, state=sales, **options)
     if name == "contracts_owner":
-        stored = tables["contracts_owner"]
-        return gates.exclusivity_gate(rows, stored, scope, storable="_storable", **options)
+        # Numbers are kept per day, the scope of the rule as it is written.
+        counts = state("exclusivity") if tuple(scope) == ("date_contract",) else None
+        stored = tables["contracts_owner"] if counts is None else None
+        return gates.exclusivity_gate(rows, stored, scope, storable="_storable", state=counts, **options)
     return rows.withColumn("reject", F.lit(None).cast("string"))
 
 

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deedflow.operators.effects import FOR_SALE, SOLD, audit_log, reopened_keys, sold_keys
+from deedflow.operators.effects import audit_log, changed_status, openings
 from deedflow.plans.judge import judge
-from deedflow.session import remove_folder, scratch_scope
+from deedflow.session import scratch_scope
 from deedflow.sources.schema import LOAD_ORDER
 from deedflow.sources.store import SnapshotStore
 
@@ -28,8 +28,11 @@ class BatchRejected(Exception):
 
 @dataclass(frozen=True)
 class BatchResult:
+    """``contracts`` is the result of contracts that came with a batch of sales."""
+
     accepted: DataFrame
     rejected: DataFrame
+    contracts: BatchResult | None = None
 
 
 def apply_batch(
@@ -40,67 +43,100 @@ def apply_batch(
     scope: Sequence[str] = ("date_contract",),
     stream_batch: tuple[str, int] | None = None,
     hot_rows: int | None = None,
+    contracts: DataFrame | None = None,
 ) -> BatchResult:
     """Judge a batch, store its accepted rows and what they entail, as one version.
 
     ``atomic``: a reject fails the batch with the first one's message, nothing is stored.
     ``quarantine``: the accepted rows are stored, the others returned with their reasons.
+
+    ``contracts`` may arrive between the rows of a batch of sales, in one order of ``seq``: a
+    contract that is stored reopens its house for the sales after it, and the last of a
+    property's sales and contracts leaves its status.
     """
     if mode not in (ATOMIC, QUARANTINE):
         raise ValueError(f"unknown mode {mode!r}")
+    if contracts is not None and name != "transactions":
+        raise ValueError("contracts arrive with sales only")
     tables = store.tables()
-    with scratch_scope(store.spark):
-        folder = store.write(name, judge(name, batch, tables, scope, hot_rows))
-    judged = store.read_judged(name, folder)
-    accepted = judged.filter("accepted").drop("accepted", "reasons", "message", "offered")
-    rejected = judged.filter(~F.col("accepted")).drop("accepted")
-    if mode == ATOMIC:
-        first = rejected.orderBy("seq").limit(1).collect()
-        if first:
-            remove_folder(store.spark, folder)
-            raise BatchRejected(name, first[0].seq, first[0].reasons[0], first[0].message)
-
-    appended, changed, last_log_id = {name: folder}, {}, None
-    stored = accepted.count() if name in ("transactions", "contracts_owner") else 0
-    if stored and name == "transactions":
+    results: dict[str, BatchResult] = {}
+    with store.one_change(), scratch_scope(store.spark):
+        opened = None
+        if name == "contracts_owner" or contracts is not None:
+            given, others = (batch, None) if contracts is None else (contracts, batch)
+            judged = judge("contracts_owner", given, tables, scope, hot_rows, others=others)
+            found = store.add_judged("contracts_owner", judged)
+            results["contracts_owner"] = BatchResult(*found)
+            opened = openings(tables.state("status", found[0]), found[0])
+        if name != "contracts_owner":
+            judged = judge(name, batch, tables, scope, hot_rows, others=contracts, openings=opened)
+            results[name] = BatchResult(*store.add_judged(name, judged))
+        if mode == ATOMIC:
+            _refuse_rejects(results)
+        if name in ("transactions", "contracts_owner"):
+            _store_effects(store, results, opened)
+        store.note(stream_batch=stream_batch)
+    result = results[name]
+    return BatchResult(result.accepted, result.rejected, results.get("contracts_owner") if contracts is not None else None)
+
+
+def _refuse_rejects(results: Mapping[str, BatchResult]) -> None:
+    first = []
+    for name, result in results.items():
+        row = result.rejected.orderBy("seq").limit(1).collect()
+        first += [(name, r.seq, r.reasons[0], r.message) for r in row]
+    if first:
+        # Rows without a number come first.
+        raise BatchRejected(*min(first, key=lambda f: (f[1] is not None, f[1])))
+
+
+def _store_effects(store: SnapshotStore, results: Mapping[str, BatchResult], opened: DataFrame | None) -> None:
+    """The log of accepted sales, and the status that sales and contracts leave."""
+    sales = results["transactions"].accepted if "transactions" in results else None
+    if sales is not None:
         start = store.version.last_log_id
-        with scratch_scope(store.spark):
-            log = audit_log(accepted, last_id=start)
-            appended["log_transactions"] = store.write("log_transactions", log)
-        last_log_id = start + stored
-        changed["properties"] = store.write_status("properties", sold_keys(accepted), SOLD)
-    elif stored and name == "contracts_owner":
-        keys = reopened_keys(tables["properties"], accepted)
-        changed["properties"] = store.write_status("properties", keys, FOR_SALE)
-    store.commit(
-        appended,
-        changed=changed,
-        judged=(name, folder),
-        last_log_id=last_log_id,
-        stream_batch=stream_batch,
-    )
-    return BatchResult(accepted, rejected)
+        stored = sales.count()
+        if stored:
+            store.add("log_transactions", audit_log(sales, last_id=start))
+            store.note(last_log_id=start + stored)
+    if opened is None:
+        opened = sales.select("property_ID", "seq").limit(0)
+    elif sales is None:
+        sales = opened.limit(0)
+    store.set_status(changed_status(sales, opened))
 
 
 def store_changes(store: SnapshotStore, changed: Mapping[str, DataFrame]) -> None:
     """Make tables changed by a delete or a renumbering current, all in one version."""
-    store.commit(replaced={name: store.write(name, rows) for name, rows in changed.items()})
+    # All are read before the first is replaced.
+    with store.one_change():
+        for name, rows in changed.items():
+            store.replace(name, rows)
 
 
 def load_all(
     store: SnapshotStore, batches: Mapping[str, DataFrame], mode: str = ATOMIC
 ) -> dict[str, BatchResult]:
-    """Load one batch per table, every table after the ones it refers to."""
-    return {
-        name: apply_batch(store, name, batches[name], mode)
-        for name in LOAD_ORDER
-        if name in batches
-    }
+    """Load one batch per table, every table after the ones it refers to, as one version.
+
+    Each batch is judged against what was stored and what the load has stored before it.
+    If one of them fails, nothing of the load is stored.
+    """
+    with store.one_change():
+        return {
+            name: apply_batch(store, name, batches[name], mode)
+            for name in LOAD_ORDER
+            if name in batches
+        }
 
 
 def reload_all(
     store: SnapshotStore, batches: Mapping[str, DataFrame], mode: str = ATOMIC
 ) -> dict[str, BatchResult]:
-    """Clear all tables, then load them again."""
-    store.clear()
-    return load_all(store, batches, mode)
+    """Load all tables anew in place of what they hold, as one version.
+
+    If the load fails, the tables keep their rows.
+    """
+    with store.one_change():
+        store.clear()
+        return load_all(store, batches, mode)

@@ -79,6 +79,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             remove_folder(spark, path)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, none if there is no such folder; only the driver looks."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(context._jsc.hadoopConfiguration())
+    return [found.getPath().getName() for found in system.listStatus(target)] if system.exists(target) else []
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder through the file system that Spark reads it with."""
     context = spark.sparkContext

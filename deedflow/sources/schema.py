@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cache
 
 from pyspark.sql import types as T
 
@@ -253,6 +254,25 @@ TABLES: dict[str, Table] = {
     )
 }
 
+# Ids have so many digits as declared.
+ID_DIGITS = 6
+
+
+@cache
+def tables_with(id_digits: int = ID_DIGITS) -> dict[str, Table]:
+    """The tables with wider ids; an id declared with fewer digits than others keeps its distance to them."""
+    if not ID_DIGITS <= id_digits <= 18:
+        raise ValueError(f"ids have {ID_DIGITS} to 18 digits, not {id_digits}")
+
+    def widened(field: Field) -> Field:
+        if field.digits is None or id_digits == ID_DIGITS:
+            return field
+        digits = field.digits + id_digits - ID_DIGITS
+        return replace(field, digits=digits, type=T.LongType() if digits > 9 else field.type)
+
+    return {name: replace(t, fields=tuple(map(widened, t.fields))) for name, t in TABLES.items()}
+
+
 LOAD_ORDER = [name for name in TABLES if name != "log_transactions"]
 
 

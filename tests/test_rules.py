@@ -175,7 +175,7 @@ def test_second_sale_in_a_batch_is_rejected(spark, tables, tmp_path):
     assert verdicts(judged_sales(spark, tables, *batch)) == [[], ["already_sold"], []]
     store = SnapshotStore(spark, str(tmp_path))
     for name in ("companies", "owners", "properties", "clients", "agents"):
-        store.commit(appended={name: store.write(name, tables[name])})
+        store.add(name, tables[name])
     batch = literal_batch(spark, "transactions", batch, SALE_COLUMNS)
     with pytest.raises(BatchRejected):
         apply_batch(store, "transactions", batch)
