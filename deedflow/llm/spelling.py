@@ -36,8 +36,11 @@ DAMAGED = 31
 RATIO = 10
 
 GROUPS = 16
-TOP = 6
-# More words under one upper path are not searched in one task.
+# Levels of the trie: groups with frequent letters first, as they tell words apart early.
+LEVELS = (5, 1, 9, 14, 4, 15, 3, 2, 12, 8, 13, 7, 6, 0, 11, 10)
+# Spark walks so many upper levels at most; fewer if no upper path is crowded then.
+MOST_TOP = 8
+# An upper path with more words than this is crowded: it is not searched in one task.
 SHARD_WORDS = 50_000
 # Counted words are passed on when a task holds more different ones than this.
 HELD_WORDS = 500_000
@@ -158,78 +161,103 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COPIES)
 
 
-def vector(word: str) -> np.ndarray:
-    codes = np.frombuffer(word.encode("utf-32-le"), np.uint32)
-    return np.bincount(codes % GROUPS, minlength=GROUPS).astype("<i4")
+_LEVEL_OF = bytes(LEVELS.index(code % GROUPS) for code in range(256))
 
 
-def changed(counts: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, int]]:
-    """The vectors within the budget, each with what is left of it; the surplus comes in an earlier group."""
-    yield counts, budget
-    if budget == DEFICIT:
-        for j in np.flatnonzero(counts):
-            less = counts.copy()
-            less[j] -= 1
-            yield less, NOTHING
-    elif budget == BOTH:
-        for i in range(len(counts)):
-            more = counts.copy()
-            more[i] += 1
-            yield more, DEFICIT
-            for j in np.flatnonzero(counts[i + 1 :]):
-                both = more.copy()
-                both[i + 1 + j] -= 1
-                yield both, NOTHING
+def vector(word: str) -> bytes:
+    """Letter counts by level, modulo 256.  Characters beyond U+00FF share a group."""
+    levels = word.encode("latin-1", "replace").translate(_LEVEL_OF)
+    return bytes([levels.count(level) & 255 for level in range(GROUPS)])
 
 
-PLACED = "word string, n long, budget int, upper binary"
-KEYED = "word string, n long, budget int, key binary"
+def changed(counts: bytes, budget: int) -> list[tuple[bytes, int]]:
+    """The counts within the budget, each with what is left of it; the surplus comes on an earlier level."""
+    found = [(counts, budget)]
+    for i in range(len(counts)) if budget == BOTH else ():
+        more = counts[:i] + bytes([(counts[i] + 1) & 255]) + counts[i + 1 :]
+        found.append((more, DEFICIT))
+        found.extend((more[:j] + bytes([counts[j] - 1]) + more[j + 1 :], NOTHING) for j in range(i + 1, len(counts)) if counts[j])
+    for j in range(len(counts)) if budget == DEFICIT else ():
+        if counts[j]:
+            found.append((counts[:j] + bytes([counts[j] - 1]) + counts[j + 1 :], NOTHING))
+    return found
 
 
-def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Where each word lies (no budget given), and the upper paths under which near words may lie."""
-    schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("budget", pa.int32()), ("upper", pa.binary())])
+def longer(budget: int, left: int) -> int:
+    """By how many letters a word is longer whose path has ``left`` of a budget."""
+    return {BOTH: 0, DEFICIT: 1, NOTHING: 0}[left] - {BOTH: 0, DEFICIT: 1, NOTHING: 0}[budget]
+
+
+VECTOR = "word string, n long, counts binary"
+PLACED = "word string, n long, budget int, upper binary, lower binary"
+KEYED = "word string, n long, budget int, key binary, lower binary"
+
+
+def _arrow(rows: list[tuple], names: str) -> pa.RecordBatch:
+    kinds = {"word": pa.string(), "near": pa.string(), "n": pa.int64(), "near_n": pa.int64(), "budget": pa.int32()}
+    fields = [pa.field(name, kinds.get(name, pa.binary())) for name in names.split()]
+    arrays = [pa.array(column, field.type) for column, field in zip(zip(*rows), fields)]
+    return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
+
+
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 1_000):
-            rows = []
-            for word, n in zip(batch.column(0)[at : at + 1_000].to_pylist(), batch.column(1)[at : at + 1_000].to_pylist()):
-                upper = vector(word)[:TOP]
-                rows.append((word, n, None, upper.tobytes()))
-                rows.extend((word, n, left, path.tobytes()) for path, left in changed(upper, BOTH))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        counts = pa.array(map(vector, batch.column(0).to_pylist()), pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), counts], ["word", "n", "counts"])
+
 
+def _placed(words: DataFrame, top: int) -> DataFrame:
+    """Where each word lies (no budget given), and the upper paths under which near words may lie."""
 
-def _halves(word: str, lower: np.ndarray, upper: bytes, length: int) -> Iterator[bytes]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reach: dict[bytes, list[tuple[bytes, int]]] = {}
+        for batch in batches:
+            rows = []
+            for word, n, counts in zip(*(column.to_pylist() for column in batch.columns)):
+                upper, lower = counts[:top], counts[top:]
+                if upper not in reach:
+                    if len(reach) > 10_000:
+                        reach.clear()
+                    reach[upper] = changed(upper, BOTH)
+                rows.append((word, n, None, upper, lower))
+                rows.extend([(word, n, left, path, lower) for path, left in reach[upper]])
+                if len(rows) > 20_000:
+                    yield _arrow(rows, "word n budget upper lower")
+                    rows = []
+            if rows:
+                yield _arrow(rows, "word n budget upper lower")
+
+    return words.mapInArrow(place, PLACED)
+
+
+def _halves(word: str, path: bytes, length: int) -> Iterator[bytes]:
     half = (length - 1) // 2
-    path = upper + lower.tobytes()
     yield path + b"first" + word[:half].encode()
     yield path + b"last" + word[-half:].encode()
 
 
 def _descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lower levels of crowded upper paths: keys of single paths and halves of words."""
-    schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("budget", pa.int32()), ("key", pa.binary())])
     for batch in batches:
         rows = []
-        for word, n, budget, upper in zip(*(column.to_pylist() for column in batch.columns)):
-            lower = vector(word)[TOP:]
+        for word, n, budget, upper, lower in zip(*(column.to_pylist() for column in batch.columns)):
             if budget is None:
-                rows.extend((word, n, None, key) for key in _halves(word, lower, upper, len(word)))
+                rows.extend((word, n, None, key, b"") for key in _halves(word, upper + lower, len(word)))
             else:
-                sum_above = int(np.frombuffer(upper, "<i4").sum())
+                size = len(word) + longer(BOTH, budget)
                 for path, left in changed(lower, budget):
-                    length = sum_above + int(path.sum())
-                    rows.extend((word, n, left, key) for key in _halves(word, path, upper, length))
+                    keys = _halves(word, upper + path, size + longer(budget, left))
+                    rows.extend((word, n, left, key, b"") for key in keys)
             if len(rows) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                yield _arrow(rows, "word n budget key lower")
                 rows = []
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            yield _arrow(rows, "word n budget key lower")
 
 
 def one_edit(a: str, b: str) -> bool:
     """Whether one inserted or replaced letter turns ``a`` into ``b``; ``b`` is not the shorter one."""
-    if a == b or len(b) - len(a) > 1:
+    if a == b or not 0 <= len(b) - len(a) <= 1:
         return False
     i, most = 0, len(a)
     while i < most and a[i] == b[i]:
@@ -242,7 +270,8 @@ class Leaf:
 
     FEW = 16
 
-    def __init__(self) -> None:
+    def __init__(self, counts: bytes) -> None:
+        self.counts = counts
         self.words: list[tuple[str, int]] = []
         self.halves: dict[tuple[bool, str], list[tuple[str, int]]] | None = None
 
@@ -259,51 +288,85 @@ class Leaf:
         return first + [e for e in self.halves.get((False, word[-half:]), []) if e[0][:half] != word[:half]]
 
 
-class Subtree:
-    """A trie of the counts below the upper levels."""
+def _spent(counts: bytes, other: bytes, level: int, left: int) -> int | None:
+    """What is left of the budget when the path goes on as ``other``, None if it does not suffice."""
+    if counts[level:] == other[level:]:
+        return left
+    if left == NOTHING:
+        return None
+    changes = [(b - a) & 255 for a, b in zip(counts[level:], other[level:]) if a != b]
+    if left == DEFICIT:
+        return NOTHING if changes == [255] else None
+    return DEFICIT if changes == [1] else NOTHING if changes == [1, 255] else None
 
-    def __init__(self) -> None:
-        self.root: dict = {}
 
-    def add(self, word: str, n: int) -> None:
-        node = self.root
-        *path, last = vector(word)[TOP:].tolist()
-        for count in path:
-            node = node.setdefault(count, {})
-        node.setdefault(last, Leaf()).words.append((word, n))
+class Subtree:
+    """The trie below an upper path.  Words are added in the order of their counts.
+
+    A node is a range of paths until it is first met, then its children by the next count; a range of one path is not
+    opened further.
+    """
 
-    def search(self, word: str, budget: int) -> Iterator[tuple[str, int]]:
+    def __init__(self) -> None:
+        self.leaves: list[Leaf] = []
+        self.root: dict | None = None
+
+    def add(self, word: str, n: int, counts: bytes) -> None:
+        if not self.leaves or self.leaves[-1].counts != counts:
+            self.leaves.append(Leaf(counts))
+        self.leaves[-1].words.append((word, n))
+
+    def _opened(self, first: int, last: int, level: int) -> dict:
+        """Children of the node of leaves ``first`` to ``last`` (exclusive), as ranges or single leaves."""
+        children: dict[int, Leaf | tuple[int, int] | dict] = {}
+        begin = first
+        for i in range(first + 1, last + 1):
+            if i == last or self.leaves[i].counts[level] != self.leaves[begin].counts[level]:
+                children[self.leaves[begin].counts[level]] = self.leaves[begin] if i == begin + 1 else (begin, i)
+                begin = i
+        return children
+
+    def search(self, word: str, budget: int, counts: bytes) -> Iterator[tuple[str, int]]:
         """Words at the ends of the paths within the budget, depth first, each verified."""
-        counts = vector(word)[TOP:].tolist()
+        if not self.leaves:
+            return
+        if self.root is None:
+            self.root = self._opened(0, len(self.leaves), 0)
         stack = [(self.root, 0, budget)]
         while stack:
             node, level, left = stack.pop()
-            if level == len(counts):
-                for other, n in node.near(word):
-                    # Words of the very same path meet from both sides.
-                    if (left != BOTH or word < other) and one_edit(word, other):
-                        yield other, n
-                continue
             count = counts[level]
-            if (child := node.get(count)) is not None:
-                stack.append((child, level + 1, left))
-            if left == BOTH and (child := node.get(count + 1)) is not None:
-                stack.append((child, level + 1, DEFICIT))
-            if left == DEFICIT and (child := node.get(count - 1)) is not None:
-                stack.append((child, level + 1, NOTHING))
+            steps = ((count, left),)
+            if left == BOTH:
+                steps = ((count, BOTH), ((count + 1) & 255, DEFICIT))
+            elif left == DEFICIT:
+                steps = ((count, DEFICIT), ((count - 1) & 255, NOTHING))
+            for step, rest in steps:
+                child = node.get(step)
+                if child is None:
+                    continue
+                if type(child) is tuple:
+                    child = node[step] = self._opened(*child, level + 1)
+                if type(child) is dict:
+                    stack.append((child, level + 1, rest))
+                elif (rest := _spent(counts, child.counts, level + 1, rest)) is not None:
+                    for other, n in child.near(word):
+                        # Words of the very same path meet from both sides.
+                        if (rest != BOTH or word < other) and one_edit(word, other):
+                            yield other, n
 
 
 class Path:
     """The words of one path and half; those that share the first half are left to its own key."""
 
-    def __init__(self, key: bytes) -> None:
-        self.last = key[4 * GROUPS :].startswith(b"last")
+    def __init__(self, last: bool) -> None:
+        self.last = last
         self.words: list[tuple[str, int]] = []
 
-    def add(self, word: str, n: int) -> None:
+    def add(self, word: str, n: int, counts: bytes) -> None:
         self.words.append((word, n))
 
-    def search(self, word: str, budget: int) -> Iterator[tuple[str, int]]:
+    def search(self, word: str, budget: int, counts: bytes) -> Iterator[tuple[str, int]]:
         for other, n in self.words:
             half = (len(other) - 1) // 2
             if self.last and word[:half] == other[:half]:
@@ -314,44 +377,51 @@ class Path:
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Near words, both ways; rows come by key, the words that lie there before those that look there."""
-    schema = pa.schema([("word", pa.string()), ("near", pa.string()), ("near_n", pa.int64())])
     held_key, held = None, None
     found: list[tuple[str, str, int]] = []
     for batch in batches:
-        for word, n, budget, key in zip(*(column.to_pylist() for column in batch.columns)):
+        for word, n, budget, key, lower in zip(*(column.to_pylist() for column in batch.columns)):
             if key != held_key:
-                held_key, held = key, Subtree() if len(key) == 4 * TOP else Path(key)
+                held_key, held = key, Path(key[GROUPS:].startswith(b"last")) if len(key) > GROUPS else Subtree()
             if budget is None:
-                held.add(word, n)
+                held.add(word, n, lower)
                 continue
-            for other, m in held.search(word, budget):
+            for other, m in held.search(word, budget, lower):
                 found.append((word, other, m))
                 found.append((other, word, n))
             if len(found) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
+                yield _arrow(found, "word near near_n")
                 found = []
     if found:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
+        yield _arrow(found, "word near near_n")
+
+
+def _levels_for(sizes: DataFrame, shard_words: int) -> int:
+    """The least number of upper levels at which no path is crowded, or the most allowed."""
+    level = F.explode(F.sequence(F.lit(1), F.lit(MOST_TOP))).alias("top")
+    paths = sizes.select(level, "upper", "words").groupBy("top", F.expr("substring(upper, 1, top)")).agg(F.sum("words").alias("words"))
+    largest = paths.groupBy("top").agg(F.max("words").alias("words")).filter(F.col("words") <= shard_words)
+    return largest.agg(F.coalesce(F.min("top"), F.lit(MOST_TOP))).first()[0]
 
 
 def near_words(words: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``word``, a word ``near`` it and that one's ``near_n``, for all pairs both ways; ``words`` holds each word once."""
-    placed = words.select("word", "n").mapInArrow(_place, PLACED)
-    lying = F.col("budget").isNull()
-    uppers = words.select("word", "n").mapInArrow(_upper_paths, "upper binary")
-    uppers = uppers.groupBy("upper").agg((F.count(F.lit(1)) > shard_words).alias("crowded"))
+    counted = written(words.select("word", "n").mapInArrow(_vectors, VECTOR), "spelling-vectors")
+    sizes = counted.groupBy(F.expr(f"substring(counts, 1, {MOST_TOP})").alias("upper")).agg(F.count(F.lit(1)).alias("words"))
+    sizes = written(sizes, "spelling-paths")
+    top = _levels_for(sizes, shard_words)
+    uppers = sizes.groupBy(F.expr(f"substring(upper, 1, {top})").alias("upper")).agg((F.sum("words") > shard_words).alias("crowded"))
     # Paths under which no word lies drop out here.
-    routed = written(placed.join(written(uppers, "spelling-paths"), "upper"), "spelling-routes")
-    plain = routed.filter("NOT crowded").select("word", "n", "budget", F.col("upper").alias("key"))
-    deep = routed.filter("crowded").select("word", "n", "budget", "upper").mapInArrow(_descend, KEYED)
-    keyed = plain.unionAll(deep).repartition("key").sortWithinPartitions("key", lying.desc())
-    return keyed.mapInArrow(_search, "word string, near string, near_n long")
-
-
-def _upper_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        paths = [vector(word)[:TOP].tobytes() for word in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.binary())], ["upper"])
+    routed = _placed(counted, top).join(written(uppers, "spelling-uppers"), "upper")
+    if uppers.filter("crowded").isEmpty():
+        keyed = routed.select("word", "n", "budget", F.col("upper").alias("key"), "lower")
+    else:
+        routed = written(routed, "spelling-routes")
+        plain = routed.filter("NOT crowded").select("word", "n", "budget", F.col("upper").alias("key"), "lower")
+        deep = routed.filter("crowded").select("word", "n", "budget", "upper", "lower")
+        keyed = plain.unionAll(deep.mapInArrow(_descend, KEYED))
+    ordered = keyed.repartition("key").sortWithinPartitions("key", F.col("budget").isNull().desc(), "lower")
+    return ordered.mapInArrow(_search, "word string, near string, near_n long")
 
 
 def _rooted(forms: DataFrame) -> DataFrame:

@@ -278,6 +278,14 @@ def test_variants(spark, letters, shard_words):
     assert any(r.root not in (r.form, r.word) for r in found)
 
 
+def test_words_of_very_many_letters(spark):
+    words = {"a" * k: k for k in range(7, 600, 1)} | {"a" * 255 + "b": 9, "é" + "a" * 255: 9, "\u0100" + "a" * 255: 9}
+    frame = spark.createDataFrame(list(words.items()), "word string, n long")
+    for shard_words in (0, 50_000):
+        found = {r.word: r.n_near for r in spelling.group_variants(frame, shard_words=shard_words).collect()}
+        assert found == {row[0]: row[4] for row in brute_variants(words)}
+
+
 def test_spelling_of_documents(spark):
     r = random.Random(5)
     vocabulary = list(random_words(5, n=30))
