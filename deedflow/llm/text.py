@@ -18,8 +18,11 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_BASE, _ROLL = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+_BASE, _ROLL, _LANE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _BLOCK = 1 << 17
+# Spans of more bytes are hashed one by one.
+_LONG = 256
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 # Texts are worked on in pieces of about this many bytes (one text at least).
 PIECE_BYTES = 2 << 20
 
@@ -101,43 +104,48 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POWERS
-    if n >= len(_POWERS[0]):
-        made = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            steps = np.full(max(n + 1, _BLOCK * 2), base, np.uint64)
-            steps[0] = 1
-            made.append(np.cumprod(steps, dtype=np.uint64))
-        _POWERS = tuple(made)
-    return _POWERS
+def _lane_keys(first: int, last: int) -> np.ndarray:
+    """What the lanes ``first`` to ``last`` (exclusive) of a span are keyed with."""
+    return mixed(np.arange(first + 1, last + 1, dtype=np.uint64) * np.uint64(_LANE))
 
 
-_POWERS: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+def _long_hash(span: np.ndarray) -> np.uint64:
+    """Sum over the lanes of one span of any length, a block at a time."""
+    total = np.uint64(0)
+    for at in range(0, len(span), 8 * _BLOCK):
+        part = span[at : at + 8 * _BLOCK]
+        lanes = np.zeros(-(-len(part) // 8), "<u8")
+        lanes.view(np.uint8)[: len(part)] = part
+        lanes ^= _lane_keys(at // 8, at // 8 + len(lanes))
+        total += mixed(lanes).sum(dtype=np.uint64)
+    return total
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``data[starts[i]:ends[i]]``; spans in order, none overlapping.
+    """64-bit hashes of ``data[starts[i]:ends[i]]``.
 
-    The bytes are summed up with powers of an odd base, so a span's sum is a difference of two
-    prefix sums, times the inverse power of its start.
+    A span's bytes are taken in lanes of eight; each is keyed by its place, mixed, and only then added to the others, so
+    that no pattern of the text makes two spans' sums equal, as it does with sums of powers.
     """
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        base = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, base + _BLOCK, side="right")))
-        power, inverse = _powers(int(ends[j - 1] - base) + 1)
-        block = data[base : ends[j - 1]].astype(np.uint64)
-        block += np.uint64(1)
-        block *= power[: len(block)]
-        sums = np.zeros(len(block) + 1, np.uint64)
-        np.cumsum(block, out=sums[1:])
-        first, last = starts[i:j] - base, ends[i:j] - base
-        out[i:j] = (sums[last] - sums[first]) * inverse[first]
-        i = j
-    out ^= (ends - starts).astype(np.uint64) << np.uint64(48)
-    return mixed(out)
+    sizes = (ends - starts).astype(np.int64)
+    total = np.zeros(len(starts), np.uint64)
+    for i in np.flatnonzero(sizes > _LONG):
+        total[i] = _long_hash(data[starts[i] : ends[i]])
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    # The eight bytes from each place on, of which those beyond the span are masked out.
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    active = np.flatnonzero((sizes > 0) & (sizes <= _LONG))
+    for lane in range(_LONG // 8):
+        if not len(active):
+            break
+        left = sizes[active] - 8 * lane
+        lanes = eight[starts[active] + 8 * lane] & _MASKS[np.minimum(left, 8)]
+        lanes ^= _lane_keys(lane, lane + 1)
+        total[active] += mixed(lanes)
+        active = active[left > 8]
+    total += sizes.astype(np.uint64) * np.uint64(_BASE)
+    return mixed(total)
 
 
 def word_hashes(words: Words) -> np.ndarray:

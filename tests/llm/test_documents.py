@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 
 from deedflow.llm import decontaminate, line_dedup, near_dedup, substring_dedup
+from deedflow.llm.stats import statistics
 from tests.llm.edge_rows import CLASHING, ROWS, documents, edge_documents
 
 LAST = (1 << 63) - 1
@@ -287,3 +288,15 @@ def test_plain_words():
     found = substring_dedup.words_of(pa.array(["  a  bc\n", None, "d", ""]))
     plain = substring_dedup.Plain(found)
     assert [plain.text(a, b) for a, b in zip(plain.bounds, plain.bounds[1:], strict=False)] == [b"a bc", b"", b"d", b""]
+
+
+def test_patterned_words_are_told_apart(spark):
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    linked = near_dedup.near_duplicates(documents(spark, [(0, f"p q r s {a}"), (1, f"p q r s {b}")])).collect()
+    assert {r.doc_id: r.component_id for r in linked} == {0: 0, 1: 1}
+    twelve = " ".join(f"w{i}" for i in range(12))
+    rows = [(0, f"{a} {twelve}"), (1, f"{b} {twelve}"), (2, f"x {b} {twelve} y")]
+    found = {r.doc_id: r.n_removed for r in substring_dedup.without_repeats(documents(spark, rows)).collect()}
+    assert found == {0: 0, 1: 0, 2: 13}
+    assert statistics(pa.array([f"{a}\n{b}\n{a}"]))["n_dup_lines"].tolist() == [1]

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -56,3 +57,37 @@ def test_pieces_hold_every_row(most):
     batch = pa.RecordBatch.from_pydict({"text": ["abc", None, "", "d" * 50, "e"]}).slice(1)
     found = [t for p in pieces(batch, most=most) for t in p.column("text").to_pylist()]
     assert found == [None, "", "d" * 50, "e"]
+
+
+def thue_morse(n):
+    """A string of a and b and its complement, which sums of powers of any odd base take for the same from n = 1024 on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [8, 16, 64, 256, 264, 1024, 4096])
+def test_patterned_spans_differ(n):
+    pair = thue_morse(n)
+    data = np.frombuffer("".join(pair).encode(), np.uint8)
+    hashes = hash_spans(data, np.array([0, n]), np.array([n, 2 * n]))
+    assert hashes[0] != hashes[1]
+
+
+def test_hashes_depend_on_the_bytes_of_the_span_only():
+    r = random.Random(9)
+    spans = [bytes(r.randrange(256) for _ in range(n)) for n in (0, 1, 7, 8, 9, 15, 16, 17, 255, 256, 257, 300, 5000) for _ in range(3)]
+    spans += [b"a", b"a\0", b"\0" * 8, b"\0" * 16, b""]
+    seen = {}
+    for _ in range(4):
+        r.shuffle(spans)
+        data = np.frombuffer(b"".join(s + b"x" * r.randrange(9) for s in spans) + b"end", np.uint8)
+        text, starts = data.tobytes(), []
+        at = 0
+        for s in spans:
+            at = text.index(s, at)
+            starts.append(at)
+            at += len(s)
+        starts = np.array(starts)
+        for s, h in zip(spans, hash_spans(data, starts, starts + [len(s) for s in spans])):
+            assert seen.setdefault(s, h) == h
+    assert len(set(seen.values())) == len(seen)
