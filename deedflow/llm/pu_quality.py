@@ -124,9 +124,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[S
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("kind"), rows], ["doc_id", "kind", "x"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # Both sides of the union are bounded by ``most`` rows.
+    # Both sides of the union are bounded by ``most`` rows, and so is what comes back: one row per id and kind.
     sample = texts.join(F.broadcast(trusted.unionByName(web)), F.col("doc_id") == F.col("_id")).drop("_id")
-    rows = sample.mapInArrow(run, "doc_id long, kind int, x binary").toPandas().sort_values(["kind", "doc_id", "x"])
+    found = sample.mapInArrow(run, "doc_id long, kind int, x binary").groupBy("doc_id", "kind").agg(F.min("x").alias("x"))
+    rows = found.toPandas().sort_values(["kind", "doc_id", "x"])
     kinds = [np.frombuffer(b"".join(rows["x"][rows["kind"] == k]), np.float32).reshape(-1, BUCKETS + len(FEATURES)) for k in (1, 0)]
     positive, unlabelled = (np.random.default_rng(3).permutation(k) for k in kinds)
     if len(positive) < 4 or len(unlabelled) < 4:

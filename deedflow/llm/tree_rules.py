@@ -129,17 +129,23 @@ def in_training(doc_id: str = "doc_id") -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int = TRAIN_ROWS) -> DataFrame:
-    """Texts and labels of at most ``most`` rows, those whose id has the smallest hash."""
+    """Texts and labels of at most ``most`` rows, those whose id has the smallest hash.
+
+    Of rows with one id, the text with the smallest hash and the least label are taken.
+    """
     chosen = (
         labels.select(F.col("doc_id").alias("_id"), F.col(column).cast("double").alias("label"))
         .filter(in_training("_id") & F.col("label").isNotNull())
-        .orderBy(F.xxhash64("_id"), "_id", "label")
+        .groupBy("_id")
+        .agg(F.min("label").alias("label"))
+        .orderBy(F.xxhash64("_id"), "_id")
         .limit(most)
     )
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     # Bounded by ``most`` rows.
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("_id")
-    ).drop("_id")
+    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    least = F.min_by(F.struct("text", "label"), F.struct(F.xxhash64("text"), "text"))
+    return found.groupBy("doc_id").agg(least.alias("_row")).select("doc_id", "_row.text", "_row.label")
 
 
 _STATS = T.StructType(

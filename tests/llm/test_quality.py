@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from deedflow.llm import pu_quality, tree_rules
 from deedflow.llm.queries import QUERIES
@@ -106,3 +107,14 @@ def test_estimated_prior_and_risk():
     assert abs(prior - 0.7) < 0.06
     scores = pu_quality.fit(positive, mixture, prior).scores(mixture)
     assert (scores[:5600] > 0.3).mean() > 0.97 and (scores[5600:] < 0.3).mean() > 0.97
+
+
+def test_samples_are_bounded_whatever_repeats(spark):
+    docs = spark.range(20_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    docs = docs.unionAll(spark.range(2, 300).select("id", F.lit("other")))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    sample = tree_rules.labelled_sample(docs, labels, "quality", most=100)
+    found = sample.collect()
+    assert len(found) == 100 == len({r.doc_id for r in found})
+    assert sorted(map(tuple, found)) == sorted(map(tuple, tree_rules.labelled_sample(docs, labels, "quality", most=100).collect()))
+    assert tree_rules.labelled_sample(docs.limit(0), labels, "quality").collect() == []
