@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from deedflow.operators.effects import audit_log, changed_status, openings
 from deedflow.plans.judge import judge
 from deedflow.session import scratch_scope
-from deedflow.sources.schema import LOAD_ORDER
+from deedflow.sources.schema import LOAD_ORDER, TABLES
 from deedflow.sources.store import SnapshotStore
 
 ATOMIC = "atomic"
@@ -114,20 +115,36 @@ def store_changes(store: SnapshotStore, changed: Mapping[str, DataFrame]) -> Non
             store.replace(name, rows)
 
 
+# Rules that read other tables than those a table refers to.
+_RULES = {"appointments": ("contracts_owner",), "transactions": ("contracts_owner",), "reviews": ("transactions",)}
+
+
+def load_steps(names: Iterable[str]) -> list[list[str]]:
+    """The tables of a load in steps: each after all that its references and rules read."""
+    steps: dict[str, int] = {}
+    for name in LOAD_ORDER:
+        read = (*[r.parent for r in TABLES[name].references], *_RULES.get(name, ()))
+        steps[name] = 1 + max((steps[other] for other in read), default=0)
+    wanted = set(names)
+    return [[n for n in LOAD_ORDER if steps[n] == step and n in wanted] for step in sorted(set(steps.values()))]
+
+
 def load_all(
     store: SnapshotStore, batches: Mapping[str, DataFrame], mode: str = ATOMIC
 ) -> dict[str, BatchResult]:
     """Load one batch per table, every table after the ones it refers to, as one version.
 
-    Each batch is judged against what was stored and what the load has stored before it.
-    If one of them fails, nothing of the load is stored.
+    Each batch is judged against what was stored and what the load has stored before it;
+    tables that do not depend on one another are loaded side by side.  If one of them fails,
+    nothing of the load is stored.
     """
-    with store.one_change():
-        return {
-            name: apply_batch(store, name, batches[name], mode)
-            for name in LOAD_ORDER
-            if name in batches
-        }
+    results: dict[str, BatchResult] = {}
+    with store.one_change(), ThreadPoolExecutor(max(map(len, load_steps(TABLES)))) as pool:
+        for step in load_steps(batches):
+            running = {name: pool.submit(apply_batch, store, name, batches[name], mode) for name in step}
+            wait(running.values())
+            results |= {name: done.result() for name, done in running.items()}
+    return {name: results[name] for name in LOAD_ORDER if name in results}
 
 
 def reload_all(

@@ -567,20 +567,14 @@ def a4_coalesce_sum(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def a5_conditional_count(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        _orders_as_rows(spark, folder)
-        .groupBy(F.to_date("day").alias("date_contract"))
-        .agg(
-            F.count_if(F.col("exclusivity") == "Yes").alias("exclusive"),
-            F.count_if(F.col("exclusivity") == "No").alias("open"),
-        )
-    )
+    rows = _orders_as_rows(spark, folder).withColumn("date_contract", F.to_date("day"))
+    return gates.counted_exclusivity(rows)
 
 
 @_query
 def a6_first_date(spark: SparkSession, folder: str) -> DataFrame:
-    contracts = star.contracts_owner(spark, folder).groupBy("property_ID")
-    return contracts.agg(F.to_date(F.min("date_contract")).alias("first_contract"))
+    first = gates.first_contracts(star.contracts_owner(spark, folder))
+    return first.select("property_ID", F.to_date("first_contract").alias("first_contract"))
 
 
 @_query

@@ -1,7 +1,7 @@
 """What is kept of each key, so that a batch looks at its own keys instead of whole tables.
 
-Every batch adds a few rows per key to a log; the logs are dealt by a hash of the key into ``BUCKETS`` folders each, and
-only the buckets of a batch's keys are read for it.
+Every batch adds a row per key to a log; the logs are dealt by a hash of the key into as many folders as the store was
+made with, and only the buckets of a batch's keys are read for it.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from deedflow.operators import gates
 from deedflow.sources.schema import Table
 
-BUCKETS = 64
+BUCKETS = 16
 BUCKET = "bucket"
 
 
@@ -39,9 +39,9 @@ class StateLog:
         return rows.groupBy(self.key).agg(*self.folded())
 
 
-def bucket_of(key: str) -> Column:
+def bucket_of(key: str, buckets: int) -> Column:
     """The text is hashed, so that wider types change nothing."""
-    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
 
 
 def _keyed(rows: DataFrame, key: str) -> DataFrame:

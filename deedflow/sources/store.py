@@ -11,8 +11,9 @@ next, so that a table of any number of batches is read from few folders and a ro
 from __future__ import annotations
 
 import json
+import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 
 from deedflow.session import folder_names, remove_folder
 from deedflow.sources.schema import ID_DIGITS, TABLES, Table, clear_order, tables_with
-from deedflow.sources.state import BUCKET, LOGS, StateLog, bucket_of, logs_of
+from deedflow.sources.state import BUCKET, BUCKETS, LOGS, StateLog, bucket_of, logs_of
 from deedflow.sources.tables import LazyTables
 
 STATUS = "prop_status"
@@ -71,6 +72,8 @@ class Version:
     number: int = 0
     # Declared width of the ids, and the tables' types with it.
     id_digits: int = ID_DIGITS
+    # Into so many folders what is kept of keys is dealt.
+    buckets: int = BUCKETS
     schemas: dict[str, str] = field(default_factory=dict)
     folders: Runs = field(default_factory=dict)
     # Rows that quarantined batches left out.
@@ -107,12 +110,17 @@ def _schemas(specs: dict[str, Table]) -> dict[str, str]:
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, id_digits: int | None = None):
-        """Open the store in the folder ``root``, or a new one whose ids have up to ``id_digits`` digits."""
+    def __init__(self, spark: SparkSession, root: str, id_digits: int | None = None, buckets: int = BUCKETS):
+        """Open the store in the folder ``root``, or make a new one.
+
+        A new store's ids have up to ``id_digits`` digits, and what it keeps of keys is dealt into ``buckets`` folders:
+        a batch of few keys reads few of them, so large stores take more.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
-        # Folders written by a change that is still going on.
+        # Folders written by a change that is still going on; its parts may be written side by side.
         self._written: list[str] | None = None
+        self._lock = threading.RLock()
         number = self._numbers()[-1:]
         if number:
             self.version = self._load(number[0])
@@ -122,7 +130,7 @@ class SnapshotStore:
                 raise SchemaMismatch("the store was written with other types than those declared now")
         else:
             digits = ID_DIGITS if id_digits is None else id_digits
-            self.version = Version(id_digits=digits, schemas=_schemas(tables_with(digits)))
+            self.version = Version(id_digits=digits, buckets=buckets, schemas=_schemas(tables_with(digits)))
 
     @property
     def specs(self) -> dict[str, Table]:
@@ -198,8 +206,9 @@ class SnapshotStore:
         kept = LOGS[log]
         wanted = None
         if keys is not None:
-            # There are BUCKETS of them at most.
-            found = keys.filter(F.col(kept.key).isNotNull()).select(bucket_of(kept.key).alias(BUCKET)).distinct()
+            bucket = bucket_of(kept.key, version.buckets).alias(BUCKET)
+            # As many as there are buckets.
+            found = keys.filter(F.col(kept.key).isNotNull()).select(bucket).distinct()
             wanted = {row[0] for row in found.collect()}
         runs = [run for run in version.logs.get(log, ()) if run.changes or not changes_only]
         return kept.fold(self._read(kept.schema(self._spec_of(kept, version)), self._bucket_paths(runs, wanted)))
@@ -232,10 +241,13 @@ class SnapshotStore:
             self._written.append(path)
         return path
 
+    def _amend(self, change: Callable[[Version], dict]) -> None:
+        with self._lock:
+            self.version = replace(self.version, **change(self.version))
+
     def _with_run(self, kind: str, name: str, run: Run | None) -> None:
-        runs = getattr(self.version, kind)
         if run:
-            self.version = replace(self.version, **{kind: runs | {name: (*runs.get(name, ()), run)}})
+            self._amend(lambda v: {kind: getattr(v, kind) | {name: (*getattr(v, kind).get(name, ()), run)}})
 
     def _write(self, name: str, rows: DataFrame, level: int = 0) -> Run:
         path = self._new_folder(name)
@@ -244,7 +256,7 @@ class SnapshotStore:
 
     def _write_log(self, log: str, rows: DataFrame, level: int = 0, changes: bool = False) -> Run | None:
         path = self._new_folder(f"{log}_state")
-        dealt = rows.withColumn(BUCKET, bucket_of(LOGS[log].key)).repartition(BUCKET)
+        dealt = rows.withColumn(BUCKET, bucket_of(LOGS[log].key, self.version.buckets)).repartition(BUCKET)
         dealt.write.partitionBy(BUCKET).parquet(f"{self.root}/{path}")
         names = folder_names(self.spark, f"{self.root}/{path}")
         buckets = sorted(int(name.split("=")[1]) for name in names if name.startswith(f"{BUCKET}="))
@@ -255,7 +267,7 @@ class SnapshotStore:
             self._with_run("logs", log.name, self._write_log(log.name, log.taken(rows, self.version.steps)))
 
     def _next_step(self) -> None:
-        self.version = replace(self.version, steps=self.version.steps + 1)
+        self._amend(lambda v: {"steps": v.steps + 1})
 
     def add_judged(self, name: str, judged: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Store a judged batch; returns its accepted rows with ``seq``, and the rejected ones with their reasons."""
@@ -295,12 +307,8 @@ class SnapshotStore:
         with self.one_change():
             self._next_step()
             run = None if rows is None else self._write(name, rows.select(*self.specs[name].columns))
-            gone = {log.name for log in logs_of(name)}
-            self.version = replace(
-                self.version,
-                folders={k: v for k, v in self.version.folders.items() if k != name},
-                logs={k: v for k, v in self.version.logs.items() if k not in gone},
-            )
+            gone = {name, *[log.name for log in logs_of(name)]}
+            self._amend(lambda v: {kind: {k: runs for k, runs in getattr(v, kind).items() if k not in gone} for kind in ("folders", "logs")})
             if run:
                 self._with_run("folders", name, run)
                 self._keep_state(name, self._read(self.specs[name].schema, [run.path]))
@@ -308,10 +316,9 @@ class SnapshotStore:
     def note(self, last_log_id: int | None = None, stream_batch: tuple[str, int] | None = None) -> None:
         with self.one_change():
             if last_log_id is not None:
-                self.version = replace(self.version, last_log_id=last_log_id)
+                self._amend(lambda v: {"last_log_id": last_log_id})
             if stream_batch:
-                batches = self.version.stream_batches | {stream_batch[0]: stream_batch[1]}
-                self.version = replace(self.version, stream_batches=batches)
+                self._amend(lambda v: {"stream_batches": v.stream_batches | {stream_batch[0]: stream_batch[1]}})
 
     def clear(self) -> None:
         """Empty every table, children before their parents.
@@ -327,7 +334,7 @@ class SnapshotStore:
         if id_digits < self.version.id_digits:
             raise SchemaMismatch(f"ids of {self.version.id_digits} digits cannot get {id_digits}")
         with self.one_change():
-            self.version = replace(self.version, id_digits=id_digits, schemas=_schemas(tables_with(id_digits)))
+            self._amend(lambda v: {"id_digits": id_digits, "schemas": _schemas(tables_with(id_digits))})
 
     # Upkeep
 
@@ -352,8 +359,7 @@ class SnapshotStore:
         else:
             merged = self._write(name, self._read(rejected_schema(self.specs[name]), paths), level)
         kept = tuple(run for run in getattr(self.version, kind)[name] if run not in runs)
-        runs_by_name = getattr(self.version, kind) | {name: (*kept, *([merged] if merged else []))}
-        self.version = replace(self.version, **{kind: runs_by_name})
+        self._amend(lambda v: {kind: getattr(v, kind) | {name: (*kept, *([merged] if merged else []))}})
 
     def compact(self, name: str) -> None:
         """Bring all folders of a table together in one, with its status changes, and those of its rejected rows."""
@@ -362,7 +368,7 @@ class SnapshotStore:
             self.replace(name, self.table(name))
             # It stands for as many batches as before.
             (run,) = self.version.folders[name]
-            self.version = replace(self.version, folders=self.version.folders | {name: (replace(run, level=level),)})
+            self._amend(lambda v: {"folders": v.folders | {name: (replace(run, level=level),)}})
             left = list(self.version.rejected.get(name, ()))
             if len(left) > 1:
                 self._merge("rejected", name, left, max(run.level for run in left))

@@ -7,8 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from deedflow.plans.star_oracles import ORACLES
-from deedflow.plans.star_queries import QUERIES
+from __spark_entry__ import ORACLES, QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem events".split()
