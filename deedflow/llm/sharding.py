@@ -10,7 +10,8 @@ all dimensions, part only if their group weighs more than ``GROUP`` of a shard.
 
 Copies of a text take the smallest metadata values of their group.
 
-What reaches the driver is a histogram per node, so its size depends on the number of shards alone.
+Nodes, ranges and cuts are small tables that rows are joined with, whatever the number of shards.  What reaches the
+driver are the nodes, as many as shards, and histograms of ``MOST_RANGES`` ranges in all.
 Slots are numbered in blocks of about ``BLOCK_ROWS`` rows, counted first; no window holds a shard.
 
 Defined results: a null text is empty, a null metadata value is 0; a null id ranks last; rows equal
@@ -22,15 +23,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from deedflow.llm.rows import id_or_last, written
+from deedflow.llm.rows import id_or_last, new_folder, written
+from deedflow.session import note_written, remove_folder
 
 SIZE_EXTRA = 16
-BINS = 1024
+BINS, MOST_RANGES = 1024, 1 << 20
 # A cut may miss its place by this part of a shard's bytes, and by GROUP to keep equal texts together.
 TOLERANCE, GROUP = 1 / 1000, 1 / 50
 BLOCK_ROWS = 50_000
@@ -49,23 +50,20 @@ def default_dimensions() -> dict[str, Column]:
 
 @dataclass
 class Node:
-    """``shards`` shards from ``first`` on; those below ``cut`` in the order of ``keys`` go left."""
+    """``shards`` shards from ``first`` on; rows below ``cut``, by the dimension ``widest`` and the ties, go left."""
 
     first: int
     shards: int
-    keys: tuple[str, ...] = ()
+    widest: int = 0
     cut: tuple[int, ...] = ()
 
-    def below(self) -> Column:
-        out = F.lit(False)
-        for key, bound in reversed(list(zip(self.keys, self.cut, strict=False))):
-            out = (F.col(key) < bound) | ((F.col(key) == bound) & out)
-        return out
-
 
 @dataclass
 class _Search:
-    """The cut of one node lies between ``low`` and ``high`` of a key, with ``before`` bytes below."""
+    """The cut of one node lies between ``low`` and ``high`` of a key, with ``before`` bytes below.
+
+    The first key is the node's widest dimension; values ``fixed`` of it, and of the texts' hash, lead to the next.
+    """
 
     node: Node
     goal: float
@@ -74,19 +72,9 @@ class _Search:
     before: int = 0
     fixed: tuple[int, ...] = ()
 
-    @property
-    def width(self) -> int:
-        return max(1, -(-(self.high - self.low + 1) // BINS))
-
-    def inside(self) -> Column:
-        same = [F.col(k) == v for k, v in zip(self.node.keys, self.fixed, strict=False)]
-        return reduce(Column.__and__, same, (F.col("_node") == self.node.first) & self.key().between(self.low, self.high))
-
-    def bin(self) -> Column:
-        return F.expr(f"CAST(({self.node.keys[len(self.fixed)]} - {self.low}) div {self.width} AS int)")
-
-    def key(self) -> Column:
-        return F.col(self.node.keys[len(self.fixed)])
+    def row(self, bins: int) -> tuple:
+        width = max(1, -(-(self.high - self.low + 1) // bins))
+        return (self.node.first, self.node.widest, len(self.fixed), *(*self.fixed, 0, 0)[:2], self.low, self.high, width)
 
     def narrow(self, histogram: dict[int, Row], target: float) -> bool:
         """Go on inside the range that holds the goal; True once the cut is set."""
@@ -102,7 +90,7 @@ class _Search:
         if found["n"] > 1 and found["size"] > target * (GROUP if one_text else TOLERANCE):
             if self.low < self.high:
                 return False
-            if len(self.fixed) + 1 < len(self.node.keys):
+            if len(self.fixed) < len(_TIES):
                 self.fixed, self.low, self.high = (*self.fixed, self.low), 0, _TOP
                 return False
         nearer_end = self.before + found["size"] - self.goal < self.goal - self.before
@@ -110,6 +98,19 @@ class _Search:
         return True
 
 
+_SEARCHES = "_node int, widest int, n_fixed int, fixed0 long, fixed1 long, first_key long, last_key long, width long"
+_CUTS = "_node int, widest int, cut0 long, cut1 long, cut2 long, right_node int"
+
+
+def _met(rows: DataFrame, table: list[tuple], schema: str, names: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` with what a table says of their node, and ``_value``, their value of its widest dimension.
+
+    The table has a row per node, fewer than there are shards, and is sent to all tasks.
+    """
+    nodes = rows.sparkSession.createDataFrame(table, schema)
+    return rows.join(F.broadcast(nodes), "_node", how).withColumn("_value", F.get(F.array(*names), F.col("widest")))
+
+
 def with_keys(docs: DataFrame, dimensions: Mapping[str, Column]) -> DataFrame:
     """``docs`` with ``_size`` and the columns that the tree looks at."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -134,21 +135,27 @@ def group_keys(rows: DataFrame, dimensions: list[str]) -> DataFrame:
 
 def cut_once(rows: DataFrame, nodes: dict[int, Node], names: list[str], target: float) -> None:
     """Set the cuts of the ``nodes``; rows carry ``_node``."""
-    open_rows = rows.filter(F.col("_node").isin(*nodes))
+    table = [(first, 0, 0, 0, 0, 0, 0, 0) for first in nodes]
+    open_rows = _met(rows, table, _SEARCHES, names)
     points = [F.percentile_approx(d, F.array(F.lit(0.125), F.lit(0.875)), F.lit(1000)).alias(d) for d in names]
     ends = [f(d).alias(f"{f.__name__}{d}") for d in names for f in (F.min, F.max)]
     searches = {}
     for r in open_rows.groupBy("_node").agg(F.sum("_size").alias("size"), *points, *ends).collect():
         reach = {d: (r[d][1] - r[d][0], r[f"max{d}"] - r[f"min{d}"]) for d in names}
         node, widest = nodes[r["_node"]], max(names, key=reach.__getitem__)
-        node.keys = (widest, *_TIES)
+        node.widest = names.index(widest)
         goal = r["size"] * (node.shards // 2) / node.shards
         searches[node.first] = _Search(node, goal, r[f"min{widest}"], r[f"max{widest}"])
+    key = F.when(F.col("n_fixed") == 0, F.col("_value"))
+    for i, tie in enumerate(_TIES, start=1):
+        key = key.when(F.col("n_fixed") == i, F.col(tie))
+    inside = ((F.col("n_fixed") < 1) | (F.col("_value") == F.col("fixed0"))) & ((F.col("n_fixed") < 2) | (F.col("_text") == F.col("fixed1")))
     while searches:
-        by_node = lambda f: reduce(lambda c, s: F.when(F.col("_node") == s.node.first, f(s)).otherwise(c), searches.values(), F.lit(None))  # noqa: B023, E731
-        inside = reduce(Column.__or__, [s.inside() for s in searches.values()])
-        ranges = rows.filter(inside).select("_node", "_size", by_node(_Search.bin).alias("_bin"), by_node(_Search.key).alias("_key"))
-        sums = ranges.groupBy("_node", "_bin").agg(
+        # What comes back is bounded, however many nodes there are.
+        bins = max(2, min(BINS, MOST_RANGES // len(searches)))
+        ranges = _met(rows, [s.row(bins) for s in searches.values()], _SEARCHES, names).withColumn("_key", key)
+        ranges = ranges.filter(inside & F.col("_key").between(F.col("first_key"), F.col("last_key")))
+        sums = ranges.groupBy("_node", F.expr("CAST((_key - first_key) div width AS int)").alias("_bin")).agg(
             F.sum("_size").alias("size"), F.count(F.lit(1)).alias("n"), F.min("_key").alias("low"), F.max("_key").alias("high")
         )
         histograms: dict[int, dict[int, Row]] = {first: {} for first in searches}
@@ -158,18 +165,25 @@ def cut_once(rows: DataFrame, nodes: dict[int, Node], names: list[str], target:
 
 
 def split_up(rows: DataFrame, dimensions: list[str], shards: int) -> DataFrame:
-    """``rows`` with ``_node``, the number of their shard; written after each level of the tree."""
+    """``rows`` with ``_node``, the number of their shard; written after each level, in place of the level before."""
+    spark = rows.sparkSession
     rows = rows.withColumn("_node", F.lit(0))
     total = rows.agg(F.sum("_size")).first()[0] or 0
-    leaves = [Node(0, shards)]
+    leaves, level = [Node(0, shards)], None
+    columns = rows.columns
     while todo := {n.first: n for n in leaves if n.shards > 1}:
         cut_once(rows, todo, dimensions, total / shards)
-        place = F.col("_node")
-        for node in todo.values():
-            right = node.first + node.shards // 2
-            # A node without rows has no cut.
-            place = F.when(F.col("_node") == node.first, F.when(node.below(), node.first).otherwise(right)).otherwise(place)
-        rows = written(rows.withColumn("_node", place.cast("int")), "shard-level")
+        # A node without rows has no cut.  What a cut leaves open is less than any key.
+        cuts = [(n.first, n.widest, *(*n.cut, 0, 0)[:3], n.first + n.shards // 2) for n in todo.values() if n.cut]
+        placed = _met(rows, cuts, _CUTS, dimensions, "left")
+        below = F.struct("_value", *_TIES) < F.struct("cut0", "cut1", "cut2")
+        place = F.when(F.col("cut0").isNull() | below, F.col("_node")).otherwise(F.col("right_node"))
+        before, level = level, new_folder(spark, "shard-level")
+        placed.withColumn("_node", place).select(columns).write.option("compression", "zstd").parquet(level)
+        note_written(level)
+        rows = spark.read.schema(rows.schema).parquet(level)
+        if before:
+            remove_folder(spark, before)
         leaves = [n for n in leaves if n.shards == 1] + [
             Node(first, size)
             for n in todo.values()

@@ -189,6 +189,65 @@ def test_shards(spark, monkeypatch, shards):
     assert Counter(map(str, sharding.shard_documents(docs, shards=shards).collect())) == Counter(map(str, found))
 
 
+def brute_tree(rows, names, shards):
+    """The shard of every row (dimensions, text and row hash, size) by the rule of the cuts, one node after the other."""
+    target = sum(r["_size"] for r in rows) / shards
+
+    def at(values, share):
+        return sorted(values)[max(0, -(-len(values) * share // 1) - 1).__int__()]
+
+    def cut(own, keys, goal, before, fixed):
+        """The first values of ``keys`` at which rows go right."""
+        groups = defaultdict(list)
+        for r in own:
+            groups[r[keys[0]]].append(r)
+        values = sorted(groups)
+        for value in values:
+            size = sum(r["_size"] for r in groups[value])
+            if before + size > goal or value == values[-1]:
+                break
+            before += size
+        bound = target * (sharding.GROUP if len(fixed) == 1 else sharding.TOLERANCE)
+        if len(groups[value]) > 1 and size > bound and len(keys) > 1:
+            return cut(groups[value], keys[1:], goal, before, (*fixed, value))
+        return (*fixed, value + 1 if before + size - goal < goal - before else value)
+
+    def go(own, first, n):
+        if n == 1 or not own:
+            return {r["_row"]: first for r in own}
+        reach = {d: (at([r[d] for r in own], 0.875) - at([r[d] for r in own], 0.125), max(r[d] for r in own) - min(r[d] for r in own)) for d in names}
+        widest = max(names, key=reach.__getitem__)
+        keys = (widest, "_text", "_row")
+        bound = cut(own, keys, sum(r["_size"] for r in own) * (n // 2) / n, 0, ())
+        left = [r for r in own if tuple(r[k] for k in keys[: len(bound)]) < bound]
+        right = [r for r in own if tuple(r[k] for k in keys[: len(bound)]) >= bound]
+        return go(left, first, n // 2) | go(right, first + n // 2, n - n // 2)
+
+    return go(rows, 0, shards)
+
+
+@pytest.mark.parametrize("shards", [2, 7])
+def test_shards_are_those_of_a_tree_grown_node_by_node(spark, shards):
+    rows = [(i, f"w{i % 90} " * (1 + i * 7 % 23)) for i in range(240)] + [(1000 + i, "hot and long " * 9) for i in range(60)]
+    docs = documents(spark, rows, lang="en").withColumn("source", F.concat(F.lit("s"), (F.col("doc_id") % 5).cast("string")))
+    dimensions = sharding.default_dimensions()
+    names = [f"_d{i}" for i in range(len(dimensions))]
+    keyed = sharding.group_keys(sharding.with_keys(docs, dimensions), names).collect()
+    wanted = brute_tree([r.asDict() for r in keyed], names, shards)
+    found = {r.doc_id: r.shard for r in sharding.shard_documents(docs, shards=shards).collect()}
+    assert found == {r.doc_id: wanted[r._row] for r in keyed}
+
+
+def test_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "MOST_RANGES", 2_000)
+    rows = [(i, "x" * (30 + i * 31 % 200)) for i in range(4_000)]
+    docs = documents(spark, rows, lang="en", source="s")
+    total = sum(len(t) + 16 for _, t in rows)
+    found = sharding.shard_documents(docs, target_bytes=-(-total // 400)).collect()
+    check_shards(found, rows, 400, 1_500)
+    assert len({r.shard for r in found}) == 400
+
+
 def test_shards_of_edge_rows(spark):
     docs = edge_documents(spark)
     found = sharding.shard_documents(docs, shards=3).collect()
