@@ -18,3 +18,8 @@ def ratio(total: Column, units: Column, places: int = 4) -> Column:
 def total_of(price: Column, copies: Column) -> Column:
     """Sum of ``price`` counted ``copies`` times per row."""
     return F.sum(price * copies)
+
+
+def total_or_zero(amounts: Column) -> Column:
+    """Sum of an aggregate's amounts; 0, not NULL, where there are none."""
+    return F.coalesce(F.sum(amounts), F.lit(0))

@@ -7,8 +7,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deedflow.functions.money import total_or_zero
 from deedflow.functions.text import full_name, invoice_number
 from deedflow.plans.reports import Tables
+from deedflow.session import cut_lineage
 
 
 def invoice_header(
@@ -22,12 +24,14 @@ def invoice_header(
 
     A property counts once per contract with the company and per sale to the client.
     Both are counted per property before they meet, contracts only for what the client
-    bought.
+    bought: the client's sales are read once and written, so that contracts and properties
+    are met by a table of known size.
     """
     day: Column = F.current_date() if as_of is None else F.lit(as_of)
     companies = tables["companies"].filter(F.col("comp_name") == company)
     bought = tables["transactions"].filter(F.col("client_ID") == client)
     sales = bought.groupBy("property_ID", "client_ID").agg(F.count(F.lit(1)).alias("sales"))
+    sales = cut_lineage(sales, "invoice-sales")
     contracts = (
         tables["contracts_owner"]
         .join(companies.select("company_ID"), "company_ID", "left_semi")
@@ -43,7 +47,7 @@ def invoice_header(
         .join(contracts, "property_ID")
         .join(sales, "property_ID")
         .groupBy("client_ID")
-        .agg(F.coalesce(F.sum(F.col("listing_price") * copies), F.lit(0)).alias("total"))
+        .agg(total_or_zero(F.col("listing_price") * copies).alias("total"))
     )
     number = invoice_number(F.lit(company), F.lit(client), day, as_random=random_number)
     return totals.join(clients, "client_ID").select(

@@ -45,12 +45,13 @@ def top_customers(tables: Tables, k: int = 3) -> DataFrame:
         .groupBy("client_ID")
         .agg(F.sum("listing_price").alias("total_spent"))
     )
-    return (
-        spent.join(tables["clients"], "client_ID")
-        .select("client_ID", "first_name", "last_name", "total_spent")
-        .orderBy(F.desc("total_spent"), "client_ID")
-        .limit(k)
-    )
+    named = spent.join(tables["clients"], "client_ID")
+    return largest(named.select("client_ID", "first_name", "last_name", "total_spent"), k, "total_spent", "client_ID")
+
+
+def largest(rows: DataFrame, k: int, amount: str, tie: str) -> DataFrame:
+    """The ``k`` rows of largest ``amount``, the smaller ``tie`` first."""
+    return rows.orderBy(F.desc(amount), tie).limit(k)
 
 
 def period_summary(tables: Tables, start: str | dt.date, end: str | dt.date) -> DataFrame:

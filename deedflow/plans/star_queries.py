@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deedflow.functions.dates import month_label, on_days, whole_months, whole_years, within
-from deedflow.functions.money import ratio
+from deedflow.functions.money import ratio, total_or_zero
 from deedflow.functions.text import full_name, invoice_number, joined
 from deedflow.operators import effects, gates, integrity, ordering, quality
+from deedflow.operators.skew import spread_join
 from deedflow.plans import invoice, reports
 from deedflow.plans.judge import judge
 from deedflow.plans.star_load import bulk_load
@@ -497,7 +498,8 @@ def p4_distinct(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def p6_in_list(spark: SparkSession, folder: str) -> DataFrame:
     orders = star.read(spark, folder, "orders")
-    return orders.filter(F.col("o_orderstatus").isin("F", "O")).select("o_orderkey", "o_orderstatus")
+    listed = F.col("o_orderstatus").isNotNull() & ~quality.outside("o_orderstatus", ["F", "O"])
+    return orders.filter(listed).select("o_orderkey", "o_orderstatus")
 
 
 @_query
@@ -521,8 +523,7 @@ def p9_not_null(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def p10_exists(spark: SparkSession, folder: str) -> DataFrame:
     customers = star.read(spark, folder, "customer").select("c_custkey", "c_name")
-    buyers = star.read(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return customers.join(buyers.distinct(), "c_custkey", "left_semi")
+    return integrity.restricting(customers, "c_custkey", star.read(spark, folder, "orders"), "o_custkey")
 
 
 @_query
@@ -554,15 +555,15 @@ def j3_sold_and_reviewed(spark: SparkSession, folder: str) -> DataFrame:
 def j6_status_lookup(spark: SparkSession, folder: str) -> DataFrame:
     properties = _customers_as_properties(spark, folder).filter(F.col("property_TYPE") == "House")
     rows = _orders_as_rows(spark, folder).select("seq", "property_ID")
-    return rows.join(properties, "property_ID", "left").select("seq", "prop_status")
+    found = spread_join(rows, properties.select("property_ID", "prop_status"), ["property_ID"], "seq")
+    return found.select("seq", "prop_status")
 
 
 @_query
 def a4_coalesce_sum(spark: SparkSession, folder: str) -> DataFrame:
     orders = star.read(spark, folder, "orders")
     urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice").cast(star.MONEY))
-    total = F.coalesce(F.sum(urgent), F.lit(0))
-    return orders.groupBy("o_custkey").agg(total.cast("double").alias("urgent_total"))
+    return orders.groupBy("o_custkey").agg(total_or_zero(urgent).cast("double").alias("urgent_total"))
 
 
 @_query
@@ -580,9 +581,7 @@ def a6_first_date(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def o1_top_k(spark: SparkSession, folder: str) -> DataFrame:
     orders = star.read(spark, folder, "orders")
-    return (
-        orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(3).select("o_orderkey", "o_totalprice")
-    )
+    return reports.largest(orders.select("o_orderkey", "o_totalprice"), 3, "o_totalprice", "o_orderkey")
 
 
 @_query

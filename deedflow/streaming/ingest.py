@@ -10,7 +10,7 @@ from deedflow.sources.store import SnapshotStore
 
 
 def ingest(
-    rows: DataFrame, name: str, store: SnapshotStore, checkpoint: str
+    rows: DataFrame, name: str, store: SnapshotStore, checkpoint: str, keep_versions: int | None = None
 ) -> DataStreamWriter:
     """Writer that stores the rows of a stream; the caller starts it.
 
@@ -18,6 +18,9 @@ def ingest(
     A batch that was stored before a restart is not stored again.  Batches are counted per
     table and stream: a stream is known by the id that its checkpoint keeps, so another
     source, or the same one with a new checkpoint, is another stream.
+
+    With ``keep_versions``, folders and versions older than so many batches are removed as
+    often, so that neither grows with the number of batches.
     """
 
     def store_batch(batch: DataFrame, number: int) -> None:
@@ -26,5 +29,7 @@ def ingest(
         if store.version.stream_batches.get(stream, -1) >= number:
             return
         apply_batch(store, name, batch, QUARANTINE, stream_batch=(stream, number))
+        if keep_versions and number % keep_versions == keep_versions - 1:
+            store.sweep(keep_versions)
 
     return rows.writeStream.foreachBatch(store_batch).option("checkpointLocation", checkpoint)

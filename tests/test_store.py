@@ -89,22 +89,22 @@ def test_folders_stay_few_and_a_batch_reads_its_own_buckets(spark, tmp_path, mon
 def test_small_batches_are_brought_together(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(stores, "MERGED", 3)
     store = SnapshotStore(spark, str(tmp_path))
-    for k in range(11):
+    for k in range(7):
         batch = literal_batch(spark, "companies", [(k, "c", "Town"), (k, "again", "Town")])
         apply_batch(store, "companies", batch, QUARANTINE)
-    assert keys_of(store) == list(range(11))
+    assert keys_of(store) == list(range(7))
     assert len(store.version.folders["companies"]) <= 4 and len(store.version.rejected["companies"]) <= 4
     assert {tuple(r.reasons) for r in store.rejected("companies").collect()} == {("duplicate:company_ID",)}
-    assert store.rejected("companies").count() == 11
+    assert store.rejected("companies").count() == 7
     store.sweep(versions=2)
     assert len(folder_names(spark, f"{store.root}/versions")) == 2
-    assert keys_of(SnapshotStore(spark, store.root)) == list(range(11))
+    assert keys_of(SnapshotStore(spark, store.root)) == list(range(7))
     store.compact("companies")
     store.sweep()
     kept = {p for run in store.version.folders["companies"] + store.version.rejected["companies"] for p in [run.path]}
     on_disk = {f"companies/{name}" for name in folder_names(spark, f"{store.root}/companies")}
     assert on_disk == {"/".join(p.split("/")[:2]) for p in kept} and len(on_disk) == 2
-    assert store.rejected("companies").count() == 11
+    assert store.rejected("companies").count() == 7
 
 
 def test_state_follows_batches_deletes_and_renumbering(spark, tmp_path):
@@ -151,7 +151,7 @@ def test_ids_are_as_wide_as_the_version_says(spark, tmp_path):
     apply_batch(store, "agents", literal_batch(spark, "agents", [(1, 1, "a", "b", "x", None)]))
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_mixed_batches_are_those_of_a_host(spark, tmp_path, seed):
     rng = random.Random(seed)
     kinds = {k: rng.choice(["House", "House", "Villa"]) for k in range(1, 9)}
