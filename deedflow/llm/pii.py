@@ -83,6 +83,7 @@ ADDED = {
 VOTES = ("pattern", "gazetteer", "context")
 FEATURES = ("long", "digits", "quoted")
 _CONTEXT = 24
+_CHUNK = 256
 ROUNDS, STEPS = 300, 400
 
 
@@ -108,11 +109,18 @@ def _placed(kind: str, test: str, fields: str = "", names: str = "") -> str:
         f"named_struct('at', {start} + length({m}[i]), "
         f"'out', CASE WHEN {test} THEN array_append(acc.out, {entry}) ELSE acc.out END)"
     )
-    fold = (
-        f"aggregate(sequence(0, size({m}) - 1), named_struct('at', 0, 'out', {empty}), "
-        f"(acc, i) -> {step}, acc -> acc.out)"
+    # Matches are folded in chunks, since a fold copies its list with each entry; first, where each chunk begins.
+    chunks = f"sequence(CAST(0 AS bigint), (size({m}) - 1) div {_CHUNK})"
+    inside = f"sequence(c * {_CHUNK}, least(size({m}), (c + 1) * {_CHUNK}) - 1)"
+    length = f"aggregate({inside}, 0, (t, i) -> t + length({p}[i]) + length({m}[i]))"
+    none = "CAST(array() AS array<int>)"
+    starts = (
+        f"aggregate({chunks}, named_struct('at', 0, 'out', {none}), "
+        f"(acc, c) -> named_struct('at', acc.at + {length}, 'out', array_append(acc.out, acc.at)), acc -> acc.out)"
     )
-    return f"CASE WHEN size({m}) = 0 THEN {empty} ELSE {fold} END"
+    fold = f"aggregate({inside}, named_struct('at', begun[c], 'out', {empty}), (acc, i) -> {step}, acc -> acc.out)"
+    found = f"transform(array({starts}), begun -> flatten(transform({chunks}, c -> {fold})))[0]"
+    return f"CASE WHEN size({m}) = 0 THEN {empty} ELSE {found} END"
 
 
 def _bound(expression: str, name: str, value: str) -> str:
