@@ -57,8 +57,8 @@ ORACLES: dict[str, str] = {
   SELECT table_name, id, reasons = '' AS accepted, reasons FROM judged
 """,
     "g9_apply_mixed": """
-  WITH RECURSIVE parted AS (
-    SELECT *, CASE WHEN day < DATE '1995-03-01' THEN 0 WHEN day < DATE '1995-05-01' THEN 1 ELSE 2 END AS part
+  WITH parted AS (
+    SELECT *, CASE WHEN day < DATE '1997-01-01' THEN 0 ELSE 1 END AS part
     FROM (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders)),
   properties AS (
     SELECT c_custkey AS property, c_mktsegment IN ('HOUSEHOLD', 'BUILDING') AS house, c_mktsegment <> 'MACHINERY' AS client,

@@ -149,12 +149,11 @@ def g9_judge_mixed(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def g9_apply_mixed(spark: SparkSession, folder: str) -> DataFrame:
-    """The same stored in three batches: the status of every property, with its kept first contract and sales."""
+    """The same stored in two batches: the status of every property, with its kept first contract and sales."""
     sales, contracts, held = _mixed(spark, folder)
     store = new_store(spark, WIDE)
     load_all(store, held)
-    for part in range(3):
-        first, last = (f"1995-{1 + 2 * part:02d}-01", f"1995-{3 + 2 * part:02d}-01") if part < 2 else ("1995-05-01", "9999-01-01")
+    for first, last in (("1900-01-01", "1997-01-01"), ("1997-01-01", "9999-01-01")):
         apply_batch(
             store,
             "transactions",
@@ -174,11 +173,11 @@ def g9_apply_mixed(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def a5_a6_kept_state(spark: SparkSession, folder: str) -> DataFrame:
-    """Contracts stored month by month: exclusive and open ones per day as kept, and as rows."""
+    """Contracts stored half a year at a time: exclusive and open ones per day as kept, and as rows."""
     _, contracts, held = _mixed(spark, folder)
     store = new_store(spark, WIDE)
     load_all(store, {"properties": held["properties"]})
-    for months in ("IN (1, 2, 3)", "IN (4, 5, 6)", "> 6"):
+    for months in ("<= 6", "> 6"):
         apply_batch(store, "contracts_owner", contracts.filter(f"month(date_contract) {months}"), QUARANTINE)
     store.compact("contracts_owner")
     rows = store.table("contracts_owner").groupBy("date_contract").agg(F.count(F.lit(1)).alias("stored"))
