@@ -106,12 +106,3 @@ def test_estimated_reliabilities():
     strength = [table[1, j, 2] / (table[1, j, 2] + table[1, j, 0]) for j in range(3)]
     assert np.allclose(strength, [0.95, 0.8, 0.6], atol=0.06)
     assert abs((chance * counts).sum() / counts.sum() - 0.4) < 0.05
-
-
-def test_very_many_spans_in_one_text(spark):
-    """Chunks of matches are put together where they lie; the time grows with their number."""
-    n = 30_000
-    text = " ".join(f"u{i}@example.org" for i in range(n)) + " 10.0.0.1" * 700
-    (found,) = pii.with_spans(documents(spark, [(1, text)])).select("email", "ip").collect()
-    assert [(s["s"], s["e"]) for s in found.email] == [m.span() for m in re.finditer(r"u[0-9]+@example\.org", text)]
-    assert [(s["s"], s["e"]) for s in found.ip] == [m.span() for m in re.finditer(r"10\.0\.0\.1", text)]
