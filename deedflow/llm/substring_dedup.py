@@ -2,10 +2,13 @@
 
 Windows of ``WINDOW`` words are the graph's edges (between their first and last ``WINDOW - 1`` words).
 An edge belongs to its first place in the corpus; places are packed into one number, so the first one
-is the least.  Edges of later documents are joined to it, and runs of edges whose own and first
-places both go on word by word are one path: as long as the graph does not branch for that document, a
-repeated passage is one row, whatever its length.  Every path is then held against the words at its
-first place by a 128-bit digest before its words are removed.
+is the least.  Two edges are on one path if the graph does not branch between them: wherever the one
+is, the other follows, and nothing else comes before that.  This is read off fingerprints of their
+places, so that texts that begin or end there count as branches too.  Paths are then contracted by
+joins (:func:`compacted`), and only the first edge of each is looked up in later documents, where
+all of the path follows it.  Paths that follow one another there as at their first places make one
+span, whatever its length.  Every span is held against the words at its first place by a 128-bit
+digest before its words are removed; those that differ are judged again window by window.
 
 A text that a smaller id has too is one path from the start and gives no edges.  Of the others, only
 windows that can repeat are shuffled.  Each window is represented by the least hash of its
@@ -16,14 +19,15 @@ joins have stored rows on both sides, so that Spark can split hot keys.
 
 Defined results: a null text has no words; a null id counts as larger than every other; rows of one id
 remove nothing from each other, whether they are repeated or differ in text; an empty table gives no
-rows; two windows of equal 64-bit hash but different words are told apart by the digest,
-and the path stays in the text.
+rows; where two windows of different words have equal 64-bit hashes, all places of such windows are
+judged again by 128-bit digests of their words.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -146,24 +150,98 @@ def _number(at: Column | str) -> Column:
     return F.shiftright(at, PLACE_BITS)
 
 
-def paths(docs: DataFrame, numbers: DataFrame) -> DataFrame:
-    """(num, start, length, source, source_start): repeated passages, in words, and where they come from first."""
-    copies = written(_copies(numbers), "copies")
-    spark = docs.sparkSession
-    edges = distilled(spark, "edges", lambda: _edges(docs, numbers.join(copies, "num", "left_anti")))
-    firsts = edges.groupBy("edge").agg(F.min("at").alias("first"), F.max("low").alias("last"))
-    firsts = written(firsts.filter(_number("first") < F.col("last")).select("edge", "first"), "first-places")
-    later = edges.join(firsts, "edge").filter(_number("first") < F.col("low")).select("at", (F.col("at") - F.col("first")).alias("shift"))
-    run = Window.partitionBy("num", "shift").orderBy("at")
-    steps = later.withColumn("num", _number("at")).withColumn("run", F.col("at") - F.row_number().over(run))
-    ends = steps.groupBy("num", "shift", "run").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+def repeated_edges(edges: DataFrame) -> DataFrame:
+    """(edge, first, here, before): edges that a larger id has too, and fingerprints of their places and of those before."""
+    places = edges.groupBy("edge").agg(
+        F.min("at").alias("first"), F.max("low").alias("last"),
+        F.bit_xor(F.xxhash64("at")).alias("here"), F.bit_xor(F.xxhash64(F.col("at") - 1)).alias("before"),
+    )
+    return places.filter(_number("first") < F.col("last")).select("edge", "first", "here", "before")
+
+
+def compacted(edges: DataFrame) -> DataFrame:
+    """(edge, first, length): the nonbranching paths of ``edges``, each with its first edge and its number of edges.
+
+    An edge's places are those of the next one less a word exactly if the graph does not branch between the two, and then
+    their first places adjoin as well.  Paths that meet at an odd place are joined first, then those that meet at an
+    odd multiple of two, of four, and so on: a path lies between two multiples of the step, so it has one neighbour at
+    most in a round.  Paths no end of which is a multiple of the next step are complete; the others are halved in
+    number by each round, and there are as many rounds as the number of a word has bits.
+    """
+    paths = edges.select("edge", "first", (F.col("first") + 1).alias("end"), "before", "here")
+    complete = []
+    for level in range(PLACE_BITS):
+        step = 1 << level
+        meets = {c: F.col(c).bitwiseAND(2 * step - 1) == step for c in ("first", "end")}
+        left = paths.filter(meets["end"]).select("edge", "first", "before", F.col("end").alias("at"), F.col("here").alias("mark"))
+        right = paths.filter(meets["first"]).select(
+            F.col("edge").alias("r_edge"), F.col("first").alias("at"), "end", F.col("before").alias("mark"), "here"
+        )
+        joined = left.join(right.withColumn("r_first", F.col("at")), ["at", "mark"], "full_outer").select(
+            F.coalesce("edge", "r_edge").alias("edge"), F.coalesce("first", "r_first").alias("first"),
+            F.coalesce("end", "at").alias("end"), F.coalesce("before", "mark").alias("before"), F.coalesce("here", "mark").alias("here"),
+        )
+        rows = written(joined.unionByName(paths.filter(~meets["first"] & ~meets["end"])), "path-level")
+        further = {c: F.col(c).bitwiseAND(2 * step - 1) == 0 for c in ("first", "end")}
+        further = further["end"] | (further["first"] & (F.col("first").bitwiseAND((1 << PLACE_BITS) - 1) > 0))
+        complete.append(rows.filter(~further))
+        paths = rows.filter(further)
+        if paths.isEmpty():
+            break
+    else:
+        complete.append(paths)
+    return reduce(DataFrame.unionByName, complete).select("edge", "first", (F.col("end") - F.col("first")).alias("length"))
+
+
+def _walks(edges: DataFrame, paths: DataFrame) -> DataFrame:
+    """Where later documents go along ``paths``, with paths that adjoin there and at their first places as one span."""
+    later = edges.join(paths, "edge").filter(_number("first") < F.col("low"))
+    later = later.select(_number("at").alias("num"), "at", (F.col("at") - F.col("first")).alias("shift"), "length")
+    line = Window.partitionBy("num", "shift").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    steps = later.withColumn("run", F.col("at") - F.coalesce(F.sum("length").over(line), F.lit(0)))
+    ends = steps.groupBy("num", "shift", "run").agg(F.min("at").alias("low"), F.max(F.col("at") + F.col("length")).alias("high"))
     mask = F.lit((1 << PLACE_BITS) - 1)
     source = F.col("low") - F.col("shift")
-    out = ends.select(
-        "num", F.col("low").bitwiseAND(mask).alias("start"), (F.col("high") - F.col("low") + WINDOW).alias("length"),
+    return ends.select(
+        "num", F.col("low").bitwiseAND(mask).alias("start"), (F.col("high") - F.col("low") + WINDOW - 1).alias("length"),
         _number(source).alias("source"), source.bitwiseAND(mask).alias("source_start"),
     )
-    return out.unionByName(copies)
+
+
+def spans_of(docs: DataFrame, numbers: DataFrame, copies: DataFrame) -> DataFrame:
+    """(num, start, length, source, source_start): repeated passages, in words, and where they come from first."""
+    edges = distilled(docs.sparkSession, "edges", lambda: _edges(docs, numbers.join(copies, "num", "left_anti")))
+    repeated = written(repeated_edges(edges), "repeated-edges")
+    paths = distilled(docs.sparkSession, "compacted", lambda: compacted(repeated))
+    return _walks(edges, paths).unionByName(copies)
+
+
+def _judged_again(docs: DataFrame, numbers: DataFrame, copies: DataFrame, wrong: DataFrame) -> DataFrame:
+    """Spans of every document along windows that are in ``wrong`` spans, told apart by digests of their words."""
+    edges = written(_edges(docs, numbers.join(copies, "num", "left_anti")), "edges").withColumn("num", _number("at"))
+    place = F.shiftleft("num", PLACE_BITS) + F.col("start")
+    inside = wrong.filter(F.col("length") >= WINDOW).select(F.explode(F.sequence(place, place + F.col("length") - WINDOW)).alias("at"))
+    whole = wrong.filter(F.col("length") == WHOLE).select("num")
+    suspects = edges.join(inside, "at", "left_semi").select("edge").union(edges.join(whole, "num", "left_semi").select("edge"))
+    suspects = written(suspects.distinct(), "suspects")
+    places = edges.join(suspects, "edge", "left_semi").groupBy("num").agg(F.collect_list("at").alias("places"))
+    places = written(places.join(numbers, "num"), "suspect-places")
+    texts = _sources(docs).dropDuplicates(["id", "row"]).join(places.hint("merge"), ["id", "row"]).select("num", "low", "text", "places")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (p for b in batches for p in pieces(b)):
+            words = words_of(batch.column("text"))
+            plain = Plain(words)
+            marked = batch.column("places")
+            owners = np.repeat(np.arange(batch.num_rows), marked.value_lengths().to_numpy(zero_copy_only=False))
+            at = marked.flatten().to_numpy()
+            starts = at & ((1 << PLACE_BITS) - 1)
+            digests = [_digest(plain, words, row, start, WINDOW) for row, start in zip(owners.tolist(), starts.tolist(), strict=True)]
+            low = batch.column("low").take(pa.array(owners))
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(at), low], ["edge", "at", "low"])
+
+    exact = written(texts.mapInArrow(run, "edge binary, at long, low long"), "exact-edges")
+    return _walks(exact, repeated_edges(exact).select("edge", "first", F.lit(1).cast("long").alias("length")))
 
 
 class Plain:
@@ -194,9 +272,8 @@ _CLAIM = pa.list_(pa.struct([("source", pa.int64()), ("start", pa.int64()), ("le
 
 def _digest(plain: Plain, words: Words, row: int, start: int, length: int) -> bytes:
     first = int(words.bounds[row]) + start
-    if length == WHOLE:
-        length = int(words.counts[row])
-    return hashlib.blake2b(plain.text(first, first + length), digest_size=16).digest()
+    last = int(words.bounds[row + 1]) if length == WHOLE else first + length
+    return hashlib.blake2b(plain.text(first, last), digest_size=16).digest()
 
 
 def _apply(docs: DataFrame, numbers: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
@@ -255,14 +332,18 @@ def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept words of every row."""
     spark = docs.sparkSession
     numbers = distilled(spark, "numbers", lambda: numbered(docs))
-    spans = distilled(spark, "paths", lambda: paths(docs, numbers))
+    copies = written(_copies(numbers), "copies")
+    spans = distilled(spark, "spans", lambda: spans_of(docs, numbers, copies))
     rows = distilled(spark, "judged", lambda: _apply(docs, numbers, spans, with_text))
     said = rows.select(F.explode("answers").alias("x")).select("x.*")
     wrong = rows.select("num", F.explode("claims").alias("x")).select("num", "x.*")
     wrong = wrong.join(said, ["source", "start", "length", "digest"], "left_anti")
-    wrong = written(wrong.select("num", "source", F.col("start").alias("source_start"), "length"), "wrong-paths")
-    if wrong.limit(1).count():
-        true = spans.join(wrong.distinct(), ["num", "source", "source_start", "length"], "left_anti")
-        true = written(true, "true-paths")
+    wrong = written(wrong.select("num", "source", F.col("start").alias("source_start"), "length").distinct(), "wrong-spans")
+    if not wrong.isEmpty():
+        keys = ["num", "source", "source_start", "length"]
+        bad = written(spans.join(wrong, keys), "bad-spans")
+        true_copies = written(copies.join(wrong, keys, "left_anti"), "true-copies")
+        again = distilled(spark, "spans-again", lambda: _judged_again(docs, numbers, true_copies, bad))
+        true = written(spans.join(wrong, keys, "left_anti").unionByName(again), "true-spans")
         rows = distilled(spark, "judged", lambda: _apply(docs, numbers, true, with_text))
     return rows.select("doc_id", "n_words", "n_removed", "kept_sha256", "kept_text")

@@ -67,16 +67,68 @@ def test_substrings_of_nothing(spark):
 
 
 def test_wrong_hits_stay(spark, monkeypatch):
-    """Paths that do not hold against the words at their first place are not removed."""
+    """Spans that do not hold against the words at their first place are not removed."""
     rows = [(i, " ".join(f"d{i}w{j}" for j in range(40))) for i in range(5)]
     docs = documents(spark, rows)
     numbers = substring_dedup.written(substring_dedup.numbered(docs), "numbers")
     forged = spark.createDataFrame([(3, 2, 15, 0, 4), (4, 0, 20, 1, 1)], "num long, start long, length long, source long, source_start long")
     monkeypatch.setattr(substring_dedup, "numbered", lambda _: numbers)
-    monkeypatch.setattr(substring_dedup, "paths", lambda *_: forged)
+    monkeypatch.setattr(substring_dedup, "spans_of", lambda *_: forged)
     assert {r.n_removed for r in substring_dedup.without_repeats(docs).collect()} == {0}
 
 
+def test_windows_of_equal_hash(spark, monkeypatch):
+    """With hashes of few values, different windows are told apart by their words, and no removal is lost."""
+    real = substring_dedup.windows
+
+    def coarse(hashes, rows, width):
+        out, at = real(hashes, rows, width)
+        return out % np.uint64(50), at
+
+    monkeypatch.setattr(substring_dedup, "windows", coarse)
+    rows = random_documents(7, 40)
+    found = substring_dedup.without_repeats(documents(spark, rows)).collect()
+    assert sorted((tuple(r) for r in found), key=str) == brute_substrings(rows)
+
+
+def brute_paths(rows):
+    """Lengths of the maximal nonbranching paths of windows that a larger id has too, by first place."""
+    places = {}
+    for num, (_, text) in enumerate(sorted(rows)):
+        w = words(text)
+        for i in range(len(w) - 12):
+            places.setdefault(tuple(w[i : i + 13]), []).append((num, i))
+    repeated = {e: p for e, p in places.items() if p[0][0] < p[-1][0]}
+    at = {p[0]: e for e, p in repeated.items()}
+    ahead = {}
+    for e, p in repeated.items():
+        after = at.get((p[0][0], p[0][1] + 1))
+        if after and [(d, i + 1) for d, i in p] == repeated[after]:
+            ahead[e] = after
+    out = {}
+    for e in set(repeated) - set(ahead.values()):
+        n, x = 1, e
+        while x in ahead:
+            n, x = n + 1, ahead[x]
+        out[repeated[e][0]] = n
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 5])
+def test_compacted_paths(spark, seed):
+    rows = random_documents(seed, 40, hot=False)
+    long = " ".join(f"x{i}" for i in range(300))
+    rows += [(100, long), (101, "a " + long), (102, long + " b c"), (103, " ".join(long.split()[100:250]) + " d")]
+    rows += [(104, "1 " * 90), (105, "1 " * 70)]
+    docs = documents(spark, rows)
+    numbers = substring_dedup.written(substring_dedup.numbered(docs), "numbers")
+    edges = substring_dedup.written(substring_dedup._edges(docs, numbers), "edges")
+    found = substring_dedup.compacted(substring_dedup.written(substring_dedup.repeated_edges(edges), "repeated")).collect()
+    bits = substring_dedup.PLACE_BITS
+    assert {(r.first >> bits, r.first & ((1 << bits) - 1)): r.length for r in found} == brute_paths(rows)
+    assert sum(r.length == 150 - 12 for r in found) == 1
+
+
 def shingle_set(text):
     w = words(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
     return {tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) > 3 else {tuple(w)} if w else set()
