@@ -10,14 +10,18 @@ They hold at most ``RECORDS_PER_FILE`` records of bounded size, so that one file
 
 Defined results: a null html is an empty payload; a null page_id is kept, and such a page revisits
 the largest id with its payload (all are responses if none has an id); of repeated rows with the
-largest page_id all are responses, each with a record of its own.  Other columns are ignored.
+largest page_id all are responses, each with a record of its own.  Other columns are ignored.  A
+record whose head can't be read, or that ends early, is one row of type ``damaged``; reading goes on
+at the next blank line that a record's first line follows.  A page without a url has the target
+``urn:page:`` and its id.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +37,11 @@ RECORDS_PER_FILE = 512
 BATCH_BYTES = 8 << 20
 _END = b"\r\n\r\n"
 
+# Fixed values of the format.
+DATE = "2024-01-01T00:00:00Z"
+HTTP = "application/http; msgtype=response"
+SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
 _RECORD = (
     "page_id long, record_type string, refers_to long, origin string, segment int, total long, "
     "digest string, payload_length long, block binary"
@@ -82,20 +91,40 @@ def bare_digest(payload: bytes) -> str:
 
 
 def _head(kind: str, name: str, length: int, **fields: object) -> bytes:
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{name}>", "WARC-Date: 2024-01-01T00:00:00Z"]
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{name}>", f"WARC-Date: {DATE}"]
     lines += [f"{key.replace('_', '-')}: {value}" for key, value in fields.items() if value is not None]
     return "\r\n".join([*lines, f"Content-Length: {length}"]).encode() + _END
 
 
+def target_uri(url: str | None, page: int | None) -> str:
+    if url is None:
+        return f"urn:page:{'' if page is None else page}"
+    return "".join(c if " " < c < "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
+
+
 def records_of(
-    name: str, page: int | None, url: str | None, payload: bytes, refers_to: int | None, segment_bytes: int
+    name: str,
+    page: int | None,
+    url: str | None,
+    payload: bytes,
+    refers_to: int | None,
+    segment_bytes: int,
+    refers_url: str | None = None,
 ) -> list[bytes]:
-    """The records of one page, without the blank line that ends each."""
-    url = None if url is None else "".join(c if " " < c < "\x7f" else "%" + c.encode().hex() for c in url)
-    about = {"WARC_Target_URI": url, "WARC_Page_ID": page, "WARC_Payload_Digest": f"sha1:{bare_digest(payload)}"}
+    """The records of one page, without the blank line that ends each.
+
+    A revisit names the page that it repeats by address and date, as several records may hold that page.
+    """
+    about = {
+        "Content_Type": HTTP, "WARC_Target_URI": target_uri(url, page), "WARC_Page_ID": page,
+        "WARC_Payload_Digest": f"sha1:{bare_digest(payload)}",
+    }
     if refers_to is not None:
         block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8" + _END
-        about |= {"WARC_Refers_To": f"<urn:page:{refers_to}>", "WARC_Payload_Length": len(payload)}
+        about |= {
+            "WARC_Profile": SAME_PAYLOAD, "WARC_Refers_To_Target_URI": target_uri(refers_url, refers_to),
+            "WARC_Refers_To_Date": DATE, "WARC_Refers_To_Page_ID": refers_to, "WARC_Payload_Length": len(payload),
+        }
         return [_head("revisit", name, len(block), **about) + block]
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked" + _END
     block += chunked(payload)
@@ -106,8 +135,8 @@ def records_of(
     for number, part in enumerate(parts[1:], 2):
         total = len(block) if number == len(parts) else None
         head = _head(
-            "continuation", f"{name}:{number}", len(part), WARC_Segment_Number=number,
-            WARC_Segment_Origin_ID=f"<{name}>", WARC_Segment_Total_Length=total,
+            "continuation", f"{name}:{number}", len(part), WARC_Target_URI=about["WARC_Target_URI"],
+            WARC_Segment_Number=number, WARC_Segment_Origin_ID=f"<{name}>", WARC_Segment_Total_Length=total,
         )
         made.append(head + part)
     return made
@@ -124,22 +153,23 @@ def write_archives(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_B
     sent = sent.withColumn("key", F.unhex(F.sha1("payload")))
     repeats = written(
         sent.groupBy("key")
-        .agg(F.max("page_id").alias("owner"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1 AND owner IS NOT NULL")
-        .select("key", "owner"),
+        .agg(F.max(F.struct("page_id", "url")).alias("owner"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1 AND owner.page_id IS NOT NULL")
+        .select("key", F.col("owner.page_id").alias("owner"), F.col("owner.url").alias("owner_url")),
         "warc-repeats",
     )
     revisit = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("owner")), F.col("owner"))
-    tagged = sent.join(repeats, "key", "left").select("page_id", "url", "payload", revisit.alias("refers_to"))
+    tagged = sent.join(repeats, "key", "left").select("page_id", "url", "payload", revisit.alias("refers_to"), "owner_url")
+    # Names are the same if a task is run again, and others in every other archive.
+    archive = uuid.uuid4()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n, made, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
-            for page, url, payload, refers_to in zip(*(c for c in batch.columns), strict=True):
-                name, n = f"urn:record:{part}:{n}", n + 1
-                for record in records_of(
-                    name, page.as_py(), url.as_py(), payload.as_py(), refers_to.as_py(), segment_bytes
-                ):
+            for row in zip(*batch.columns, strict=True):
+                page, url, payload, refers_to, refers_url = (x.as_py() for x in row)
+                name, n = f"urn:uuid:{uuid.uuid5(archive, f'{part}:{n}')}", n + 1
+                for record in records_of(name, page, url, payload, refers_to, segment_bytes, refers_url):
                     made.append(record)
                     size += len(record)
                 if size >= BATCH_BYTES:
@@ -157,31 +187,74 @@ def write_archives(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_B
     )
 
 
+_DAMAGED = dict.fromkeys(x.split()[0] for x in _RECORD.split(",")) | {"record_type": "damaged", "block": b""}
+
+
+def _inflated(data: bytes) -> tuple[bytes, bool]:
+    """The content of a file of one or more gzip members, and whether all of it could be read."""
+    parts = []
+    while data:
+        member = zlib.decompressobj(31)
+        try:
+            for at in range(0, len(data), 1 << 16):
+                parts.append(member.decompress(data[at : at + (1 << 16)]))
+                if member.eof:
+                    break
+        except zlib.error:
+            return b"".join(parts), False
+        if not member.eof:
+            return b"".join(parts), False
+        data = member.unused_data + data[at + (1 << 16) :]
+    return b"".join(parts), True
+
+
 def _parsed(data: bytes) -> Iterator[dict]:
     """The records of one archive's bytes."""
     at = 0
     while at < len(data):
-        end = data.index(_END, at)
-        lines = data[at:end].decode().split("\r\n")
-        fields = {k.lower(): v for k, _, v in (line.partition(": ") for line in lines[1:])}
-        length = int(fields["content-length"])
-        block = data[end + 4 : end + 4 + length]
-        if not lines[0].startswith("WARC/") or len(block) != length:
-            raise ValueError("damaged archive")
-        name = fields["warc-record-id"].strip("<>")
-        number = lambda key: int(fields[key]) if key in fields else None  # noqa: B023, E731
-        yield {
-            "page_id": number("warc-page-id"),
-            "record_type": fields["warc-type"],
-            "refers_to": int(fields["warc-refers-to"].strip("<>").rpartition(":")[2]) if "warc-refers-to" in fields else None,
-            "origin": fields.get("warc-segment-origin-id", name).strip("<>"),
-            "segment": number("warc-segment-number"),
-            "total": number("warc-segment-total-length"),
-            "digest": fields.get("warc-payload-digest", "").rpartition(":")[2] or None,
-            "payload_length": number("warc-payload-length"),
-            "block": block,
-        }
-        at = end + 4 + length + 4
+        end = data.find(_END, at)
+        try:
+            if end < 0:
+                raise ValueError("no end of the head")
+            lines = data[at:end].decode().split("\r\n")
+            fields = {k.lower(): v for k, _, v in (line.partition(": ") for line in lines[1:])}
+            length = int(fields["content-length"])
+            block = data[end + 4 : end + 4 + length]
+            if not lines[0].startswith("WARC/") or len(block) != length:
+                raise ValueError("no record, or one that ends early")
+            name = fields["warc-record-id"].strip("<>")
+            number = {k: int(v) for k, v in fields.items() if k in _NUMBERS}
+            record = {
+                "page_id": number.get("warc-page-id"),
+                "record_type": fields["warc-type"],
+                "refers_to": number.get("warc-refers-to-page-id"),
+                "origin": fields.get("warc-segment-origin-id", name).strip("<>"),
+                "segment": number.get("warc-segment-number"),
+                "total": number.get("warc-segment-total-length"),
+                "digest": fields.get("warc-payload-digest", "").rpartition(":")[2] or None,
+                "payload_length": number.get("warc-payload-length"),
+                "block": block,
+            }
+        except (ValueError, KeyError):
+            yield dict(_DAMAGED)
+            mark = data.find(_END + b"WARC/", at + 1)
+            at = len(data) if mark < 0 else mark + len(_END)
+        else:
+            yield record
+            at = end + 4 + length + 4
+
+
+_NUMBERS = {
+    "warc-page-id", "warc-refers-to-page-id", "warc-segment-number", "warc-segment-total-length", "warc-payload-length",
+}
+
+
+def _records(data: bytes) -> Iterator[dict]:
+    """The records of one file; what can't be inflated is a damaged record."""
+    content, whole = _inflated(data)
+    yield from _parsed(content)
+    if not whole:
+        yield dict(_DAMAGED)
 
 
 def _batched(rows: Iterator[dict], schema: pa.Schema, field: str) -> Iterator[pa.RecordBatch]:
@@ -205,7 +278,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     schema = _arrow(_RECORD)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for x in b.column("content") for r in _parsed(gzip.decompress(x.as_py())))
+        rows = (r for b in batches for x in b.column("content") for r in _records(x.as_py()))
         yield from _batched(rows, schema, "block")
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
@@ -236,6 +309,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
         parts, problem, payload = row["parts"], None, None
         block = b"".join(p["block"] for p in parts)
         out = {k: row[k] for k in ("page_id", "record_type", "refers_to")}
+        if row["record_type"] == "damaged":
+            return out | {"payload_bytes": None, "payload_digest": None, "payload": None, "problem": "record damaged"}
         if row["record_type"] == "revisit":
             return out | {"payload_bytes": row["payload_length"], "payload_digest": row["digest"], "payload": None}
         if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)):

@@ -1,6 +1,7 @@
 """Archives, mixtures and shards: round trips, brute force and laws."""
 
 import gzip
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -80,6 +81,39 @@ def test_damage_is_reported(spark, tmp_path, data, problem):
     assert row.problem == problem
 
 
+@pytest.mark.parametrize("kind", ["head", "length", "cut", "torn"])
+def test_damaged_heads_cost_one_record(spark, tmp_path, kind):
+    """What stands around a damaged record is read; a file that is cut is read up to there."""
+    made = [warc.records_of(f"n{i}", i, "u", bytes(f"page {i} " * 500, "ascii"), None, 1 << 20)[0] for i in range(5)]
+    if kind == "head":
+        made[2] = made[2].replace(b"WARC/1.1", b"WXRC/1.1")
+    elif kind == "length":
+        made[2] = made[2].replace(b"Content-Length: ", b"Content-Length: x")
+    elif kind == "cut":
+        made[4] = made[4][:-9]
+    # One member per record, as other writers do.
+    data = b"".join(gzip.compress(r + b"\r\n\r\n", mtime=0) for r in made)
+    (tmp_path / "part-0.gz").write_bytes(data[:-40] if kind == "torn" else data)
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    lost = {"head": 2, "length": 2}.get(kind, 4)
+    assert {r.page_id for r in rows if r.problem is None} == set(range(5)) - {lost}
+    assert "record damaged" in {r.problem for r in rows}
+
+
+def test_heads_follow_the_standard(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/\u00e9", "same"), (2, "http://b/", "same"), (3, None, "x")], "page_id long, url string, html string")
+    folder = str(tmp_path / "warc")
+    warc.write_archives(pages, folder)
+    data = b"".join(gzip.decompress(p.read_bytes()) for p in (tmp_path / "warc").glob("part-*"))
+    heads = [h for h in data.split(b"\r\n\r\n") if h.startswith(b"WARC/1.1")]
+    assert all(b"\r\nContent-Type: application/http; msgtype=response" in h for h in heads)
+    names = {re.search(rb"WARC-Record-ID: <(urn:uuid:[0-9a-f-]{36})>", h)[1] for h in heads}
+    assert len(names) == len(heads) == 3
+    revisit = next(h for h in heads if b"WARC-Type: revisit" in h)
+    assert b"WARC-Target-URI: http://a/%C3%A9" in revisit and b"WARC-Refers-To-Target-URI: http://b/" in revisit
+    assert b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" in revisit
+
+
 def test_chunks():
     for size in (0, 1, 7, 8, 9, 100):
         payload = bytes(range(256))[:size] + b"\r\n0\r\n\r\n"
