@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from deedflow.operators.components import connected
 from deedflow.session import cut_lineage
@@ -40,30 +41,44 @@ def _is(kind: str) -> Column:
 
 def settle(rows: DataFrame, keys: Sequence[str], group: Sequence[str] = (), most: int = SETTLED_ROWS) -> DataFrame:
     """``seq`` of the stored rows.  With a group, ``_kind`` says how rows stand to each other in it."""
+    return decided(rows, keys, group, most).filter("_stored").select("seq")
+
+
+def decided(rows: DataFrame, keys: Sequence[str], group: Sequence[str] = (), most: int = SETTLED_ROWS) -> DataFrame:
+    """``seq`` and keys of all rows, and whether they are ``_stored``; see :func:`settle`."""
     columns = ["seq", *keys, *group, *(["_kind"] if group else [])]
     left = cut_lineage(rows.select(*columns), "conflict-rows")
     if left.count() <= most:
         return _in_order(left.withColumn("_component", F.lit(0).cast("long")).coalesce(1), keys, group)
-    shared = [F.struct(F.lit(key).alias("of"), F.col(key).cast("string").alias("value")) for key in keys]
-    links = [F.when(F.col(key).isNotNull(), pair) for key, pair in zip(keys, shared)]
+    # A row links its first key to its others, so a key's rows are one node.  Equal hashes of different keys only bring
+    # two components together.
+    links = [_link(key, F.col(key).isNotNull(), F.col(key).cast("string")) for key in keys]
     if group:
         parts = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in group]))
-        known = reduce(Column.__and__, [F.col(c).isNotNull() for c in group])
-        links.append(F.when(known, F.struct(F.lit("").alias("of"), parts.alias("value"))))
-    edges = left.select("seq", F.explode(F.array(*links)).alias("_link"))
-    components = cut_lineage(connected(edges, "seq", "_link", "_component"), "conflict-components")
-    large = components.groupBy("_component").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > most)
+        links.append(_link("", reduce(Column.__and__, [F.col(c).isNotNull() for c in group]), parts))
+    placed = left.withColumn("_component", F.coalesce(*links, F.xxhash64(F.lit("seq"), "seq")))
+    if len(links) > 1:
+        edges = placed.select(F.col("_component").alias("_node"), F.explode(F.array(*links[1:])).alias("_link"))
+        components = cut_lineage(connected(edges, "_node", "_link", "_whole"), "conflict-components")
+        placed = placed.withColumnRenamed("_component", "_node").join(components, "_node").withColumnRenamed("_whole", "_component")
+        placed = cut_lineage(placed.select(*columns, "_component"), "conflict-placed")
+    large = placed.groupBy("_component").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > most)
     large = cut_lineage(large.select("_component"), "conflict-large")
-    left = left.join(components, "seq")
-    small = left.join(large, "_component", "left_anti").repartition("_component")
-    stored = _in_order(small, keys, group)
     if large.isEmpty():
-        return stored
-    return stored.unionAll(_by_rounds(left.join(large, "_component", "left_semi").select(*columns), keys, group, most))
+        return _in_order(placed.repartition("_component"), keys, group)
+    small = placed.join(large, "_component", "left_anti").repartition("_component")
+    rest = cut_lineage(placed.join(large, "_component", "left_semi").select(*columns), "conflict-rows")
+    stored = _by_rounds(rest, keys, group, most).withColumn("_stored", F.lit(True))
+    rest = rest.join(stored, "seq", "left").select("seq", *keys, F.coalesce("_stored", F.lit(False)).alias("_stored"))
+    return _in_order(small, keys, group).unionAll(cut_lineage(rest, "conflict-stored"))
+
+
+def _link(of: str, known: Column, value: Column) -> Column:
+    return F.when(known, F.xxhash64(F.lit(of), value))
 
 
 def _in_order(rows: DataFrame, keys: Sequence[str], group: Sequence[str]) -> DataFrame:
-    """The stored rows of whole components, each component in one task and in the order of its numbers.
+    """The rows of whole components with ``_stored``, each component in one task and in the order of its numbers.
 
     Of a component a task holds the keys and groups of what it stored.
     """
@@ -75,28 +90,35 @@ def _in_order(rows: DataFrame, keys: Sequence[str], group: Sequence[str]) -> Dat
         component, held, bars = None, [set() for _ in range(n_keys)], {}
         for batch in batches:
             chosen = []
-            for of, seq, *values in zip(*(column.to_pylist() for column in batch.columns)):
+            of_rows, *columns = (batch.column(i).to_pylist() for i in range(batch.num_columns) if i != 1)
+            for of, *values in zip(of_rows, *columns):
                 if of != component:
                     component, held, bars = of, [set() for _ in range(n_keys)], {}
-                if any(value in seen for value, seen in zip(values, held) if value is not None):
-                    continue
-                if n_group:
+                stored = True
+                for value, seen in zip(values, held):
+                    if value in seen:
+                        stored = False
+                        break
+                if stored and n_group:
                     place, kind = tuple(values[n_keys : n_keys + n_group]), values[-1]
                     barred = bars.get(place)
                     if None not in place:
                         if barred == alone or (barred == shared and kind == alone):
-                            continue
-                        if kind in (alone, shared):
+                            stored = False
+                        elif kind in (alone, shared):
                             bars[place] = kind
-                chosen.append(seq)
-                for value, seen in zip(values, held):
-                    if value is not None:
-                        seen.add(value)
-            yield pa.RecordBatch.from_arrays([pa.array(chosen, pa.int64())], ["seq"])
+                if stored:
+                    for value, seen in zip(values, held):
+                        if value is not None:
+                            seen.add(value)
+                chosen.append(stored)
+            names = ["seq", *keys, "_stored"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1 : 2 + n_keys], pa.array(chosen, pa.bool_())], names)
 
     columns = ["_component", "seq", *keys, *group, *(["_kind"] if group else [])]
     ordered = rows.select(*columns).sortWithinPartitions("_component", "seq")
-    return cut_lineage(ordered.mapInArrow(choose, "seq long"), "conflict-stored")
+    schema = T.StructType([*[rows.schema[c] for c in ("seq", *keys)], T.StructField("_stored", T.BooleanType())])
+    return cut_lineage(ordered.mapInArrow(choose, schema), "conflict-stored")
 
 
 def _without_barred(left: DataFrame, chosen: DataFrame, keys: Sequence[str], group: Sequence[str]) -> DataFrame:
@@ -135,7 +157,8 @@ def _round(left: DataFrame, keys: Sequence[str], group: Sequence[str]) -> tuple[
 
 
 def _by_rounds(rows: DataFrame, keys: Sequence[str], group: Sequence[str], most: int) -> DataFrame:
-    left = cut_lineage(rows, "conflict-rows")
+    """``seq`` of the stored rows."""
+    left = rows
     stored = []
     undecided = left.count()
     while undecided:
@@ -148,6 +171,7 @@ def _by_rounds(rows: DataFrame, keys: Sequence[str], group: Sequence[str], most:
             last = left.select("seq").orderBy("seq").limit(most).agg(F.max("seq")).first()[0]
             first = left.filter(F.col("seq") <= last)
             in_order = _in_order(first.withColumn("_component", F.lit(0).cast("long")).repartition(1), keys, group)
+            in_order = in_order.filter("_stored").select("seq")
             stored.append(in_order)
             chosen = first.join(in_order, "seq", "left_semi")
             left = _without_barred(left.filter(F.col("seq") > last), chosen, keys, group)

@@ -19,6 +19,8 @@ from deedflow.sources.schema import TABLES, Table
 
 # What reopened the property last before a sale, in a batch with contracts.
 EPOCH = "_epoch"
+# Where there are more repeated values than this part of the rows, rows that share none are not told apart.
+MANY = 1 / 8
 
 
 def judge(
@@ -217,14 +219,19 @@ def _settled(
     alone = _gate(name, rows.withColumn("_storable", F.lit(False)), tables, scope, options)
     alone = alone.withColumn("_storable", (F.col("_failed") == 0) & F.col("reject").isNull())
     alone = cut_lineage(alone.drop("reject"), f"judged-{name}")
-    sharing = F.lit(False)
-    for key in keys:
-        hits = _with_reason(exceptions, rows, f"repeated:{key}", key).withColumn(f"_shared_{key}", F.lit(True))
-        alone = alone.join(hits, key, "left")
-        sharing |= F.coalesce(f"_shared_{key}", F.lit(False))
-    alone = cut_lineage(
-        alone.withColumn("_sharing", sharing).drop(*[f"_shared_{key}" for key in keys]), f"sharing-{name}"
-    )
+    values = exceptions.filter(F.col("reason").isin([f"repeated:{key}" for key in keys]))
+    if group or values.count() <= options["counted"].count() * MANY:
+        sharing = F.lit(False)
+        for key in keys:
+            hits = _with_reason(exceptions, rows, f"repeated:{key}", key).withColumn(f"_shared_{key}", F.lit(True))
+            alone = alone.join(hits, key, "left")
+            sharing |= F.coalesce(f"_shared_{key}", F.lit(False))
+        alone = cut_lineage(
+            alone.withColumn("_sharing", sharing).drop(*[f"_shared_{key}" for key in keys]), f"sharing-{name}"
+        )
+    else:
+        # Rows that share no key compete with none, so all may be settled.
+        alone = alone.withColumn("_sharing", F.lit(True))
     contested = alone.filter("_sharing AND _storable")
     if group:
         known = reduce(Column.__and__, [F.col(c).isNotNull() for c in group])
@@ -238,15 +245,16 @@ def _settled(
                 F.col("exclusivity") == "No", conflicts.SHARED
             )
         contested = contested.withColumn("_kind", F.coalesce(kind, F.lit(conflicts.MUTE)))
-    contested = cut_lineage(contested, "contested")
-    stored = cut_lineage(conflicts.settle(contested, keys, group), "settled")
-    lost = cut_lineage(contested.select("seq").join(stored, "seq", "left_anti"), "lost")
-    alone = alone.join(lost.withColumn("_lost", F.lit(True)), "seq", "left")
-    alone = alone.withColumn("_storable", F.col("_storable") & F.col("_lost").isNull())
-    alone = cut_lineage(alone.drop("_lost", "_sharing"), f"storable-{name}")
+    found = conflicts.decided(contested, keys, group)
+    if group:
+        # Only gates of groups ask what was stored.
+        lost = found.filter("NOT _stored").select("seq", F.lit(True).alias("_lost"))
+        alone = alone.join(lost, "seq", "left")
+        alone = alone.withColumn("_storable", F.col("_storable") & F.col("_lost").isNull())
+        alone = cut_lineage(alone.drop("_lost"), f"storable-{name}")
+    alone = alone.drop("_sharing")
     for key in keys:
-        holders = contested.join(stored, "seq", "left_semi").filter(F.col(key).isNotNull())
-        holders = cut_lineage(holders.select(key, F.col("seq").alias("_holder")), f"holders-{key}")
+        holders = found.filter(F.col("_stored") & F.col(key).isNotNull()).select(key, F.col("seq").alias("_holder"))
         late = _failed({f"duplicate:{key}": F.col("seq") > F.col("_holder")}, bits)
         alone = alone.join(holders, key, "left")
         alone = alone.withColumn("_failed", F.col("_failed").bitwiseOR(late)).drop("_holder")
