@@ -19,8 +19,12 @@ from deedflow.sources.schema import TABLES, Table
 
 # What reopened the property last before a sale, in a batch with contracts.
 EPOCH = "_epoch"
+# The values of so many rows are sent to all tasks that read stored keys.
+SMALL_BATCH = 20_000
 # Where there are more repeated values than this part of the rows, rows that share none are not told apart.
 MANY = 1 / 8
+# What a stored value is to the column of a batch.
+OWN, PARENT = 1, 2
 
 
 def judge(
@@ -139,42 +143,48 @@ def _exceptions(table: Table, rows: DataFrame, tables: Tables, others: DataFrame
 
     They are few as a rule, so they are looked for among the distinct values and written
     to a table of their own.  Spark then knows its size when it joins the rows with it.
-    The values of all columns go through one shuffle as pairs of column and value, and meet
-    the stored keys, tagged with the columns they stand for, in one join.
+    The values of all columns, and the stored keys under the columns they stand for, go
+    through one shuffle as pairs of column and value and are counted there.  Of a small
+    batch the pairs are sent to the stored keys first, so that those are not shuffled.
     """
-    keys = (table.key, *table.unique)
-    columns = dict.fromkeys(("seq", *keys, *[r.column for r in table.references]))
-    pairs = rows.select(F.explode(F.array(*[_pair(c, F.col(c)) for c in columns])).alias("p"))
+    keys = [table.key, *table.unique]
+    references = [r.column for r in table.references]
+    columns = list(dict.fromkeys(("seq", *keys, *references)))
+
+    def pair(column: str, value: Column, copies: int = 1, held: int = 0) -> Column:
+        return F.struct(
+            F.lit(columns.index(column)).cast("byte").alias("column"), value.cast("string").alias("value"),
+            F.lit(copies).alias("copies"), F.lit(held).alias("held"),
+        )
+
+    pairs = rows.select(F.inline(F.array(*[pair(c, F.col(c)) for c in columns])))
     if others is not None:
-        pairs = pairs.unionAll(others.select(_pair("seq", F.col("seq").try_cast("long")).alias("p")))
-    pairs = pairs.select("p.column", "p.value").filter("value IS NOT NULL")
-    pairs = cut_lineage(pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("copies")), f"values-{table.name}")
-
-    def stored(of: str, kind: str, column: str, key: str) -> DataFrame:
-        return tables[of].select(F.lit(column).alias("column"), F.col(key).cast("string").alias("value"), F.lit(kind).alias("kind"))
-
-    held = [stored(table.name, "own", key, key) for key in keys]
-    held += [stored(r.parent, "parent", r.column, TABLES[r.parent].key) for r in table.references]
-    met = reduce(DataFrame.unionAll, held).join(pairs.select("column", "value"), ["column", "value"], "left_semi")
-    met = met.groupBy("column", "value").agg(F.max(F.col("kind") == "own").alias("own"), F.max(F.col("kind") == "parent").alias("parent"))
-    found = pairs.join(met, ["column", "value"], "left")
+        pairs = pairs.unionAll(others.select(F.inline(F.array(pair("seq", F.col("seq").try_cast("long"))))))
+    stored = [tables[table.name].select(F.inline(F.array(*[pair(key, F.col(key), 0, OWN) for key in keys])))]
+    for r in table.references:
+        stored.append(tables[r.parent].select(F.inline(F.array(pair(r.column, F.col(TABLES[r.parent].key), 0, PARENT)))))
+    known = reduce(DataFrame.unionAll, stored).filter("value IS NOT NULL")
+    pairs = pairs.filter("value IS NOT NULL")
+    if rows.count() <= SMALL_BATCH:
+        known = known.join(F.broadcast(pairs.filter(F.col("column") > 0).select("column", "value").distinct()), ["column", "value"], "left_semi")
+    found = pairs.unionAll(known).groupBy("column", "value").agg(F.sum("copies").alias("copies"), F.bit_or("held").alias("held"))
+
+    def of(names: list[str]) -> Column:
+        return F.col("column").isin([columns.index(name) for name in names])
+
     repeated = F.col("copies") > 1
-    references = [r.column for r in table.references]
-    kinds = F.array(
-        F.when(F.col("column").isin(references) & ~F.coalesce("parent", F.lit(False)), "orphan"),
-        F.when(F.col("column").isin(list(keys)) & F.col("own"), "duplicate"),
-        F.when(F.col("column").isin(list(keys)) & repeated, "repeated"),
-        F.when((F.col("column") == "seq") & repeated, "duplicate"),
-    )
+    kinds = {
+        "orphan": of(references) & (F.col("held").bitwiseAND(PARENT) == 0),
+        "duplicate": (of(keys) & (F.col("held").bitwiseAND(OWN) != 0)) | (of(["seq"]) & repeated),
+        "repeated": of(keys) & repeated,
+    }
+    found = found.filter("copies > 0").filter(reduce(Column.__or__, kinds.values()))
+    kinds = F.array(*[F.when(condition, kind) for kind, condition in kinds.items()])
     found = found.select("column", "value", F.explode(F.array_compact(kinds)).alias("kind"))
-    reason = F.concat("kind", F.lit(":"), "column")
+    reason = F.concat("kind", F.lit(":"), F.array(*map(F.lit, columns))[F.col("column")])
     return cut_lineage(found.select(reason.alias("reason"), "value"), f"exceptions-{table.name}")
 
 
-def _pair(column: str, value: Column) -> Column:
-    return F.struct(F.lit(column).alias("column"), value.cast("string").alias("value"))
-
-
 def _with_reason(exceptions: DataFrame, rows: DataFrame, reason: str, column: str) -> DataFrame:
     kind = rows.schema[column].dataType
     return exceptions.filter(F.col("reason") == reason).select(F.col("value").cast(kind).alias(column))

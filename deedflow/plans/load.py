@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from deedflow.operators.effects import audit_log, changed_status, openings
 from deedflow.plans.judge import judge
-from deedflow.session import scratch_scope
+from deedflow.session import cut_lineage, scratch_scope
 from deedflow.sources.schema import LOAD_ORDER, TABLES
 from deedflow.sources.store import SnapshotStore
 
@@ -68,7 +68,8 @@ def apply_batch(
             judged = judge("contracts_owner", given, tables, scope, hot_rows, others=others)
             found = store.add_judged("contracts_owner", judged)
             results["contracts_owner"] = BatchResult(*found)
-            opened = openings(tables.state("status", found[0]), found[0])
+            # Sales are dated by them, and they leave a status.
+            opened = cut_lineage(openings(tables.state("status", found[0]), found[0]), "openings")
         if name != "contracts_owner":
             judged = judge(name, batch, tables, scope, hot_rows, others=contracts, openings=opened)
             results[name] = BatchResult(*store.add_judged(name, judged))
